@@ -34,12 +34,12 @@ def decode_json(messages: DataFrame, schema: T.StructType = EVENT) -> DataFrame:
 
 
 def as_events(decoded: DataFrame) -> DataFrame:
-    """Decoded JSON -> clean events: NaN is missing, amounts are decimals, bad messages are gone."""
+    """Decoded messages -> clean events: NaN is missing, amounts are decimals, bad messages are gone."""
     return _typed(decoded.where(F.col("id").isNotNull()).drop(CORRUPT))
 
 
 def rejected_events(decoded: DataFrame) -> DataFrame:
-    """Messages that carry no id: malformed JSON, or no JSON at all."""
+    """Messages that carry no id: malformed, or not a message at all."""
     return decoded.where(F.col("id").isNull()).select(CORRUPT)
 
 
@@ -77,7 +77,12 @@ def encode_avro(df: DataFrame, schema_id: int, schema: str | None = None, key: s
 
 
 def decode_avro(messages: DataFrame, schema: str | None = None) -> DataFrame:
-    """Framed Avro messages -> flat record columns; needs the spark-avro package on the class path."""
+    """Framed Avro messages -> flat record columns, with the bytes of a message that does not decode.
+
+    Needs the spark-avro package on the class path.
+    """
     from pyspark.sql.avro.functions import from_avro
 
-    return messages.select(F.inline(F.array(from_avro(unframe(F.col("value")), schema or avro_schema()))))
+    parsed = from_avro(unframe(F.col("value")), schema or avro_schema(), {"mode": "PERMISSIVE"})
+    decoded = messages.select("value", F.inline(F.array(parsed)))
+    return decoded.withColumn(CORRUPT, F.when(F.col("id").isNull(), F.hex("value"))).drop("value")

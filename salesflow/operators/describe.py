@@ -30,22 +30,21 @@ def describe(df: DataFrame, columns: list[str], partitions: int | None = None) -
     holds most rows is one row; a running total of the copies over the
     sorted values then places every value in the ranking, and each quartile
     is read off at its two neighbouring ranks. Built-in ``percentile``
-    would hold all distinct values of a column in one task instead.
+    would hold all distinct values of a column in one task instead. The
+    input is computed once: everything after the copies reads their table.
     """
-    values = _long(df, columns)
-    copies = values.groupBy("column_name", "value").agg(F.count("*").alias("copies"))
+    copies = _long(df, columns).groupBy("column_name", "value").agg(F.count("*").alias("copies"))
     ranked = running_total(copies, ["column_name", "value"], F.col("copies"), "reached", partitions)
 
-    # One row per described column from here on.
-    basics = values.groupBy("column_name").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
+    # One row per described column, so the window and the broadcast are bounded.
+    sizes = ranked.groupBy("column_name").agg(
+        F.sum("copies").alias("count"),
+        (F.sum(F.col("value") * F.col("copies")) / F.sum("copies")).alias("mean"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
     before = Window.orderBy("column_name").rowsBetween(Window.unboundedPreceding, -1)
-    base = basics.withColumn("base", F.coalesce(F.sum("count").over(before), F.lit(0)))
+    base = sizes.withColumn("base", F.coalesce(F.sum("count").over(before), F.lit(0)))
 
     end = (F.col("reached") - F.col("base")).cast("bigint")
     placed = (
@@ -53,12 +52,12 @@ def describe(df: DataFrame, columns: list[str], partitions: int | None = None) -
         .withColumn("end", end)
         .withColumn("start", F.col("end") - F.col("copies"))
     )
-    neighbours = []
+    picked = [F.sum(F.col("copies") * F.pow(F.col("value") - F.col("mean"), 2)).alias("spread")]
     for label, share in QUARTILES.items():
         position = (F.col("count") - 1) * F.lit(share)
-        neighbours.append(_at_rank(F.floor(position)).alias(f"{label} low"))
-        neighbours.append(_at_rank(F.ceil(position)).alias(f"{label} high"))
-    found = placed.groupBy("column_name", "count", "mean", "std", "min", "max").agg(*neighbours)
+        picked.append(_at_rank(F.floor(position)).alias(f"{label} low"))
+        picked.append(_at_rank(F.ceil(position)).alias(f"{label} high"))
+    found = placed.groupBy("column_name", "count", "mean", "min", "max").agg(*picked)
 
     def quartile(label: str, share: float) -> Column:
         position = (F.col("count") - 1) * F.lit(share)
@@ -68,7 +67,7 @@ def describe(df: DataFrame, columns: list[str], partitions: int | None = None) -
     statistics = {
         "count": F.col("count").cast("double"),
         "mean": F.col("mean"),
-        "std": F.col("std"),
+        "std": F.when(F.col("count") > 1, F.sqrt(F.col("spread") / (F.col("count") - 1))),
         "min": F.col("min"),
         **{label: quartile(label, share) for label, share in QUARTILES.items()},
         "max": F.col("max"),

@@ -101,35 +101,31 @@ def scan_csv_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_null_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error events carry no usable value; they arrive as NaN and leave as NULL."""
+    error = F.col("event_type") == "error"
     raw = table(spark, sf_dir, "events").select(
-        "event_type", F.when(F.col("event_type") == "error", F.lit(float("nan"))).otherwise(F.col("value")).alias("value")
+        "event_type", F.when(error, F.lit(float("nan"))).otherwise(F.col("value")).alias("value")
     )
-    counted = raw.groupBy("event_type").agg(
-        F.count("*").alias("events"), F.count_if(F.isnan("value")).alias("nan_before")
-    )
-    cleaned = nan_to_null(raw).groupBy("event_type").agg(
+    cleaned = nan_to_null(raw.withColumn("was_nan", F.isnan("value")))
+    return cleaned.groupBy("event_type").agg(
+        F.count("*").alias("events"),
+        F.count_if("was_nan").alias("nan_before"),
         F.count_if(F.isnan("value")).alias("nan_after"),
         F.count_if(F.col("value").isNull()).alias("null_after"),
         F.sum(F.col("value").cast("decimal(18,4)")).cast("double").alias("total_value"),
     )
-    return counted.join(cleaned, "event_type")
 
 
 def ingest_reject_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A feed that leaves out the unspecified payments and garbles the quantity of the lowest ratings."""
-    text = raw_sales(spark, sf_dir).select(F.col("*"))
-    faulty = text.withColumns(
+    faulty = raw_sales(spark, sf_dir).withColumns(
         {
             "Payment": F.when(F.col("Payment") != "4-NOT SPECIFIED", F.col("Payment")),
             "Quantity": F.when(F.col("Rating") == 4.0, "n/a").otherwise(F.col("Quantity").cast("string")),
         }
     )
     as_text = faulty.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in faulty.columns])
-    accepted, rejected = ingest.split_rejects(as_text)
-    both = accepted.select(F.lit("accepted").alias("outcome")).unionAll(
-        rejected.select(F.col(ingest.REASON).alias("outcome"))
-    )
-    return both.groupBy("outcome").agg(F.count("*").alias("records"))
+    outcome = F.coalesce(F.col(ingest.REASON), F.lit("accepted")).alias("outcome")
+    return ingest.tag_rejects(as_text).groupBy(outcome).agg(F.count("*").alias("records"))
 
 
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

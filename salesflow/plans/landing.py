@@ -37,5 +37,6 @@ def sales_topic(spark: SparkSession, sf_dir: str) -> str:
     return _TOPICS[where]
 
 
-def sales_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topic.subscribe(spark, sales_topic(spark, sf_dir), TRIGGERS)
+def sales_messages(spark: SparkSession, sf_dir: str, reader: SparkSession | None = None) -> DataFrame:
+    """Stream the topic; publishing runs in ``spark``, the stream in ``reader`` if given."""
+    return topic.subscribe(reader or spark, sales_topic(spark, sf_dir), TRIGGERS)

@@ -49,6 +49,19 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def streaming_session(spark: SparkSession, partitions: int = 8) -> SparkSession:
+    """A session of the same application whose stateful queries use few shuffle partitions.
+
+    Each shuffle partition of a running aggregate is a state store that every
+    micro-batch opens and commits. Groups are few and rows are combined
+    before the shuffle, so the count need not follow the data; it is also
+    fixed for the life of a checkpoint.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return session
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to shared storage and return the written table.
 

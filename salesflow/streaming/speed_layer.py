@@ -46,21 +46,24 @@ def current_views(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return views_from_partials(spark.read.schema(PARTIAL_SCHEMA).parquet(f"{root}/partials"))
 
 
+def store_batch(messages: DataFrame, batch_id: int, root: str) -> None:
+    """Write the partial sums and the top-rated rows of one micro-batch; a replay replaces them."""
+    events = as_events(decode_json(messages)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        partials(events).write.mode("overwrite").parquet(f"{root}/partials/batch_id={batch_id}")
+        rated = top_rated(events).select("id", "invoice_id", "product_line", "rating")
+        rated.write.mode("overwrite").parquet(f"{root}/top_rated/batch_id={batch_id}")
+    finally:
+        events.unpersist()
+
+
 def run_speed_layer(messages: DataFrame, root: str, every: str | None = None) -> StreamingQuery:
     """One streaming query instead of five: each message is fetched and decoded once.
 
-    Per micro-batch it stores the partial sums and the top-rated rows in
-    folders named after the batch (a replay replaces them). Readers combine
-    the partial sums, which equals the complete-mode result.
+    Readers combine the partial sums, which equals the complete-mode result.
     """
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        events = as_events(decode_json(batch)).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            partials(events).write.mode("overwrite").parquet(f"{root}/partials/batch_id={batch_id}")
-            rated = top_rated(events).select("id", "invoice_id", "product_line", "rating")
-            rated.write.mode("overwrite").parquet(f"{root}/top_rated/batch_id={batch_id}")
-        finally:
-            events.unpersist()
+        store_batch(batch, batch_id, root)
 
     return start(messages.writeStream.foreachBatch(one_batch), f"{root}/checkpoint", every)

@@ -1,0 +1,122 @@
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from salesflow.operators import ordered
+from salesflow.operators.describe import describe
+from salesflow.sources.tables import prediction_set, table
+
+
+def numbers(spark, values, schema="k int, v double"):
+    return spark.createDataFrame(list(enumerate(values)), schema).repartition(5)
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 16])
+def test_running_total_matches_a_loop(spark, partitions):
+    rng = random.Random(7)
+    values = [rng.randint(-99, 99) for _ in range(500)]
+    df = numbers(spark, values, "k int, v int")
+    got = ordered.running_total(df, ["k"], F.col("v"), "s", partitions).orderBy("k").collect()
+    total, expected = 0, []
+    for v in values:
+        total += v
+        expected.append(Decimal(total))
+    assert [r.s for r in got] == expected
+    assert got[0].asDict().keys() == {"k", "v", "s"}
+
+
+def test_running_total_with_one_leading_key_holding_most_rows(spark):
+    """Range partitions follow the whole order, so the hot day is spread over tasks."""
+    df = spark.range(20000).select(
+        F.when(F.col("id") < 14000, F.lit(1)).otherwise(F.col("id").cast("int")).alias("day"), "id"
+    )
+    ranged = df.repartitionByRange(8, "day", "id").groupBy(F.spark_partition_id()).count()
+    assert ranged.agg(F.max("count")).first()[0] < 20000 / 8 * 2
+    got = ordered.running_total(df, ["day", "id"], F.lit(1), "n", 8)
+    assert got.where(F.col("n") != F.col("id") + 1).isEmpty() and got.count() == 20000
+
+
+def test_missing_step_counts_nothing(spark):
+    got = ordered.running_total(numbers(spark, [1, None, 3], "k int, v int"), ["k"], F.col("v"), "s", 2)
+    assert [int(r.s) for r in got.orderBy("k").collect()] == [1, 1, 4]
+
+
+def test_totals_beyond_64_bits(spark):
+    big = 2**62
+    df = numbers(spark, [big] * 6, "k int, v bigint")
+    got = ordered.running_total(df, ["k"], F.col("v"), "s", 6).orderBy("k").collect()
+    assert [int(r.s) for r in got] == [big * (i + 1) for i in range(6)]
+
+
+def test_overflow_inside_a_partition_is_an_error(spark):
+    df = numbers(spark, [2**62] * 6, "k int, v bigint")
+    with pytest.raises(PySparkException):
+        ordered.running_total(df, ["k"], F.col("v"), "s", 1).collect()
+
+
+def test_running_total_of_nothing(spark):
+    assert ordered.running_total(numbers(spark, [1.0]).where("k > 5"), ["k"], F.lit(1), "s").isEmpty()
+
+
+def test_blocks_follow_the_order(spark):
+    got = ordered.blocks_of(spark.range(173).repartition(7), ["id"], 50).orderBy("id").collect()
+    assert [r.batch for r in got] == [i // 50 for i in range(173)]
+
+
+def test_last_and_first_rows(spark):
+    df = spark.range(200).repartition(6)
+    assert sorted(r.id for r in ordered.last_rows(df, ["id"]).collect()) == list(range(150, 200))
+    assert [r.id for r in ordered.first_rows(df, ["id"]).collect()] == list(range(5))
+    assert ordered.last_rows(df.where("id < 3"), ["id"]).count() == 3
+
+
+def test_last_rows_never_sorts_everything(spark, sf):
+    plan = ordered.last_rows(prediction_set(spark, sf, 5), ["o_orderdate", "o_orderkey"])._jdf.queryExecution()
+    assert "TakeOrderedAndProject" in plan.executedPlan().toString()
+
+
+def test_cumulative_error_is_exact(spark):
+    rows = [(i, 0.1 if i % 3 else -0.3) for i in range(1000)]
+    got = ordered.cumulative_error(spark.createDataFrame(rows, "k int, error double"), ["k"], partitions=4)
+    running, expected = Decimal(0), {}
+    for k, e in rows:
+        running += Decimal(str(e))
+        expected[k] = float(running)
+    assert {r.k: r.cumulative_error for r in got.collect()} == expected
+
+
+PANDAS_ORDER = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
+
+
+def check_against_pandas(df, columns, partitions=None):
+    expected = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).toPandas().describe()
+    found = {(r.column_name, r.statistic): r.value for r in describe(df, columns, partitions).collect()}
+    assert set(found) == {(c, s) for c in columns for s in PANDAS_ORDER}
+    for c in columns:
+        for s in PANDAS_ORDER:
+            want = float(expected[c][s])
+            assert (want != want and found[c, s] is None) or found[c, s] == pytest.approx(want, rel=1e-9, abs=1e-12)
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 4, 5, 50, 999])
+def test_describe_equals_pandas(spark, size):
+    rng = random.Random(size)
+    rows = [(rng.choice([rng.uniform(-5, 5), 1.5, 1.5]), float(rng.randint(0, 3)), 0.5) for _ in range(size)]
+    check_against_pandas(spark.createDataFrame(rows, "a double, b double, c double"), ["a", "b", "c"], 3)
+
+
+def test_describe_skips_missing_values(spark):
+    df = spark.createDataFrame([(1.0, None), (None, float("nan")), (3.0, 4.0), (8.0, 6.0)], "a double, b double")
+    check_against_pandas(df, ["a", "b"], 2)
+
+
+def test_describe_when_one_value_holds_most_rows(spark):
+    df = spark.range(9000).select(F.when(F.col("id") % 3 < 2, 7.0).otherwise(F.col("id").cast("double")).alias("v"))
+    check_against_pandas(df, ["v"], 4)
+
+
+def test_describe_table_column(spark, sf):
+    check_against_pandas(table(spark, sf, "orders"), ["o_totalprice"])

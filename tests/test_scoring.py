@@ -1,0 +1,57 @@
+import pytest
+from pyspark.sql import functions as F
+
+from salesflow.operators import scoring
+from salesflow.schema import FEATURES, RAW_FEATURES
+from salesflow.sources.tables import raw_sales, sales
+
+
+@pytest.fixture(scope="module")
+def model(spark, sf, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("model") / "m")
+    train, _ = scoring.random_split(sales(spark, sf))
+    for _ in range(2):  # saving again replaces
+        scoring.save_model(scoring.train(train), path)
+    return scoring.load_model(path)
+
+
+def test_unseen_sales_are_predicted_to_the_cent(spark, sf, model):
+    _, test = scoring.random_split(sales(spark, sf))
+    scored = scoring.score(test, model, 1.5)
+    assert scored.columns == ["Invoice ID", "total", "prediction", "temps"]
+    assert scored.count() == test.count() and scored.first().temps == 1.5
+    assert scoring.rmse(scored) < 0.01
+    assert scored.where(F.abs(F.col("prediction") - F.col("total")) >= 0.05).isEmpty()
+
+
+def test_rows_without_a_feature_are_skipped_and_counted(spark, sf, model):
+    some = sales(spark, sf).limit(100)
+    holes = some.withColumn("quantity", F.when(F.col("quantity") > 25, F.col("quantity"))).withColumn(
+        "rating", F.when(F.col("rating") > 5, F.col("rating")).otherwise(F.lit(float("nan")))
+    ).cache()
+    left_out = scoring.without_features(holes).count()
+    assert 0 < left_out < 100
+    assert scoring.score(holes, model).count() == 100 - left_out
+    holes.unpersist()
+
+
+def test_model_on_raw_headers(spark, sf):
+    raw = raw_sales(spark, sf)
+    fitted = scoring.train(raw, "Total", RAW_FEATURES)
+    scored = fitted.transform(raw.withColumn("Total", F.col("Total").cast("double")))
+    assert scoring.rmse(scored, "Total") < 0.01
+
+
+def test_feature_vector_order(model):
+    assert model.stages[0].getInputCols() == list(FEATURES)
+
+
+def test_hash_split_is_disjoint_covering_and_repeatable(spark, sf):
+    keys = ["invoice_id", "product_line", "quantity", "total"]
+    df = sales(spark, sf, *keys)
+    train, test = scoring.hash_split(df, keys)
+    assert train.intersect(test).isEmpty()
+    assert train.unionAll(test).exceptAll(df).isEmpty() and train.count() + test.count() == df.count()
+    again, _ = scoring.hash_split(df.repartition(13), keys)
+    assert again.exceptAll(train).isEmpty()
+    assert 0.77 < train.count() / df.count() < 0.83
