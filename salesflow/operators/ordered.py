@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -15,14 +15,22 @@ from salesflow.session import stage
 _PART, _STEP, _LOCAL = "_part", "_step", "_local"
 
 
-def _running_sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replace the last column by its running sum along the task's rows; overflow is an error."""
-    carried = 0
-    for batch in batches:
-        if batch.num_rows:
-            running = pc.cumulative_sum_checked(batch.column(batch.num_columns - 1), start=carried)
-            carried = running[-1].as_py()
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], running], schema=batch.schema)
+def _running_sum() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Replace the last column by its running sum along the task's rows; overflow is an error.
+
+    The function is local so that it travels with the job: executors need
+    Arrow, not this package.
+    """
+
+    def along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        carried = 0
+        for batch in batches:
+            if batch.num_rows:
+                running = pc.cumulative_sum_checked(batch.column(batch.num_columns - 1), start=carried)
+                carried = running[-1].as_py()
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], running], schema=batch.schema)
+
+    return along
 
 
 def running_total(
@@ -43,7 +51,7 @@ def running_total(
     ranged = keyed.repartitionByRange(count, *order).sortWithinPartitions(*order)
     source = ranged.select("*", F.spark_partition_id().alias(_PART), F.col(_STEP).alias(_LOCAL))
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in source.schema.fields])
-    local = stage(source.mapInArrow(_running_sum, schema), "running")
+    local = stage(source.mapInArrow(_running_sum(), schema), "running")
 
     # One row per partition, so the un-partitioned window and the broadcast
     # are bounded. Decimals: the totals may exceed 64 bits together.

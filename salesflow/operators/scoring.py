@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesflow.schema import FEATURES
+from salesflow.session import stage
 
 SEED = 42
 
@@ -35,16 +36,20 @@ def hash_split(df: DataFrame, columns: list[str], train_percent: int = 80) -> tu
 
 
 def regression(label: str = "total", features: tuple[str, ...] = FEATURES) -> Pipeline:
-    """Feature vector plus linear regression as one artefact, so scoring cannot disagree on the inputs.
-
-    The solver reads the rows once, as a tree-aggregated sum of products.
-    """
+    """Feature vector plus linear regression as one artefact, so scoring cannot disagree on the inputs."""
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
     return Pipeline(stages=[assembler, LinearRegression(featuresCol="features", labelCol=label)])
 
 
 def train(df: DataFrame, label: str = "total", features: tuple[str, ...] = FEATURES) -> PipelineModel:
-    return regression(label, features).fit(df.select(label, *features).withColumn(label, F.col(f"`{label}`").cast("double")))
+    """Fit on the rows of ``df``.
+
+    The solver tree-aggregates the rows once, and the model's summary reads
+    them again. What they read is a written table of label and features, so
+    the joins behind ``df`` run once.
+    """
+    columns = [F.col(f"`{c}`").cast("double").alias(c) for c in (label, *features)]
+    return regression(label, features).fit(stage(df.select(*columns), "training"))
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -20,11 +20,12 @@ def publish_sales(spark: SparkSession, sf_dir: str, records: DataFrame, path: st
     """Encode records as JSON messages and append them to the topic at ``path``.
 
     The joins behind the records run here, in a batch job that can split hot
-    keys. The file cap gives every micro-batch something to take on small
-    inputs; on large ones files are smaller than it anyway.
+    keys. Files are capped so that each micro-batch has one for every core,
+    also when a hot key made one partition much larger than the others.
     """
     rows = table(spark, sf_dir, "lineitem").count()
-    topic.publish(encode_json(records, key="id"), path, max(1, math.ceil(rows / (2 * TRIGGERS))))
+    files = TRIGGERS * spark.sparkContext.defaultParallelism
+    topic.publish(encode_json(records, key="id"), path, max(1, math.ceil(rows / files)))
 
 
 def sales_topic(spark: SparkSession, sf_dir: str) -> str:

@@ -1,7 +1,10 @@
 import random
+import subprocess
+import sys
 from decimal import Decimal
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -39,6 +42,14 @@ def test_running_total_with_one_leading_key_holding_most_rows(spark):
     assert got.where(F.col("n") != F.col("id") + 1).isEmpty() and got.count() == 20000
 
 
+def test_task_code_does_not_need_the_package(tmp_path):
+    code = tmp_path / "task.pkl"
+    code.write_bytes(cloudpickle.dumps(ordered._running_sum()))
+    script = "import pickle; print(list(pickle.load(open('task.pkl', 'rb'))([])), 'salesflow' in __import__('sys').modules)"
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, env={})
+    assert done.stdout.strip() == "[] False", done.stderr
+
+
 def test_missing_step_counts_nothing(spark):
     got = ordered.running_total(numbers(spark, [1, None, 3], "k int, v int"), ["k"], F.col("v"), "s", 2)
     assert [int(r.s) for r in got.orderBy("k").collect()] == [1, 1, 4]
