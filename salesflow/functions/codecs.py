@@ -35,7 +35,7 @@ def decode_json(messages: DataFrame, schema: T.StructType = EVENT) -> DataFrame:
 
 def as_events(decoded: DataFrame) -> DataFrame:
     """Decoded messages -> clean events: NaN is missing, amounts are decimals, bad messages are gone."""
-    return _typed(decoded.where(F.col("id").isNotNull()).drop(CORRUPT))
+    return normalise(decoded.where(F.col("id").isNotNull()).drop(CORRUPT))
 
 
 def rejected_events(decoded: DataFrame) -> DataFrame:
@@ -43,8 +43,9 @@ def rejected_events(decoded: DataFrame) -> DataFrame:
     return decoded.where(F.col("id").isNull()).select(CORRUPT)
 
 
-def _typed(events: DataFrame) -> DataFrame:
-    clean = nan_to_null(events)
+def normalise(records: DataFrame) -> DataFrame:
+    """NaN -> NULL, amounts -> decimals."""
+    clean = nan_to_null(records)
     amounts = {f: F.expr(f"try_cast({f} AS {MONEY.simpleString()})") for f in MONEY_FIELDS if f in clean.columns}
     return clean.withColumns(amounts)
 

@@ -37,6 +37,11 @@ def run_append(rows: DataFrame, path: str, checkpoint: str, fmt: str = "parquet"
     return start(rows.writeStream.outputMode("append").format(fmt).option("path", path), checkpoint, every)
 
 
+def seconds_per_batch(query: StreamingQuery) -> dict[int, float]:
+    """Measured duration of each recent micro-batch that took rows."""
+    return {p["batchId"]: p["durationMs"]["triggerExecution"] / 1000 for p in query.recentProgress if p["numInputRows"]}
+
+
 def watch(view: DataFrame, mode: str = "complete") -> StreamingQuery:
     """Print results on the driver's console, for demonstrations."""
     return view.writeStream.outputMode(mode).format("console").start()
