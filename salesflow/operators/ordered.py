@@ -34,7 +34,12 @@ def _running_sum() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
 
 
 def running_total(
-    df: DataFrame, order: list[str], step: Column, name: str, partitions: int | None = None
+    df: DataFrame,
+    order: list[str],
+    step: Column,
+    name: str,
+    partitions: int | None = None,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """Add ``name``: the sum of the whole-number ``step`` over all rows up to this one.
 
@@ -42,14 +47,19 @@ def running_total(
     the rows are range-partitioned on the full order, summed along each
     partition, and written; what is left is one total per partition, whose
     running sum (a row per partition, so a bounded broadcast) is added to
-    the rows. One shuffle, and no partition depends on how often a single
-    leading key occurs, provided the full order is unique.
+    the rows. One shuffle. The order must be total, which also keeps the
+    partitions even when a leading key holds most rows; where keys repeat,
+    end the order with the arrival columns. Without ``partitions`` their
+    number is the session's, lowered by adaptive execution on small inputs.
+    ``keep`` names the columns the result needs, so that the others, such as
+    the order itself, are not written.
     """
-    spark = df.sparkSession
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = df.withColumn(_STEP, F.coalesce(step.cast("bigint"), F.lit(0)))
-    ranged = keyed.repartitionByRange(count, *order).sortWithinPartitions(*order)
-    source = ranged.select("*", F.spark_partition_id().alias(_PART), F.col(_STEP).alias(_LOCAL))
+    columns = [F.col(c) for c in order]
+    ranged = keyed.repartitionByRange(partitions, *columns) if partitions else keyed.repartitionByRange(*columns)
+    kept = [F.col(f"`{c}`") for c in keep or df.columns]
+    part, local_step = F.spark_partition_id().alias(_PART), F.col(_STEP).alias(_LOCAL)
+    source = ranged.sortWithinPartitions(*columns).select(*kept, _STEP, part, local_step)
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in source.schema.fields])
     local = stage(source.mapInArrow(_running_sum(), schema), "running")
 
@@ -71,7 +81,7 @@ def number_rows(df: DataFrame, order: list[str], name: str = "row_number", **opt
 def blocks_of(df: DataFrame, order: list[str], size: int = 50, name: str = "batch", **options) -> DataFrame:
     """Assign each row to a block of ``size`` consecutive rows, counted from 0."""
     numbered = number_rows(df, order, "_number", **options)
-    return numbered.withColumn(name, F.floor((F.col("_number") - 1) / size)).drop("_number")
+    return numbered.withColumn(name, F.expr(f"(_number - 1) div {int(size)}")).drop("_number")
 
 
 def first_rows(df: DataFrame, order: list[str], count: int = 5) -> DataFrame:

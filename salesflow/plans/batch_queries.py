@@ -178,8 +178,9 @@ def strip_prefix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_of_50(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").cast("decimal(14,2)").alias("price"))
-    return ordered.blocks_of(orders, ["o_orderkey"]).groupBy("batch").agg(
+    price = F.col("o_totalprice").cast("decimal(14,2)").alias("price")
+    orders = files.with_arrival(table(spark, sf_dir, "orders")).select("o_orderkey", price, *files.ARRIVAL)
+    return ordered.blocks_of(orders, ["o_orderkey", *files.ARRIVAL], keep=["o_orderkey", "price"]).groupBy("batch").agg(
         F.count("*").alias("records"), F.min("o_orderkey").alias("first_key"), _total("price", "total_price")
     )
 
@@ -191,7 +192,7 @@ def preview_first5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def empty_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders without a price yield no predictions: an empty, readable output with all its columns."""
-    nothing = prediction_set(spark, sf_dir, 5).where(F.col("Total").isNull()).drop("o_orderdate", "o_orderkey")
+    nothing = prediction_set(spark, sf_dir, 5).where(F.col("Total").isNull()).select(*files.PREDICTIONS.names)
     path = scratch_dir(spark, "predictions")
     files.write_predictions(nothing, path)
     scanned = files.scan_predictions(spark, path)

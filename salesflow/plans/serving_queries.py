@@ -13,16 +13,16 @@ from salesflow.sources import files
 from salesflow.sources.tables import prediction_set
 
 COLUMNS = ("Invoice ID", "Total", "Prediction", "Prediction Time (s)")
-ARRIVAL = ["o_orderdate", "o_orderkey"]
+ORDER = ["o_orderdate", "o_orderkey", *files.ARRIVAL]
 BATCH, STREAM = 5, 7
 
 
-def _batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prediction_set(spark, sf_dir, BATCH)
+def _batch(spark: SparkSession, sf_dir: str, arrival: bool = False) -> DataFrame:
+    return prediction_set(spark, sf_dir, BATCH, arrival)
 
 
-def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prediction_set(spark, sf_dir, STREAM)
+def _stream(spark: SparkSession, sf_dir: str, arrival: bool = False) -> DataFrame:
+    return prediction_set(spark, sf_dir, STREAM, arrival)
 
 
 def _double(*columns: str) -> list[Column]:
@@ -47,7 +47,7 @@ def serve_predictions_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def serve_last50(spark: SparkSession, sf_dir: str) -> DataFrame:
-    latest = ordered.last_rows(_batch(spark, sf_dir), ARRIVAL)
+    latest = ordered.last_rows(_batch(spark, sf_dir, arrival=True), ORDER)
     return latest.select("Invoice ID", *_double(*COLUMNS[1:]))
 
 
@@ -57,8 +57,8 @@ def serve_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def serve_join_last50(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dashboards' own composite: each layer's last rows, then the join."""
-    stream = ordered.last_rows(_stream(spark, sf_dir), ARRIVAL)
-    batch = ordered.last_rows(_batch(spark, sf_dir), ARRIVAL)
+    stream = ordered.last_rows(_stream(spark, sf_dir, arrival=True), ORDER)
+    batch = ordered.last_rows(_batch(spark, sf_dir, arrival=True), ORDER)
     return _compared(stream, batch).select("Invoice ID", *_double(*_MERGED, "Prediction_Difference"))
 
 
@@ -84,16 +84,17 @@ def serve_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cumulative(predictions: DataFrame) -> DataFrame:
-    errors = prediction_error(predictions).select(*ARRIVAL, "Invoice ID", "error")
-    return ordered.cumulative_error(errors, ARRIVAL).select("Invoice ID", *_double("error", "cumulative_error"))
+    errors = prediction_error(predictions).select(*ORDER, "Invoice ID", "error")
+    summed = ordered.cumulative_error(errors, ORDER, keep=["Invoice ID", "error"])
+    return summed.select("Invoice ID", *_double("error", "cumulative_error"))
 
 
 def serve_cumulative_error(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cumulative(_stream(spark, sf_dir))
+    return _cumulative(_stream(spark, sf_dir, arrival=True))
 
 
 def serve_cumulative_error_last50(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cumulative(ordered.last_rows(_stream(spark, sf_dir), ARRIVAL))
+    return _cumulative(ordered.last_rows(_stream(spark, sf_dir, arrival=True), ORDER))
 
 
 QUERIES = {

@@ -30,15 +30,16 @@ def scan_predictions(spark: SparkSession, *folders: str) -> DataFrame:
     return spark.read.schema(PREDICTIONS).csv(list(folders), header=False, pathGlobFilter="*.csv")
 
 
-def with_arrival(files: DataFrame) -> DataFrame:
+def with_arrival(scan: DataFrame) -> DataFrame:
     """Add the order in which rows arrived: file time, file, block, row within the block.
 
     Must be applied to the scan itself. Row ids grow along a block, and
     blocks of one file are ordered by their offset, so the four columns
     reproduce "files by modification time, then line by line" however the
-    files are split over tasks.
+    files are split over tasks. A retried task reads the same block and
+    gives the same values.
     """
-    return files.select(
+    return scan.select(
         "*",
         F.col("_metadata.file_modification_time").alias("arrived_at"),
         F.col("_metadata.file_path").alias("arrived_file"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from salesflow.functions.cleaning import content_key
 from salesflow.schema import FIELDS, MONEY, RAW_TO_FIELD
+from salesflow.sources.files import ARRIVAL, with_arrival
 
 _ORDER_FIELDS = {"date", "payment"}
 _CUSTOMER_FIELDS = {"branch", "city", "customer_type"}
@@ -79,11 +80,17 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales(spark, sf_dir, *RAW_TO_FIELD.values()).toDF(*RAW_TO_FIELD)
 
 
-def prediction_set(spark: SparkSession, sf_dir: str, modulus: int) -> DataFrame:
-    """One formula-made prediction per order: total plus a few cents, never from a model."""
+def prediction_set(spark: SparkSession, sf_dir: str, modulus: int, arrival: bool = False) -> DataFrame:
+    """One formula-made prediction per order: total plus a few cents, never from a model.
+
+    With the arrival columns, (date, order, arrival) is a total order even
+    where an order occurs many times.
+    """
+    orders = table(spark, sf_dir, "orders")
     total = F.col("o_totalprice").cast("decimal(14,2)")
     shift = F.lit("0.01").cast("decimal(3,2)") * (F.col("o_orderkey") % modulus - modulus // 2)
-    return table(spark, sf_dir, "orders").select(
+    return (with_arrival(orders) if arrival else orders).select(
+        *(ARRIVAL if arrival else ()),
         "o_orderdate",
         "o_orderkey",
         F.col("o_orderkey").cast("string").alias("Invoice ID"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from salesflow.operators import ordered
 from salesflow.operators.describe import describe
+from salesflow.sources import files
 from salesflow.sources.tables import prediction_set, table
 
 
@@ -85,7 +86,7 @@ def test_last_and_first_rows(spark):
 
 
 def test_last_rows_never_sorts_everything(spark, sf):
-    plan = ordered.last_rows(prediction_set(spark, sf, 5), ["o_orderdate", "o_orderkey"])._jdf.queryExecution()
+    plan = ordered.last_rows(prediction_set(spark, sf, 5, arrival=True), ["o_orderdate", "o_orderkey", *files.ARRIVAL])._jdf.queryExecution()
     assert "TakeOrderedAndProject" in plan.executedPlan().toString()
 
 
@@ -131,3 +132,18 @@ def test_describe_when_one_value_holds_most_rows(spark):
 
 def test_describe_table_column(spark, sf):
     check_against_pandas(table(spark, sf, "orders"), ["o_totalprice"])
+
+
+def test_copies_of_one_key_are_spread_and_numbered(spark, tmp_path):
+    """A third of all rows are equal; arrival tells them apart, so no range partition holds them all."""
+    rows = spark.range(0, 30000, 1, 6).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+    rows.write.parquet(str(tmp_path / "t"))
+    scan = files.with_arrival(spark.read.parquet(str(tmp_path / "t")))
+    order = ["k", *files.ARRIVAL]
+    sizes = scan.repartitionByRange(10, *order).groupBy(F.spark_partition_id()).count()
+    assert sizes.agg(F.max("count")).first()[0] < 6000
+    numbered = ordered.number_rows(scan, order, partitions=10)
+    assert numbered.select("row_number").distinct().count() == 30000
+    assert numbered.agg(F.max("row_number")).first()[0] == 30000
+    assert ordered.number_rows(scan, order, partitions=10, keep=["k"]).columns == ["k", "row_number"]
+    assert numbered.where("k = -1").agg(F.max("row_number")).first()[0] == 10000
