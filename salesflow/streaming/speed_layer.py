@@ -17,6 +17,20 @@ PARTIAL_SCHEMA = (
 )
 
 
+# What the results need of an event; only this is kept between the two writes of a batch.
+_USED = (
+    "id",
+    "invoice_id",
+    "city",
+    "product_line",
+    "customer_type",
+    "total",
+    "gross_income",
+    "quantity",
+    "rating",
+)
+
+
 def partials(events: DataFrame) -> DataFrame:
     """Sums at the grain the four running aggregates share."""
     return events.groupBy("city", "product_line", "customer_type").agg(
@@ -48,7 +62,7 @@ def current_views(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 def store_batch(messages: DataFrame, batch_id: int, root: str) -> None:
     """Write the partial sums and the top-rated rows of one micro-batch; a replay replaces them."""
-    events = as_events(decode_json(messages)).persist(StorageLevel.MEMORY_AND_DISK)
+    events = as_events(decode_json(messages)).select(*_USED).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         partials(events).write.mode("overwrite").parquet(f"{root}/partials/batch_id={batch_id}")
         rated = top_rated(events).select("id", "invoice_id", "product_line", "rating")

@@ -16,7 +16,10 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 def oracle_rows(sql: str, sf_dir: str) -> tuple[list[str], list[tuple], list[str]]:
     connection = duckdb.connect()
     for name in TABLES:
-        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+        path = Path(sf_dir, f"{name}.parquet")
+        if path.exists():
+            files = f"{path}/*.parquet" if path.is_dir() else path
+            connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{files}'")
     relation = connection.execute(sql)
     columns = [d[0] for d in relation.description]
     return columns, relation.fetchall(), [str(d[1]) for d in relation.description]
