@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesflow.functions.cleaning import nan_to_null
-from salesflow.schema import EVENT, MONEY, MONEY_FIELDS, avro_schema
+from salesflow.schema import EVENT, FIELDS, MONEY, MONEY_FIELDS, avro_schema
 
 CORRUPT = "_corrupt_record"
 
@@ -19,14 +19,15 @@ def encode_json(df: DataFrame, key: str | None = None) -> DataFrame:
     return df.select(F.encode(F.col(key), "UTF-8").alias("key"), value) if key else df.select(value)
 
 
-def decode_json(messages: DataFrame, schema: T.StructType = EVENT) -> DataFrame:
+def decode_json(messages: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
     """Messages -> flat record columns plus ``_corrupt_record``.
 
+    Only the named fields are converted; the parser skips over the others.
     ``inline`` flattens the struct in one generator step. A plain
     ``data.*`` projection lets a later filter be pushed below it, which
     parses each message twice.
     """
-    target = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    target = T.StructType([*[EVENT[f] for f in fields], T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(
         F.col("value").cast("string"), target, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )

@@ -40,6 +40,16 @@ SPEED_VIEWS = {
     "total_quantity_by_product_view": (quantity_by_product, "product_line, total_quantity_sold"),
     "top_rated_products_view": (top_rated, "id, product_line, rating"),
 }
+TOP_RATED_VIEW = "top_rated_products_view"
+
+# view name -> event fields it needs decoded; every message is told apart from garbage by its id
+VIEW_FIELDS = {
+    "total_sales_by_city_product_view": ("id", "city", "product_line", "total"),
+    "total_sales_by_customer_type_view": ("id", "customer_type", "total"),
+    "total_gross_income_by_product_view": ("id", "product_line", "gross_income"),
+    "total_quantity_by_product_view": ("id", "product_line", "quantity"),
+    "top_rated_products_view": ("id", "invoice_id", "product_line", "rating"),
+}
 
 
 def named_query(events: DataFrame, view: str, columns: str | None = None) -> DataFrame:

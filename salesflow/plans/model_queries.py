@@ -54,7 +54,7 @@ def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The topic scored by a saved model into headerless CSV files, read back by position."""
     model = scoring.load_model(_saved_model(spark, sf_dir))
     root = scratch_dir(spark, "scored")
-    events = as_events(decode_json(sales_messages(spark, sf_dir)))
+    events = as_events(decode_json(sales_messages(spark, sf_dir), ("id", "invoice_id", "total", *FEATURES)))
     run_append(scoring.score(events, model, 0.0), f"{root}/result", f"{root}/checkpoint", fmt="csv")
     return files.scan_predictions(spark, f"{root}/result")
 

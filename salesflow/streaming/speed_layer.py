@@ -1,15 +1,17 @@
-"""All running results from one pass over the topic."""
+"""The running results, as one streaming query per view or all from one pass over the topic."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from salesflow.functions.codecs import as_events, decode_json
-from salesflow.operators.speed import top_rated
-from salesflow.streaming.runners import start
+from salesflow.operators.speed import SPEED_VIEWS, TOP_RATED_VIEW, VIEW_FIELDS, named_query, top_rated
+from salesflow.streaming.runners import run_append, run_complete, start
 
 PARTIAL_SCHEMA = (
     "city string, product_line string, customer_type string, "
@@ -17,18 +19,27 @@ PARTIAL_SCHEMA = (
 )
 
 
-# What the results need of an event; only this is kept between the two writes of a batch.
-_USED = (
-    "id",
-    "invoice_id",
-    "city",
-    "product_line",
-    "customer_type",
-    "total",
-    "gross_income",
-    "quantity",
-    "rating",
-)
+def run_view(messages: DataFrame, view: str, root: str, columns: str | None = None, every: str | None = None) -> DataFrame:
+    """One view as a query of its own, decoding only what it needs; returns its table at ``root/result``.
+
+    Aggregates replace their result after every micro-batch, the rating
+    filter appends.
+    """
+    rows = named_query(as_events(decode_json(messages, VIEW_FIELDS[view])), view, columns)
+    run = run_append if view == TOP_RATED_VIEW else run_complete
+    run(rows, f"{root}/result", f"{root}/checkpoint", every=every)
+    return rows.sparkSession.read.schema(rows.schema).parquet(f"{root}/result")
+
+
+def run_separately(messages: DataFrame, root: str) -> dict[str, DataFrame]:
+    """All five views side by side, each reading the topic for itself with its own checkpoint."""
+    with ThreadPoolExecutor(max_workers=len(SPEED_VIEWS)) as pool:
+        running = {view: pool.submit(run_view, messages, view, f"{root}/{view}") for view in SPEED_VIEWS}
+    return {view: job.result() for view, job in running.items()}
+
+
+# What the results need of an event; only this is decoded, and kept between the two writes of a batch.
+_USED = tuple(dict.fromkeys(field for fields in VIEW_FIELDS.values() for field in fields))
 
 
 def partials(events: DataFrame) -> DataFrame:
@@ -62,7 +73,7 @@ def current_views(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 def store_batch(messages: DataFrame, batch_id: int, root: str) -> None:
     """Write the partial sums and the top-rated rows of one micro-batch; a replay replaces them."""
-    events = as_events(decode_json(messages)).select(*_USED).persist(StorageLevel.MEMORY_AND_DISK)
+    events = as_events(decode_json(messages, _USED)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         partials(events).write.mode("overwrite").parquet(f"{root}/partials/batch_id={batch_id}")
         rated = top_rated(events).select("id", "invoice_id", "product_line", "rating")

@@ -36,6 +36,12 @@ def test_nan_rating_is_no_top_rating_and_sums_survive(spark):
     assert [tuple(r) for r in sales_by_city_product(events).collect()] == [(None, None, 2.0)]
 
 
+def test_only_named_fields_are_decoded(spark):
+    decoded = codecs.decode_json(messages(spark, '{"id": "a", "total": 1.5, "quantity": "x"}'), ("id", "total"))
+    assert decoded.columns == ["id", "total", "_corrupt_record"]
+    assert [tuple(r) for r in decoded.collect()] == [("a", 1.5, None)]
+
+
 def test_quote_and_unicode_survive(spark):
     df = spark.createDataFrame([("1", "O'Brien"), ("2", 'a "b" \\ ü\n'), ("3", None)], "id string, city string")
     encoded = codecs.encode_json(df, key="id")

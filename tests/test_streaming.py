@@ -22,12 +22,22 @@ def messages(spark, sf):
     return lambda: sales_messages(spark, sf)
 
 
-@pytest.mark.parametrize("name", [n for n in speed.SPEED_VIEWS if n != "top_rated_products_view"])
-def test_running_aggregate_equals_batch(spark, sf, messages, tmp_path, name):
-    stream = as_events(decode_json(sales_messages(spark, sf, streaming_session(spark, 3))))
-    query = run_complete(speed.named_query(stream, name), f"{tmp_path}/out", f"{tmp_path}/ckpt")
-    assert query.lastProgress["batchId"] >= 2  # several micro-batches carried state
-    assert rows(spark.read.parquet(f"{tmp_path}/out")) == rows(speed.SPEED_VIEWS[name][0](sales(spark, sf)))
+def test_separate_queries_equal_batch(spark, sf, tmp_path):
+    everything = sales(spark, sf)
+    results = speed_layer.run_separately(sales_messages(spark, sf, streaming_session(spark, 3)), str(tmp_path))
+    assert set(results) == set(speed.SPEED_VIEWS)
+    for name, found in results.items():
+        operator, projection = speed.SPEED_VIEWS[name]
+        assert rows(found) == rows(operator(everything).selectExpr(*projection.split(", ")))
+
+
+def test_state_is_carried_over_micro_batches(spark, sf, tmp_path):
+    events = as_events(decode_json(sales_messages(spark, sf, streaming_session(spark, 3))))
+    counts = events.groupBy("product_line").agg(F.count("*").alias("n"))
+    query = run_complete(counts, f"{tmp_path}/out", f"{tmp_path}/ckpt")
+    assert query.lastProgress["batchId"] >= 2
+    assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == 3
+    assert spark.read.parquet(f"{tmp_path}/out").agg(F.sum("n")).first()[0] == sales(spark, sf, "gender").count()
 
 
 def test_restart_adds_nothing_and_continues(spark, sf, tmp_path):
