@@ -9,7 +9,6 @@ from salesflow.functions import codecs
 from salesflow.functions.cleaning import nan_to_null, strip_prefix
 from salesflow.operators import ingest, ordered, views
 from salesflow.plans.refresh import publish_view
-from salesflow.schema import FIELDS
 from salesflow.session import scratch_dir
 from salesflow.sources import files
 from salesflow.sources.tables import prediction_set, raw_sales, sales, table
