@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_SCRATCH: dict[str, str] = {}
+#: Scratch folders by application, oldest first.
+_OWNED: dict[str, list[str]] = {}
 
 
 def build_session(app: str = "salesflow", master: str | None = None, **conf: str) -> SparkSession:
@@ -29,24 +31,48 @@ def build_session(app: str = "salesflow", master: str | None = None, **conf: str
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share, named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only in local mode, where driver and
-    executors are one process; on a cluster the setting is required.
+    Where that is unset, a folder in the warehouse, which driver and executors
+    share as well.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    app = context.applicationId
-    if app not in _LOCAL_SCRATCH:
-        _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="salesflow-")
-    return _LOCAL_SCRATCH[app]
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    return shared.rstrip("/")
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder; nothing else writes there."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder; nothing else writes there.
+
+    The session owns it: ``release`` removes it, and so does the end of the
+    application. Call ``release`` once the results that read it are written.
+    """
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _OWNED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    target, files = _hadoop(spark, path)
+    files.deleteOnExit(target)
+    return path
+
+
+def _hadoop(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def release(spark: SparkSession, keep: int = 0) -> None:
+    """Remove the scratch folders the application made after its first ``keep``."""
+    owned = _OWNED.get(spark.sparkContext.applicationId, [])
+    for path in owned[keep:]:
+        target, files = _hadoop(spark, path)
+        files.delete(target, True)
+    del owned[keep:]
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove on leaving whatever was staged inside; write results before that."""
+    before = len(_OWNED.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        release(spark, before)
 
 
 def streaming_session(spark: SparkSession, partitions: int = 8) -> SparkSession:
