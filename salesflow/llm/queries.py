@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.llm import block_names, sharding, voronoi
+from salesflow.llm import block_names, bpe, complement_packing, sharding, token_matrix, voronoi
+from salesflow.llm.encoding import vocabulary
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed matrix of all documents, its rows as they would be written."""
+    return token_matrix.pack_matrix(_table(spark, sf_dir, "documents"), vocabulary())
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight equal shards; law: ``key``."""
     return sharding.placements(_table(spark, sf_dir, "documents"))
@@ -23,14 +29,25 @@ def op4_voronoi_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return voronoi.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op5_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return complement_packing.pack_documents(_table(spark, sf_dir, "documents"), vocabulary())
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(_table(spark, sf_dir, "documents"), vocabulary())
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = block_names.exact_duplicates(_table(spark, sf_dir, "documents"))
     return result.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_matrix": op2_token_matrix,
     "op3_sharding": op3_sharding,
     "op4_voronoi_top_k": op4_voronoi_top_k,
+    "op5_complement_packing": op5_complement_packing,
+    "op6_bpe": op6_bpe,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
