@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from array import array
 
 import numpy as np
 
@@ -36,7 +37,8 @@ def _traits(path: str) -> tuple[bool, bool]:
     steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or []
     first = steps[0] if steps else {}
     kept = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert")
-    parts = kept and first["pattern"].get("Regex", "").endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+    bytewise = [s.get("type") for s in steps] == ["Split", "ByteLevel"] and not steps[1]["use_regex"] and not steps[1]["add_prefix_space"]
+    parts = kept and bytewise and first["pattern"].get("Regex", "").endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
     lowers = any(n.get("type") == "Lowercase" for n in (spec.get("normalizer") or {}).get("normalizers", []))
     return bool(parts and not spec.get("post_processor")), lowers
 
@@ -50,7 +52,7 @@ class Encoder:
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.no_truncation()
@@ -61,28 +63,42 @@ class Encoder:
         chunked, self._lowers = _traits(path)
         self._chunked = bool(self._mark) and chunked
         self._apart = [self._mark, *(t.content for t in added)]
+        letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self._letters = {code: letters(chr(code))[0][0] for code in range(128, 256)}
+        self._model = self._tokenizer.model
         self._remembered, self._known = remembered, {"": b""}
         self.size = self._tokenizer.get_vocab_size()
 
     def _whole(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _word(self, word: str) -> bytes:
+        """A word of letters below 256 has only its case to lose before the model sees it."""
+        word = word.lower() if self._lowers else word
+        found = self._model.tokenize(word if word.isascii() else word.translate(self._letters))
+        return array("I", [t.id for t in found]).tobytes()
+
     def _learn(self, chunks: set[str]) -> None:
         if len(self._known) + len(chunks) > self._remembered:
             self._known = {"": b""}
-        known, tailed, plain = self._known, [], set()
+        known, plain = self._known, []
         for chunk in chunks:
             stem = chunk.rstrip(_TAIL)
-            if len(stem) < len(chunk) and stem.lower().isalpha() and self._mark not in stem:
-                tailed.append((chunk, stem))
-                plain.update(x for x in (stem, chunk[len(stem) :]) if x not in known)
-            elif any(m in chunk for m in self._apart):
-                known[chunk] = self._whole(chunk)
-            else:
-                plain.add(chunk)
-        self._learn_plain(list(plain))
-        for chunk, stem in tailed:
-            known[chunk] = known[stem] + known[chunk[len(stem) :]]
+            if not stem.isalpha() or max(stem) > "\xff":
+                plain.append(chunk)
+                continue
+            ids = known.get(stem)
+            if ids is None:
+                ids = known[stem] = self._word(stem)
+            if len(stem) < len(chunk):
+                tail = known.get(chunk[len(stem) :])
+                if tail is None:
+                    tail = known[chunk[len(stem) :]] = self._whole(chunk[len(stem) :])
+                known[chunk] = ids + tail
+        alone = [c for c in plain if any(m in c for m in self._apart)]
+        for chunk in alone:
+            known[chunk] = self._whole(chunk)
+        self._learn_plain(list(set(plain).difference(alone)))
 
     def _learn_plain(self, plain: list[str]) -> None:
         mark = int.from_bytes(self._mark_id, "little")
@@ -99,8 +115,10 @@ class Encoder:
         """The ids as little-endian unsigned 32-bit integers."""
         if not self._chunked:
             return self._whole(text)
-        if self._lowers and text.isascii() and not any(m in text for m in self._apart):
-            text = text.lower()  # fewer different chunks, the same ids
+        if self._lowers and text.isascii():
+            lower = text.lower()  # fewer different chunks, the same ids
+            if not any(m.lower() in lower for m in self._apart):
+                text = lower
         chunks = text.replace("\n", " ").split(" ")
         try:
             return b"".join(map(self._known.__getitem__, chunks))
