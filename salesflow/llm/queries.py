@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.llm import block_names, bpe, complement_packing, sharding, token_matrix, voronoi
+from salesflow.llm import block_names, bpe, complement_packing, language, line_quality, sharding, token_matrix, voronoi
 from salesflow.llm.encoding import vocabulary
+from salesflow.llm.sampling import fold
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +38,26 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    model = language.fit(documents.where(~held_out))
+    found = language.with_language(documents.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    field = line_quality.fit(documents, labels.where(fold(F.col("doc_id"), 5) != 0))
+    scored = line_quality.with_quality(documents.select("doc_id", "text"), field)
+    return scored.select(
+        "doc_id",
+        (fold(F.col("doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = block_names.exact_duplicates(_table(spark, sf_dir, "documents"))
     return result.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -48,7 +69,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_voronoi_top_k": op4_voronoi_top_k,
     "op5_complement_packing": op5_complement_packing,
     "op6_bpe": op6_bpe,
+    "op7_language": op7_language,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_line_quality": op10_line_quality,
 }
 
 ORACLES: dict[str, str] = {
