@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.llm import block_names, bpe, complement_packing, language, line_quality, sharding, token_matrix, voronoi
+from salesflow.llm import (
+    block_names,
+    bpe,
+    complement_packing,
+    language,
+    licenses,
+    line_quality,
+    near_duplicates,
+    sharding,
+    token_matrix,
+    voronoi,
+)
 from salesflow.llm.encoding import vocabulary
 from salesflow.llm.sampling import fold
 
@@ -16,6 +27,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files ``source/lang/doc_id``; licence files hand their licence down to their directory."""
+    documents = _table(spark, sf_dir, "documents")
+    files = documents.select("doc_id", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"), "text")
+    return licenses.scan(files)
+
+
 def op2_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The packed matrix of all documents, its rows as they would be written."""
     return token_matrix.pack_matrix(_table(spark, sf_dir, "documents"), vocabulary())
@@ -58,23 +76,125 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = block_names.exact_duplicates(_table(spark, sf_dir, "documents"))
     return result.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licenses": op1_licenses,
     "op2_token_matrix": op2_token_matrix,
     "op3_sharding": op3_sharding,
     "op4_voronoi_top_k": op4_voronoi_top_k,
     "op5_complement_packing": op5_complement_packing,
     "op6_bpe": op6_bpe,
     "op7_language": op7_language,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_line_quality": op10_line_quality,
 }
 
+_TEMPLATE_ROWS = ", ".join(f"('{name}', '{text}')" for name, text in licenses.TEMPLATES.items())
+
+#: Words of five by position, as the near-duplicate operator defines them.
+_WORDS = """
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\\x20\\x09-\\x0D]+') AS w
+          FROM documents"""
+
 ORACLES: dict[str, str] = {
+    "op1_licenses": f"""
+        WITH template(license, body) AS (VALUES {_TEMPLATE_ROWS}),
+        tt AS (
+          SELECT license, t, count(*) AS n
+          FROM (SELECT license, unnest(regexp_extract_all(lower(body), '[\\p{{L}}\\p{{N}}]+')) AS t FROM template) GROUP BY ALL
+        ),
+        doc AS (
+          SELECT row_number() OVER () AS r, doc_id, concat_ws('/', source, lang, doc_id::VARCHAR) AS path, coalesce(text, '') AS body
+          FROM documents
+        ),
+        df AS (
+          SELECT t, count(*) AS n
+          FROM (SELECT DISTINCT r, unnest(regexp_extract_all(lower(body), '[\\p{{L}}\\p{{N}}]+')) AS t FROM doc)
+          WHERE t IN (SELECT t FROM tt) GROUP BY t
+        ),
+        total AS (SELECT count(*) AS n FROM doc),
+        idf AS (
+          SELECT DISTINCT tt.t, ln((1 + total.n) / (1 + coalesce(df.n, 0))) + 1 AS w FROM tt LEFT JOIN df USING (t), total
+        ),
+        norm AS (SELECT license, sqrt(sum((n * w) ** 2)) AS z FROM tt JOIN idf USING (t) GROUP BY license),
+        seg AS (
+          SELECT r, 0 AS line, body FROM doc
+          UNION ALL
+          SELECT r, unnest(range(1, len(string_split(body, chr(10))) + 1)), unnest(string_split(body, chr(10))) FROM doc
+        ),
+        st AS (
+          SELECT r, line, t, count(*) AS n
+          FROM (SELECT r, line, unnest(regexp_extract_all(lower(body), '[\\p{{L}}\\p{{N}}]+')) AS t FROM seg) GROUP BY ALL
+        ),
+        sn AS (
+          SELECT r, line, sqrt(sum((st.n * coalesce(w, ln((1 + total.n) / 2) + 1)) ** 2)) AS z
+          FROM st LEFT JOIN idf USING (t), total GROUP BY r, line
+        ),
+        cosine AS (
+          SELECT st.r, st.line, tt.license, round(sum(st.n * tt.n * w * w) / any_value(sn.z) / any_value(norm.z), 6) AS score
+          FROM st JOIN tt USING (t) JOIN idf USING (t) JOIN norm USING (license) JOIN sn ON sn.r = st.r AND sn.line = st.line
+          GROUP BY st.r, st.line, tt.license
+        ),
+        best AS (
+          SELECT r, line = 0 AS whole, license, score FROM cosine
+          QUALIFY row_number() OVER (PARTITION BY r, line = 0 ORDER BY score DESC, license) = 1
+        ),
+        own AS (
+          SELECT r, license, score, CASE WHEN whole THEN 'file' ELSE 'header' END AS evidence FROM best
+          WHERE score >= CASE WHEN whole THEN {licenses.FILE} ELSE {licenses.HEADER} END
+          QUALIFY row_number() OVER (PARTITION BY r ORDER BY whole DESC) = 1
+        ),
+        placed AS (
+          SELECT doc.r, doc_id, path, regexp_replace(path, '/?[^/]*$', '') AS dir, license, score, evidence
+          FROM doc LEFT JOIN own USING (r)
+        ),
+        holder AS (
+          SELECT dir, license FROM placed WHERE evidence = 'file'
+          QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, license) = 1
+        ),
+        above AS (
+          SELECT d.dir, holder.dir AS license_dir, holder.license AS passed
+          FROM (SELECT DISTINCT dir FROM placed) d JOIN holder
+            ON holder.dir = d.dir OR holder.dir = '' OR starts_with(d.dir, holder.dir || '/')
+          QUALIFY row_number() OVER (PARTITION BY d.dir ORDER BY length(holder.dir) DESC) = 1
+        )
+        SELECT doc_id, path, license AS own_license, score AS own_score,
+               coalesce(evidence, CASE WHEN passed IS NOT NULL THEN 'inherited' END) AS evidence,
+               coalesce(license, passed) AS license,
+               CASE WHEN evidence IS NULL THEN license_dir END AS license_dir
+        FROM placed LEFT JOIN above USING (dir)""",
+    "op8_near_duplicates": f"""
+        WITH RECURSIVE words AS ({_WORDS}),
+        sh AS (
+          SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+          FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+        ),
+        n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+        pair AS (
+          SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+          FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+        ),
+        link AS (
+          SELECT a, b FROM pair JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 75 * (x.n + y.n - shared)
+        ),
+        reach(doc_id, other) AS (
+          SELECT doc_id, doc_id FROM documents
+          UNION
+          SELECT reach.doc_id, link.b FROM reach JOIN link ON link.a = reach.other
+        ),
+        low AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+        SELECT low.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, low.doc_id = component_id AS kept
+        FROM low LEFT JOIN n ON n.doc_id = low.doc_id""",
     # the draws are 52-bit prefixes of MD5; with equal weights the largest draw wins
     "op3_sharding": """
         WITH RECURSIVE steps(b, n, c) AS (
