@@ -1,10 +1,76 @@
-"""From raw documents to packed sequences, in stages of the training-data operators."""
+"""From raw documents to packed sequences, in stages of the training-data operators.
+
+Each stage gets what its predecessor kept and, but for the last, returns the
+columns of documents. ``doc_id`` names a document.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from salesflow.llm import block_names, complement_packing, language, line_quality, near_duplicates
+from salesflow.llm.encoding import vocabulary
+from salesflow.session import stage
+
+#: Posterior below which a language is not told, and score from which a document is good.
+LEAST_POSTERIOR, LEAST_QUALITY = 0.5, 0.3
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or of no language that is likelier than not, go."""
+    model = language.fit(docs)
+    told = language.with_language(docs, model, into="_lang_pred", score="_posterior")
+    return told.where((F.col("_lang_pred") != language.UNDETERMINED) & (F.col("_posterior") >= LEAST_POSTERIOR)).select(docs.columns)
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line labels find bad go."""
+    field = line_quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = line_quality.with_quality(docs, field, into="_quality")
+    return scored.where(F.col("_quality") >= LEAST_QUALITY).select(docs.columns)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts one row stays."""
+    kept = (
+        block_names.exact_duplicates(docs)
+        .where("kept")
+        .select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_body"), F.col("chars").alias("_size"))
+    )
+    body = F.sha2(block_names.normalised(F.col("text")).cast("binary"), 256)
+    marked = docs.withColumns({"_body_of": body, "_size_of": F.length(F.coalesce("text", F.lit(""))).cast("long")})
+    same = marked["doc_id"].eqNullSafe(kept["_id"]) & (F.col("_body_of") == F.col("_body")) & (F.col("_size_of") == F.col("_size"))
+    repeat = F.row_number().over(Window.partitionBy("doc_id", "_body_of", "_size_of").orderBy("_size_of"))
+    return marked.join(kept, same, "left_semi").withColumn("_repeat", repeat).where("_repeat = 1").select(docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that links connect, the one with the smallest id stays."""
+    kept = near_duplicates.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]), "left_semi").select(docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all pieces in sequences of 4096 tokens."""
+    return complement_packing.pack_documents(docs, vocabulary())
+
+
+STAGES = [
+    ("language ID", identify_language),
+    ("quality classifier", keep_quality),
+    ("exact dedup", drop_copies),
+    ("MinHash near-dedup", drop_near_copies),
+    ("best-fit packing", pack),
+]
+
+#: The classifiers and the tokenizer have no SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``; each result is written and read again as the next one's input."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, function in STAGES:
+        docs = stage(function(spark, docs, sf_dir), name.replace(" ", "-"))
+    return docs
