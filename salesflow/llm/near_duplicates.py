@@ -1,12 +1,12 @@
 """Near duplicates: MinHash bands name candidates, odd sketches sift them, full shingle sets decide.
 
 A document's class is its set of shingles: documents with the same set are one
-row from the first shuffle on. Candidates are found in two rounds. First, every
-band's bucket gets a leader, each class is compared with the leader that its
-sketch says is nearest, and what is linked becomes a component. Then pairs of
-the same bucket that are still in different components are compared. So a large
-group of near copies costs about one comparison for each member, while no pair
-of a bucket whose link could join two components is left out.
+row from the first shuffle on. Candidates are found in rounds. Every band's
+bucket gets a leader; each class is compared with the leader that its sketch
+says is nearest, then with those still in other components. Last, pairs of the
+same bucket that are in different components are compared. So a large group of
+near copies costs a few comparisons for each member, while no pair of a bucket
+whose link could join two components is left out.
 """
 
 from __future__ import annotations
@@ -27,11 +27,11 @@ from salesflow.session import stage
 WORDS, PERCENT = 5, 75
 #: MinHash bands and samples in each: a pair of similarity 0.75 shares no band with a chance of 5e-6.
 BANDS, ROWS = 32, 4
-#: 64-bit words of an odd sketch.
-SKETCH = 16
-#: Pairs whose sketches put them below this similarity (in hundredths) are not compared. With 128 samples the
-#: estimate of a pair of 0.75 has a standard deviation of about 0.042, so this is six of them away.
-FLOOR = 50
+#: Bins of a sketch's samples, as a power of two, and 64-bit words of its bitmap.
+BINS, SKETCH = 10, 32
+#: Pairs whose sketches put them below this similarity (in hundredths) are not compared. At a similarity of
+#: 0.75 the estimate has a standard deviation of at most 0.016, so this is over five of them away.
+FLOOR = 66
 #: Words a worker remembers the hash of.
 REMEMBERED = 500_000
 #: Words shingled at once; a longer text is shingled in overlapping parts.
@@ -59,11 +59,11 @@ def _word_hashes(words: list[bytes]) -> np.ndarray:
     if len(known) > REMEMBERED:
         known.clear()
     try:
-        return np.array([known[w] for w in words], dtype=np.uint64)
+        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     except KeyError:
         for word in set(words).difference(known):
             known[word] = xxhash.xxh3_64_intdigest(word)
-        return np.array([known[w] for w in words], dtype=np.uint64)
+        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
 def shingles(text: bytes, size: int = WORDS) -> np.ndarray:
@@ -86,14 +86,13 @@ def shingles(text: bytes, size: int = WORDS) -> np.ndarray:
 
 
 def minhash(hashes: np.ndarray) -> np.ndarray:
-    """One minimum per sample; samples are independent mixes of the shingle hashes."""
-    mins = np.empty(BANDS * ROWS, dtype=np.uint64)
-    factors = _FACTORS[WORDS * 4 :]
-    small = (hashes >> np.uint64(32)) ^ hashes
-    for sample in range(BANDS * ROWS):
-        mixed = small * factors[2 * sample] + factors[2 * sample + 1]
-        mixed ^= mixed >> np.uint64(32)
-        mins[sample] = (mixed * _MIX).min()
+    """One minimum per sample: of the shingle hashes, times an odd factor and shifted, modulo 2**64."""
+    factors = _FACTORS[WORDS * 4 :].reshape(-1, 2)
+    mins = np.full(len(factors), np.iinfo(np.uint64).max, dtype=np.uint64)
+    for at in range(0, len(hashes), 2048):
+        table = hashes[at : at + 2048] * factors[:, :1]
+        table += factors[:, 1:]
+        np.minimum(mins, table.min(axis=1), out=mins)
     return mins
 
 
@@ -104,12 +103,17 @@ def band_keys(mins: np.ndarray) -> np.ndarray:
     return keys
 
 
-def odd_sketch(mins: np.ndarray, words: int = SKETCH) -> np.ndarray:
-    """Bits that hold the parity of how many samples fall on them."""
-    samples = np.arange(1, len(mins) + 1, dtype=np.uint64)
-    bits = _mixed(mins + samples * _FACTORS[0]) % np.uint64(64 * words)
-    parity = np.bincount(bits.astype(np.int64), minlength=64 * words) & 1
-    return np.packbits(parity.astype(np.uint8), bitorder="little").view(np.uint64)
+def odd_sketch(hashes: np.ndarray) -> tuple[np.ndarray, int]:
+    """A bitmap with the parity of how many samples fall on each bit, and the number of samples.
+
+    The samples are the minima of the bins that the hashes' leading bits name;
+    the hashes are sorted, so a bin's minimum is the first in it.
+    """
+    bins = hashes >> np.uint64(64 - BINS)
+    samples = hashes[np.flatnonzero(np.append(True, bins[1:] != bins[:-1]))]
+    bits = _mixed(samples) % np.uint64(64 * SKETCH)
+    parity = np.bincount(bits.astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(parity.astype(np.uint8), bitorder="little").view(np.uint64), len(samples)
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +121,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return array.view(np.int64)
 
     for batch in batches:
-        sizes, digests, bands, sketches = [], [], [], []
+        sizes, digests, bands, sketches, samples = [], [], [], [], []
         for text in batch.column("text"):
             found = shingles(text.as_py() or b"")
             sizes.append(len(found))
@@ -125,11 +129,13 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 digests.append(None)
                 bands.append(None)
                 sketches.append(None)
+                samples.append(0)
                 continue
             digests.append(hashlib.blake2b(found.astype("<u8").tobytes(), digest_size=16).digest())
-            mins = minhash(found)
-            bands.append(signed(band_keys(mins)))
-            sketches.append(signed(odd_sketch(mins)))
+            bands.append(signed(band_keys(minhash(found))))
+            sketch, count = odd_sketch(found)
+            sketches.append(signed(sketch))
+            samples.append(count)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
@@ -137,24 +143,36 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(digests, pa.binary()),
                 pa.array(bands, pa.list_(pa.int64())),
                 pa.array(sketches, pa.list_(pa.int64())),
+                pa.array(samples, pa.int32()),
             ],
-            names=["doc_id", "n_shingles", "digest", "bands", "sketch"],
+            names=["doc_id", "n_shingles", "digest", "bands", "sketch", "samples"],
         )
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [shingles(text.as_py()).view(np.int64) for text in batch.column("text")]
-        yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array(found, pa.list_(pa.int64()))], names=["class", "shingles"])
+        found = pa.array([shingles(text.as_py()).view(np.int64) for text in batch.column("text")], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([batch.column("class"), found, batch.column("n")], names=["class", "shingles", "n"])
 
 
-def estimate(one: Column, other: Column) -> Column:
-    """Similarity from two odd sketches: from the odd bits, how many samples differ."""
-    bits = 64.0 * SKETCH
-    odd = F.aggregate(F.zip_with(one, other, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda total, n: total + n)
-    share = F.least(1 - 2 * odd / F.lit(bits), F.lit(1.0))
-    differing = F.when(share > 0, -F.lit(bits) / 2 * F.log(share)).otherwise(F.lit(2.0 * bits))
-    return 1 - differing / F.lit(2.0 * BANDS * ROWS)
+def estimate(a: str, b: str) -> Column:
+    """Similarity of two classes from the columns ``sketch_``, ``samples_`` and ``n_`` of each.
+
+    The odd bits tell how many samples are in one sketch alone, hence how many
+    are in both; bins that both classes fill are expected from the size of
+    their union, which is that of the estimate before.
+    """
+    bits, bins = 64.0 * SKETCH, float(1 << BINS)
+    odd = F.aggregate(
+        F.zip_with(f"sketch_{a}", f"sketch_{b}", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n
+    )
+    share = F.greatest(1 - 2 * odd / F.lit(bits), F.lit(1e-9))
+    shared = (F.col(f"samples_{a}") + F.col(f"samples_{b}") + F.lit(bits / 2) * F.log(share)) / 2
+    like = F.lit(0.75)
+    for _ in range(3):
+        union = (F.col(f"n_{a}") + F.col(f"n_{b}")) / (1 + F.greatest(like, F.lit(0.0)))
+        like = shared / (F.lit(bins) * (1 - F.exp(-union / F.lit(bins))))
+    return like
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -167,6 +185,18 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * shared >= percent * union).select("a", "b")
 
 
+def _with_component(rows: DataFrame, column: str, joined: DataFrame, into: str = "component") -> DataFrame:
+    """The component of a class; a class without a link is its own."""
+    own = joined.select(F.col("node").alias(column), F.col("component").alias("_found"))
+    return rows.join(own, column, "left").withColumn(into, F.coalesce("_found", column)).drop("_found")
+
+
+def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+    """The pairs (a, b) of different components."""
+    both = _with_component(_with_component(pairs, "a", joined, "in_a"), "b", joined, "in_b")
+    return both.where("in_a != in_b").select("a", "b")
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, floor: int = FLOOR) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row.
 
@@ -180,67 +210,66 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     ignored, whatever their names.
     """
     rows = df.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    signed = stage(
-        rows.mapInArrow(_signatures, "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>"), "signatures"
+    schema = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>, samples int"
+    signed = stage(rows.mapInArrow(_signatures, schema), "signatures")
+    same = {"n_shingles": "n", "bands": "bands", "sketch": "sketch", "samples": "samples"}  # alike in all rows of a class
+    classes = stage(
+        signed.where("digest IS NOT NULL")
+        .groupBy(F.col("digest").alias("class"))
+        .agg(F.min("doc_id").alias("least"), *(F.any_value(c).alias(name) for c, name in same.items())),
+        "classes",
     )
-    worded = signed.where("digest IS NOT NULL")
-    classes = stage(worded.groupBy("digest").agg(F.min("doc_id").alias("least"), F.any_value("n_shingles").alias("n")), "classes")
 
-    # the first key of each class stands for it while pairs are found
-    first = worded.join(classes, [worded["digest"] == classes["digest"], worded["doc_id"].eqNullSafe(classes["least"])]).select(
-        worded["digest"].alias("class"), "bands", "sketch", "n_shingles"
-    )
-    members = stage(first.select("class", F.explode(F.array_distinct("bands")).alias("bucket")).distinct(), "buckets")
+    members = classes.select("class", F.explode(F.array_distinct("bands")).alias("bucket"))
     order = F.struct(F.xxhash64("bucket", "class").alias("at"), F.col("class").alias("class"))
     leaders = stage(
         members.groupBy("bucket").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", F.col("first.class").alias("leader")),
         "leaders",
     )
-    shared = stage(members.join(leaders, "bucket").select("bucket", "class", "leader"), "shared-buckets")
-    candidates = shared.select("class").distinct()
+    shared = stage(members.join(leaders, "bucket"), "shared-buckets")
     sketches = stage(
-        first.select("class", "sketch", F.col("n_shingles").alias("n")).dropDuplicates(["class"]).join(candidates, "class", "left_semi"), "sketches"
+        classes.join(shared.select("class").distinct(), "class", "left_semi").select("class", "least", "sketch", "samples", "n"), "sketches"
     )
-    keys = classes.select(F.col("digest").alias("class"), "least").join(candidates, "class", "left_semi")
-    texts = rows.join(keys, rows["doc_id"].eqNullSafe(keys["least"])).select("class", "text")
-    found = texts.mapInArrow(_sets, "class binary, shingles array<long>")
+    keys = sketches.select("class", "least", "n")
+    texts = rows.join(keys, rows["doc_id"].eqNullSafe(keys["least"])).select("class", "text", "n")
+    found = texts.mapInArrow(_sets, "class binary, shingles array<long>, n long")
     # a repeated key may bring a text of another class with it: only the class's own set counts
-    own = F.size("shingles") == F.col("n")
-    sets = stage(found.join(sketches.select("class", "n"), "class").where(own).dropDuplicates(["class"]).drop("n"), "sets")
+    sets = stage(found.where(F.size("shingles") == F.col("n")).dropDuplicates(["class"]).drop("n"), "sets")
 
-    one, other = sketches.select(F.col("class").alias("a"), F.col("sketch").alias("sketch_a"), F.col("n").alias("n_a")), sketches.select(
-        F.col("class").alias("b"), F.col("sketch").alias("sketch_b"), F.col("n").alias("n_b")
-    )
-    sizes_fit = (100 * F.least("n_a", "n_b")) >= percent * F.greatest("n_a", "n_b")
-    near = sizes_fit & (estimate(F.col("sketch_a"), F.col("sketch_b")) >= floor / 100)
+    def side(name: str) -> DataFrame:
+        return sketches.select(*(F.col(c).alias(f"{c}_{name}") for c in ("class", "sketch", "samples", "n"))).withColumnRenamed(f"class_{name}", name)
 
+    like = estimate("a", "b")
+    near = (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (like >= floor / 100)
+
+    # each class and the leaders of its buckets: the likest first, then those of other components
     starred = shared.where("class != leader").select(F.col("class").alias("a"), F.col("leader").alias("b")).distinct()
-    sifted = starred.join(one, "a").join(other, "b").where(near).withColumn("like", estimate(F.col("sketch_a"), F.col("sketch_b")))
-    nearest = sifted.groupBy("a").agg(F.max(F.struct("like", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
-    stars = stage(_linked(stage(nearest, "star-pairs"), sets, percent), "star-links")
-    joined = stage(components(stars), "star-components")
-
-    # what is left: pairs of a bucket in different components, each pair from the first bucket that both are in
-    placed = (
-        shared.join(joined, shared["class"] == joined["node"], "left")
-        .select("bucket", "class", F.coalesce("component", "class").alias("component"))
-    )
-    placed = stage(placed, "placed")
-    open_buckets = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-    still = stage(placed.join(open_buckets.select("bucket"), "bucket").join(sketches, "class"), "open-buckets")
-    left = still.select("bucket", F.col("class").alias("a"), F.col("component").alias("in_a"), F.col("sketch").alias("sketch_a"), F.col("n").alias("n_a"))
-    right = still.select("bucket", F.col("class").alias("b"), F.col("component").alias("in_b"), F.col("sketch").alias("sketch_b"), F.col("n").alias("n_b"))
-    pairs = left.join(right, (left["bucket"] == right["bucket"]) & (F.col("a") < F.col("b")) & (F.col("in_a") != F.col("in_b")) & near)
-    pairs = stage(pairs.select("a", "b").distinct(), "open-pairs")
-    links = stage(stars.unionAll(_linked(pairs, sets, percent)), "all-links")
+    starred = stage(starred.join(side("a"), "a").join(side("b"), "b").where(near).select("a", "b", like.alias("like")), "starred")
+    nearest = starred.groupBy("a").agg(F.max(F.struct("like", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
+    links = stage(_linked(stage(nearest, "star-pairs"), sets, percent), "star-links")
+    others = stage(_apart(starred.select("a", "b"), stage(components(links), "star-components")), "other-leaders")
+    links = stage(links.unionAll(_linked(others, sets, percent)), "leader-links")
+    joined = stage(components(links), "leader-components")
+
+    # what is left: pairs of a bucket in different components
+    placed = stage(_with_component(shared.select("bucket", "class"), "class", joined), "placed")
+    ends = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    still = placed.join(ends.where("low != high").select("bucket"), "bucket")
+    still = stage(still.join(sketches.drop("least"), "class"), "open-buckets")
+
+    def half(name: str) -> DataFrame:
+        return still.select("bucket", *(F.col(c).alias(f"{c}_{name}") for c in ("class", "component", "sketch", "samples", "n")))
+
+    left, right = half("a"), half("b")
+    apart = (F.col("class_a") < F.col("class_b")) & (F.col("component_a") != F.col("component_b"))
+    pairs = left.join(right, (left["bucket"] == right["bucket"]) & apart & near)
+    pairs = stage(pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct(), "open-pairs")
+    links = stage(links.unionAll(_linked(pairs, sets, percent)), "all-links")
     joined = stage(components(links), "components")
 
-    lowest = classes.join(joined, classes["digest"] == joined["node"], "left").select(
-        "digest", "least", F.coalesce("component", "digest").alias("component")
-    )
-    lowest = stage(lowest, "class-components")
+    lowest = stage(_with_component(classes.select("class", "least"), "class", joined).withColumnRenamed("class", "digest"), "class-components")
     of_component = stage(lowest.groupBy("component").agg(F.min("least").alias("component_id")), "component-ids")
     of_class = stage(lowest.join(of_component, "component").select("digest", "component_id"), "class-ids")
-    result = signed.drop("bands", "sketch").join(of_class, "digest", "left")
+    result = signed.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
     component_id = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return result.select("doc_id", "n_shingles", component_id.alias("component_id"), F.col("doc_id").eqNullSafe(component_id).alias("kept"))
