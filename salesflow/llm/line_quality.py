@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import operator
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -17,14 +18,12 @@ from salesflow.llm.sampling import bounded
 
 #: Labelled documents the field is fitted on, about; longer ones than this many lines are not used for fitting.
 MOST_DOCUMENTS, MOST_LINES = 4000, 2000
-#: Characters of a line measured at once; a longer line is measured in parts.
+#: Bytes of a line measured at once; a longer line is measured in parts.
 PART = 1 << 20
 
-_UPPER = "".join(chr(c) for c in range(0x250) if chr(c).isupper())
-_DROP = {
-    name: str.maketrans("", "", signs)
-    for name, signs in {"upper": _UPPER, "digit": "0123456789", "sign": "#$%&*<>{}[]~^=_\\/+@", "call": "!", "bar": "|", "stop": ".,;:?"}.items()
-}
+# signs are counted in Latin-1 bytes, or in UTF-8 where a text has letters beyond
+_UPPER = bytes(c for c in range(256) if chr(c).isupper())
+_DROP = {"upper": _UPPER, "digit": b"0123456789", "sign": b"#$%&*<>{}[]~^=_\\/+@", "call": b"!", "bar": b"|", "stop": b".,;:?"}
 #: Own measures of a line, and those of them that are also taken from the line before and the line after.
 OWN = ("size", "few", *_DROP, "same_as_last", "seen", "word_length", "repeated")
 BESIDE = ("upper", "sign", "call", "bar", "same_as_last", "seen", "repeated")
@@ -32,34 +31,38 @@ _BESIDE = [OWN.index(name) for name in BESIDE]
 WIDTH = len(OWN) + 2 * len(BESIDE)
 
 
-def _measure(line: str, times: int) -> list[float]:
+def _measure(line: bytes, times: int) -> list[float]:
     size, words, kinds, again = len(line), 0, 0, 0
     for at in range(0, size, PART):
         held = line[at : at + PART].split()
         words += len(held)
         kinds += len(set(held))
-        again += sum(map(str.__eq__, held, held[1:]))
-    length = max(size, 1)
+        again += sum(map(operator.eq, held, held[1:]))
+    length = size or 1
     return [
         math.log1p(size) / 10,
         float(words < 3),
-        *((size - len(line.translate(table))) / length for table in _DROP.values()),
+        *[(size - len(line.translate(None, signs))) / length for signs in _DROP.values()],
         again / max(words - 1, 1),
-        1 - kinds / max(words, 1),
-        size / max(words, 1) / 20 if words else 0.0,
+        1 - kinds / (words or 1),
+        size / words / 20 if words else 0.0,
         float(times > 1),
     ]
 
 
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(lines x WIDTH measures, weights): a line weighs its characters, at least one."""
-    lines = text.split("\n")
+    """(lines x WIDTH measures, weights): a line weighs its bytes, at least one."""
+    try:
+        lines = text.encode("latin-1").split(b"\n")
+    except UnicodeEncodeError:
+        lines = text.encode().split(b"\n")
     times = Counter(lines)
     own = np.array([_measure(line, times[line]) for line in lines])
-    beside = own[:, _BESIDE]
-    none = np.zeros((1, len(_BESIDE)))
-    measures = np.hstack([own, np.vstack([none, beside[:-1]]), np.vstack([beside[1:], none])])
-    return measures, np.array([max(len(line), 1) for line in lines], dtype=float)
+    measures = np.zeros((len(lines), WIDTH))
+    measures[:, : len(OWN)] = own
+    measures[1:, len(OWN) : len(OWN) + len(BESIDE)] = own[:-1, _BESIDE]
+    measures[:-1, len(OWN) + len(BESIDE) :] = own[1:, _BESIDE]
+    return measures, np.array([len(line) or 1 for line in lines], dtype=float)
 
 
 def marginals(odds: list[float], steps: np.ndarray) -> list[float]:
