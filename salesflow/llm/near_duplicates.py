@@ -30,8 +30,9 @@ BANDS, ROWS = 32, 4
 #: Bins of a sketch's samples, as a power of two, and 64-bit words of its bitmap.
 BINS, SKETCH = 10, 32
 #: Pairs whose sketches put them below this similarity (in hundredths) are not compared. At a similarity of
-#: 0.75 the estimate has a standard deviation of at most 0.016, so this is over five of them away.
-FLOOR = 66
+#: 0.75 the estimate has a standard deviation of at most 0.016, so this is over five of them away. In small
+#: sets one shingle that takes another's bin counts for more, hence the samples that may lack besides.
+FLOOR, SLACK = 66, 2.0
 #: Words a worker remembers the hash of.
 REMEMBERED = 500_000
 #: Words shingled at once; a longer text is shingled in overlapping parts.
@@ -155,24 +156,22 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("class"), found, batch.column("n")], names=["class", "shingles", "n"])
 
 
-def estimate(a: str, b: str) -> Column:
-    """Similarity of two classes from the columns ``sketch_``, ``samples_`` and ``n_`` of each.
+def shared_samples(a: str, b: str) -> Column:
+    """How many samples two classes share, from the columns ``sketch_`` and ``samples_`` of each.
 
-    The odd bits tell how many samples are in one sketch alone, hence how many
-    are in both; bins that both classes fill are expected from the size of
-    their union, which is that of the estimate before.
+    The bits that differ tell how many samples are in one sketch alone.
     """
-    bits, bins = 64.0 * SKETCH, float(1 << BINS)
-    odd = F.aggregate(
-        F.zip_with(f"sketch_{a}", f"sketch_{b}", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n
-    )
-    share = F.greatest(1 - 2 * odd / F.lit(bits), F.lit(1e-9))
-    shared = (F.col(f"samples_{a}") + F.col(f"samples_{b}") + F.lit(bits / 2) * F.log(share)) / 2
-    like = F.lit(0.75)
-    for _ in range(3):
-        union = (F.col(f"n_{a}") + F.col(f"n_{b}")) / (1 + F.greatest(like, F.lit(0.0)))
-        like = shared / (F.lit(bins) * (1 - F.exp(-union / F.lit(bins))))
-    return like
+    bits = 64.0 * SKETCH
+    odd = sum((F.bit_count(F.col(f"sketch_{a}")[i].bitwiseXOR(F.col(f"sketch_{b}")[i])) for i in range(SKETCH)), F.lit(0))
+    share = F.greatest(1 - odd * F.lit(2 / bits), F.lit(1e-9))
+    return (F.col(f"samples_{a}") + F.col(f"samples_{b}") + F.lit(bits / 2) * F.log(share)) / 2
+
+
+def expected_samples(a: str, b: str, similarity: float) -> Column:
+    """How many samples two classes of a similarity share: of the bins that their union fills, that part."""
+    bins = float(1 << BINS)
+    union = (F.col(f"n_{a}") + F.col(f"n_{b}")) / F.lit(1 + similarity)
+    return F.lit(similarity * bins) * (1 - F.exp(-union / F.lit(bins)))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -239,15 +238,17 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     def side(name: str) -> DataFrame:
         return sketches.select(*(F.col(c).alias(f"{c}_{name}") for c in ("class", "sketch", "samples", "n"))).withColumnRenamed(f"class_{name}", name)
 
-    like = estimate("a", "b")
-    near = (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (like >= floor / 100)
+    near = (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (
+        shared_samples("a", "b") >= expected_samples("a", "b", floor / 100) - SLACK
+    )
+    like = shared_samples("a", "b") / expected_samples("a", "b", percent / 100)
 
     # each class and the leaders of its buckets: the likest first, then those of other components
     starred = shared.where("class != leader").select(F.col("class").alias("a"), F.col("leader").alias("b")).distinct()
     starred = stage(starred.join(side("a"), "a").join(side("b"), "b").where(near).select("a", "b", like.alias("like")), "starred")
     nearest = starred.groupBy("a").agg(F.max(F.struct("like", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
     links = stage(_linked(stage(nearest, "star-pairs"), sets, percent), "star-links")
-    others = stage(_apart(starred.select("a", "b"), stage(components(links), "star-components")), "other-leaders")
+    others = stage(_apart(starred.select("a", "b"), stage(components(links, rounds=1), "star-components")), "other-leaders")
     links = stage(links.unionAll(_linked(others, sets, percent)), "leader-links")
     joined = stage(components(links), "leader-components")
 
