@@ -28,11 +28,11 @@ WORDS, PERCENT = 5, 75
 #: MinHash bands and samples in each: a pair of similarity 0.75 shares no band with a chance of 5e-6.
 BANDS, ROWS = 32, 4
 #: Bins of a sketch's samples, as a power of two, and 64-bit words of its bitmap.
-BINS, SKETCH = 10, 32
+BINS, SKETCH = 11, 64
 #: Pairs whose sketches put them below this similarity (in hundredths) are not compared. At a similarity of
-#: 0.75 the estimate has a standard deviation of at most 0.016, so this is over five of them away. In small
+#: 0.75 the estimate has a standard deviation of at most 0.011, so this is over five of them away. In small
 #: sets one shingle that takes another's bin counts for more, hence the samples that may lack besides.
-FLOOR, SLACK = 66, 2.0
+FLOOR, SLACK = 69, 2.0
 #: Words a worker remembers the hash of.
 REMEMBERED = 500_000
 #: Words shingled at once; a longer text is shingled in overlapping parts.
