@@ -168,10 +168,18 @@ def shared_samples(a: str, b: str) -> Column:
 
 
 def expected_samples(a: str, b: str, similarity: float) -> Column:
-    """How many samples two classes of a similarity share: of the bins that their union fills, that part."""
-    bins = float(1 << BINS)
-    union = (F.col(f"n_{a}") + F.col(f"n_{b}")) / F.lit(1 + similarity)
-    return F.lit(similarity * bins) * (1 - F.exp(-union / F.lit(bins)))
+    """How many samples two classes of a similarity share: of the bins that their union fills, that part.
+
+    Shingles that fall into one bin leave one sample; how many did is known
+    for each class, and the union is taken to have lost as large a share.
+    """
+
+    def filled(size: Column) -> Column:
+        return F.lit(float(1 << BINS)) * (1 - F.exp(-size / F.lit(float(1 << BINS))))
+
+    sizes = F.col(f"n_{a}") + F.col(f"n_{b}")
+    found = (F.col(f"samples_{a}") + F.col(f"samples_{b}")) / (filled(F.col(f"n_{a}")) + filled(F.col(f"n_{b}")))
+    return F.lit(similarity) * filled(sizes / F.lit(1 + similarity)) * found
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
