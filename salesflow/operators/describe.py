@@ -73,4 +73,7 @@ def describe(df: DataFrame, columns: list[str], partitions: int | None = None) -
         "max": F.col("max"),
     }
     rows = [F.struct(F.lit(k).alias("statistic"), v.alias("value")) for k, v in statistics.items()]
-    return found.select("column_name", F.inline(F.array(*rows)))
+    # a column without any value has a count of zero and nothing else
+    named = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    whole = named.join(found, "column_name", "left").withColumn("count", F.coalesce("count", F.lit(0)))
+    return whole.select("column_name", F.inline(F.array(*rows)))

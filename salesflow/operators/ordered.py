@@ -12,23 +12,24 @@ from pyspark.sql import types as T
 
 from salesflow.session import stage
 
-_PART, _STEP, _LOCAL = "_part", "_step", "_local"
+_PART = "_part"
 
 
-def _running_sum() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Replace the last column by its running sum along the task's rows; overflow is an error.
+def _running_sums(count: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Replace the last ``count`` columns by their running sums along the task's rows; overflow is an error.
 
     The function is local so that it travels with the job: executors need
     Arrow, not this package.
     """
 
     def along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carried = 0
+        carried = [0] * count
         for batch in batches:
             if batch.num_rows:
-                running = pc.cumulative_sum_checked(batch.column(batch.num_columns - 1), start=carried)
-                carried = running[-1].as_py()
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], running], schema=batch.schema)
+                last = batch.columns[-count:]
+                running = [pc.cumulative_sum_checked(c, start=n) for c, n in zip(last, carried)]
+                carried = [r[-1].as_py() for r in running]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-count], *running], schema=batch.schema)
 
     return along
 
@@ -41,7 +42,14 @@ def running_total(
     partitions: int | None = None,
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """Add ``name``: the sum of the whole-number ``step`` over all rows up to this one.
+    """Add ``name``: the sum of the whole-number ``step`` over all rows up to this one."""
+    return running_totals(df, order, {name: step}, partitions, keep)
+
+
+def running_totals(
+    df: DataFrame, order: list[str], steps: dict[str, Column], partitions: int | None = None, keep: list[str] | None = None
+) -> DataFrame:
+    """Add for each of ``steps`` the sum of the whole number over all rows up to this one.
 
     An un-partitioned window would sort the whole input in one task. Here
     the rows are range-partitioned on the full order, summed along each
@@ -54,23 +62,28 @@ def running_total(
     ``keep`` names the columns the result needs, so that the others, such as
     the order itself, are not written.
     """
-    keyed = df.withColumn(_STEP, F.coalesce(step.cast("bigint"), F.lit(0)))
+    own = [f"_step_{i}" for i in range(len(steps))]
+    local_names, before_names = [f"{c}_local" for c in own], [f"{c}_before" for c in own]
+    keyed = df.withColumns({c: F.coalesce(s.cast("bigint"), F.lit(0)) for c, s in zip(own, steps.values())})
     columns = [F.col(c) for c in order]
     ranged = keyed.repartitionByRange(partitions, *columns) if partitions else keyed.repartitionByRange(*columns)
     kept = [F.col(f"`{c}`") for c in keep or df.columns]
-    part, local_step = F.spark_partition_id().alias(_PART), F.col(_STEP).alias(_LOCAL)
-    source = ranged.sortWithinPartitions(*columns).select(*kept, _STEP, part, local_step)
+    part, copies = F.spark_partition_id().alias(_PART), [F.col(c).alias(n) for c, n in zip(own, local_names)]
+    source = ranged.sortWithinPartitions(*columns).select(*kept, *own, part, *copies)
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in source.schema.fields])
-    local = stage(source.mapInArrow(_running_sum(), schema), "running")
+    local = stage(source.mapInArrow(_running_sums(len(own)), schema), "running")
 
     # One row per partition, so the un-partitioned window and the broadcast
     # are bounded. Decimals: the totals may exceed 64 bits together.
-    totals = local.groupBy(_PART).agg(F.sum(F.col(_STEP).cast("decimal(20,0)")).alias("_total"))
+    totals = local.groupBy(_PART).agg(*[F.sum(F.col(c).cast("decimal(20,0)")).alias(c) for c in own])
     earlier = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_total").over(earlier), F.lit(0)).cast("decimal(38,0)")
-    offsets = totals.select(_PART, before.alias("_before"))
-    total = (F.col(_LOCAL).cast("decimal(20,0)") + F.col("_before")).cast("decimal(38,0)")
-    return local.join(F.broadcast(offsets), _PART).withColumn(name, total).drop(_PART, _STEP, _LOCAL, "_before")
+    before = [F.coalesce(F.sum(c).over(earlier), F.lit(0)).cast("decimal(38,0)").alias(n) for c, n in zip(own, before_names)]
+    joined = local.join(F.broadcast(totals.select(_PART, *before)), _PART)
+    added = {
+        name: (F.col(n).cast("decimal(20,0)") + F.col(b)).cast("decimal(38,0)")
+        for name, n, b in zip(steps, local_names, before_names)
+    }
+    return joined.withColumns(added).drop(_PART, *own, *local_names, *before_names)
 
 
 def number_rows(df: DataFrame, order: list[str], name: str = "row_number", **options) -> DataFrame:
@@ -94,9 +107,19 @@ def last_rows(df: DataFrame, order: list[str], count: int = 50) -> DataFrame:
 
 
 def cumulative_error(
-    errors: DataFrame, order: list[str], error: str = "error", name: str = "cumulative_error", scale: int = 4, **options
+    errors: DataFrame, order: list[str], error: str = "error", name: str = "cumulative_error", keep: list[str] | None = None, **options
 ) -> DataFrame:
-    """Running sum of an error column, exact to ``scale`` decimal places."""
-    units = F.round(F.col(error).cast("decimal(38,10)") * 10**scale)
-    summed = running_total(errors, order, units, name, **options)
-    return summed.withColumn(name, (F.col(name) / F.lit(10**scale)).cast("double"))
+    """Running sum of an error column; a missing error adds nothing and has no sum of its own.
+
+    Errors are added exactly to 12 decimal places, whole and fractional parts
+    apart, so neither small nor large ones are lost and the result does not
+    depend on how the rows are spread.
+    """
+    value = F.col(error)
+    present = value.isNotNull() if dict(errors.dtypes)[error].startswith("decimal") else value.isNotNull() & ~F.isnan(value)
+    exact = F.when(present, value.cast("decimal(38,12)"))
+    whole = F.floor(exact)
+    steps = {"_whole": whole, "_rest": (exact - whole) * F.lit(10**12)}
+    summed = running_totals(errors.withColumn("_present", present), order, steps, keep=[*(keep or errors.columns), "_present"], **options)
+    total = (F.col("_whole") + F.col("_rest") / F.lit(10**12).cast("decimal(13,0)")).cast("double")
+    return summed.withColumn(name, F.when(F.col("_present"), total)).drop("_present", *steps)

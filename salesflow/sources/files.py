@@ -2,17 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesflow.schema import PREDICTIONS, RAW, RAW_TEXT, SALES
 
 ARRIVAL = ("arrived_at", "arrived_file", "arrived_block", "arrived_row")
 
 
-def read_raw_csv(spark: SparkSession, path: str | list[str], as_text: bool = False) -> DataFrame:
-    """Raw sales CSV with its header line, read with a declared schema (one pass)."""
-    return spark.read.schema(RAW_TEXT if as_text else RAW).csv(path, header=True)
+#: Ordinary CSV: a quote inside a quoted field is doubled, and a quoted field may hold line ends.
+QUOTING = {"quote": '"', "escape": '"'}
+# The texts that mean a missing value in raw files.
+MISSING = tuple(
+    "|#N/A|#N/A N/A|#NA|-1.#IND|-1.#QNAN|-NaN|-nan|1.#IND|1.#QNAN|<NA>|N/A|NA|NULL|NaN|None|n/a|nan|null".split("|")
+)
+
+
+def read_raw_csv(
+    spark: SparkSession, path: str | list[str], as_text: bool = False, multi_line: bool = False
+) -> DataFrame:
+    """Raw sales CSV: fields by the names in the header line, whatever their order; other columns are left out.
+
+    Files read together share one header. A field that the header lacks is an
+    error. ``multi_line`` allows line ends inside quoted fields; such files
+    are not split over tasks. Texts that stand for a missing value are NULL.
+    A typed read leaves a value that does not fit NULL; ``as_text`` with
+    ``tag_rejects`` says why.
+    """
+    options = QUOTING | {"header": True, "multiLine": multi_line, "enforceSchema": False}
+    found = spark.read.csv(path, **options)
+    absent = [f.name for f in RAW.fields if f.name not in found.columns]
+    if absent:
+        raise ValueError(f"no such column in the header: {', '.join(absent)}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in found.columns])
+    text = spark.read.schema(schema).csv(path, **options)
+
+    def cell(name: str) -> Column:
+        return F.when(~F.col(f"`{name}`").isin(*MISSING), F.col(f"`{name}`"))
+
+    if as_text:
+        return text.select(*[cell(f.name).alias(f.name) for f in RAW_TEXT.fields])
+    typed = {f.name: f.dataType.simpleString() for f in RAW.fields}
+    return text.select(*[(cell(n) if t == "string" else cell(n).try_cast(t)).alias(n) for n, t in typed.items()])
 
 
 def read_csv_inferred(spark: SparkSession, path: str | list[str], sampling_ratio: float = 1.0) -> DataFrame:
@@ -22,12 +54,14 @@ def read_csv_inferred(spark: SparkSession, path: str | list[str], sampling_ratio
 
 def write_predictions(scored: DataFrame, path: str) -> None:
     """Headerless CSV, replaced as a whole; an empty input leaves a readable empty folder."""
-    scored.write.mode("overwrite").format("csv").option("header", "false").save(path)
+    scored.write.mode("overwrite").format("csv").options(header="false", **QUOTING).save(path)
 
 
 def scan_predictions(spark: SparkSession, *folders: str) -> DataFrame:
     """All prediction files of the folders as one DataFrame; columns by position."""
-    return spark.read.schema(PREDICTIONS).csv(list(folders), header=False, pathGlobFilter="*.csv")
+    return spark.read.schema(PREDICTIONS).csv(
+        list(folders), header=False, pathGlobFilter="*.csv", **QUOTING
+    )
 
 
 def with_arrival(scan: DataFrame) -> DataFrame:

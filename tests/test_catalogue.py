@@ -13,7 +13,7 @@ def test_same_rows_as_sql(spark, sf, name):
     assert mismatch(QUERIES[name], ORACLES[name], spark, sf) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+@pytest.mark.parametrize("name", ["score_batch", "score_stream"])
 def test_scored_rows(spark, sf, name):
     scored = QUERIES[name](spark, sf)
     lines = spark.read.parquet(f"{sf}/lineitem.parquet").count()

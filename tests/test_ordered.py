@@ -147,3 +147,10 @@ def test_copies_of_one_key_are_spread_and_numbered(spark, tmp_path):
     assert numbered.agg(F.max("row_number")).first()[0] == 30000
     assert ordered.number_rows(scan, order, partitions=10, keep=["k"]).columns == ["k", "row_number"]
     assert numbered.where("k = -1").agg(F.max("row_number")).first()[0] == 10000
+
+
+def test_cumulative_error_keeps_small_large_and_missing(spark):
+    rows = [(i, 0.00004) for i in range(1000)] + [(1000, None), (1001, float("nan")), (1002, 3e9), (1003, -6e-9)]
+    got = {r.k: r.cumulative_error for r in ordered.cumulative_error(spark.createDataFrame(rows, "k int, error double"), ["k"], partitions=3).collect()}
+    assert got[999] == 0.04 and got[1000] is None and got[1001] is None
+    assert got[1002] == 3000000000.04 and got[1003] == 3000000000.039999994

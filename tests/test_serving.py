@@ -61,3 +61,12 @@ def test_scan_unites_folders_without_header(spark, tmp_path):
     rows = files.scan_predictions(spark, one, two)
     assert sorted(tuple(r) for r in rows.where(F.col("Prediction").isNotNull()).collect()) == [("a", 1.0, 1.5, 0.1)] * 2
     assert rows.count() == 3
+
+
+def test_describe_keeps_a_column_without_values(spark):
+    from salesflow.operators.describe import describe
+
+    df = spark.createDataFrame([(1.0, None), (3.0, None)], "a double, b double")
+    got = {(r.column_name, r.statistic): r.value for r in describe(df, ["a", "b"]).collect()}
+    assert got["b", "count"] == 0 and got["b", "mean"] is None and got["b", "50%"] is None
+    assert got["a", "count"] == 2 and got["a", "50%"] == 2.0

@@ -57,3 +57,21 @@ def test_stage_returns_the_written_rows(spark):
     staged = session.stage(spark.range(10), "staged")
     assert staged.count() == 10
     assert "Range" not in staged._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_raw_csv_is_read_by_header_names_with_quotes_and_missing_markers(spark, tmp_path):
+    from salesflow.operators.ingest import tag_rejects
+    from salesflow.schema import RAW_TO_FIELD
+
+    values = dict.fromkeys(RAW_TO_FIELD, "1") | {"City": 'San ""Old"" Town, X', "Gender": "Female", "Payment": "NA", "Date": "1/5/2019"}
+    names = ["Extra", *reversed(RAW_TO_FIELD)]
+    (tmp_path / "a.csv").write_text(",".join(names) + "\n" + ",".join(f'"{values.get(n, "x")}"' for n in names) + "\n")
+    row = tag_rejects(files.read_raw_csv(spark, str(tmp_path), as_text=True)).first()
+    assert (row.city, row.gender, row.date, row.total) == ('San "Old" Town, X', "Female", "1/5/2019", 1)
+    assert row.payment is None and row.reject_reason == "payment missing"
+    typed = files.read_raw_csv(spark, str(tmp_path)).first()
+    assert typed["City"] == 'San "Old" Town, X' and typed["Quantity"] == 1 and typed["Payment"] is None
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "b.csv").write_text("City,Gender\nx,y\n")
+    with pytest.raises(ValueError, match="Invoice ID"):
+        files.read_raw_csv(spark, str(tmp_path / "b"))
