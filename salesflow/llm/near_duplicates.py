@@ -32,7 +32,7 @@ BINS, SKETCH = 11, 64
 #: Pairs whose sketches put them below this similarity (in hundredths) are not compared. At a similarity of
 #: 0.75 the estimate has a standard deviation of at most 0.011, so this is over five of them away. In small
 #: sets one shingle that takes another's bin counts for more, hence the samples that may lack besides.
-FLOOR, SLACK = 69, 2.0
+FLOOR, SLACK = 69, 1.0
 #: Words a worker remembers the hash of.
 REMEMBERED = 500_000
 #: Words shingled at once; a longer text is shingled in overlapping parts.
@@ -261,17 +261,20 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     joined = stage(components(links), "leader-components")
 
     # what is left: pairs of a bucket in different components
-    placed = stage(_with_component(shared.select("bucket", "class"), "class", joined), "placed")
+    placed = stage(_with_component(shared, "class", joined), "placed")
     ends = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    still = placed.join(ends.where("low != high").select("bucket"), "bucket")
-    still = stage(still.join(sketches.drop("least"), "class"), "open-buckets")
+    still = placed.join(ends.where("low != high").select("bucket"), "bucket").join(sketches.drop("least"), "class")
+    still = stage(still.join(classes.select("class", "bands"), "class"), "open-buckets")
 
     def half(name: str) -> DataFrame:
-        return still.select("bucket", *(F.col(c).alias(f"{c}_{name}") for c in ("class", "component", "sketch", "samples", "n")))
+        return still.select("bucket", *(F.col(c).alias(f"{c}_{name}") for c in ("class", "component", "leader", "bands", "sketch", "samples", "n")))
 
     left, right = half("a"), half("b")
     apart = (F.col("class_a") < F.col("class_b")) & (F.col("component_a") != F.col("component_b"))
-    pairs = left.join(right, (left["bucket"] == right["bucket"]) & apart & near)
+    compared = (F.col("class_a") == F.col("leader_a")) | (F.col("class_b") == F.col("leader_a"))
+    # each pair from the first bucket that both are in, unless it was compared there
+    once = F.element_at(F.array_intersect("bands_a", "bands_b"), 1) == left["bucket"]
+    pairs = left.join(right, (left["bucket"] == right["bucket"]) & apart & ~compared & near & once)
     pairs = stage(pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct(), "open-pairs")
     links = stage(links.unionAll(_linked(pairs, sets, percent)), "all-links")
     joined = stage(components(links), "components")
