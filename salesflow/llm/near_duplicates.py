@@ -162,7 +162,8 @@ def shared_samples(a: str, b: str) -> Column:
     The bits that differ tell how many samples are in one sketch alone.
     """
     bits = 64.0 * SKETCH
-    odd = sum((F.bit_count(F.col(f"sketch_{a}")[i].bitwiseXOR(F.col(f"sketch_{b}")[i])) for i in range(SKETCH)), F.lit(0))
+    differ = F.zip_with(f"sketch_{a}", f"sketch_{b}", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    odd = F.aggregate(differ, F.lit(0), lambda total, count: total + count)
     share = F.greatest(1 - odd * F.lit(2 / bits), F.lit(1e-9))
     return (F.col(f"samples_{a}") + F.col(f"samples_{b}") + F.lit(bits / 2) * F.log(share)) / 2
 
