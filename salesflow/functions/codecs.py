@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesflow.functions.cleaning import nan_to_null
-from salesflow.schema import EVENT, FIELDS, MONEY, MONEY_FIELDS, avro_schema
+from salesflow.schema import EVENT, FIELDS, MONEY, MONEY_BOUND, MONEY_FIELDS, avro_schema
 
 CORRUPT = "_corrupt_record"
+REASON = "reject_reason"
+# What is kept of a refused message: the text that did not parse, why, and the fields that were decoded.
+REJECTED = f"{CORRUPT} string, {REASON} string, event string"
 
 
 def encode_json(df: DataFrame, key: str | None = None) -> DataFrame:
@@ -34,19 +39,40 @@ def decode_json(messages: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFr
     return messages.select(F.inline(F.array(parsed)))
 
 
-def as_events(decoded: DataFrame) -> DataFrame:
-    """Decoded messages -> clean events: NaN is missing, amounts are decimals, bad messages are gone."""
-    return normalise(decoded.where(F.col("id").isNotNull()).drop(CORRUPT))
+def as_events(decoded: DataFrame, needed: tuple[str, ...] = ()) -> DataFrame:
+    """Decoded messages -> clean events: NaN is missing, amounts are decimals.
+
+    Messages without an id, with an amount that does not fit, or without a
+    ``needed`` field are left to ``rejected_events``.
+    """
+    clean = nan_to_null(decoded)
+    faults = [F.col("id").isNull(), *_unfit(clean).values(), *[F.col(f).isNull() for f in needed]]
+    return _with_amounts(clean.where(~reduce(Column.__or__, faults)).drop(CORRUPT))
+
 
+def rejected_events(decoded: DataFrame, needed: tuple[str, ...] = ()) -> DataFrame:
+    """The messages that ``as_events`` leaves out, with the reason."""
+    clean = nan_to_null(decoded)
+    malformed = F.col("id").isNull() & F.col(CORRUPT).isNotNull()
+    unfit = [F.when(fault, f"{field} does not fit") for field, fault in _unfit(clean).items()]
+    missing = [F.when(F.col(field).isNull(), f"{field} missing") for field in dict.fromkeys(("id", *needed))]
+    reason = F.when(malformed, "malformed message").otherwise(F.nullif(F.concat_ws("; ", *missing, *unfit), F.lit("")))
+    event = F.to_json(F.struct(*[F.col(f) for f in clean.columns if f != CORRUPT]))
+    return clean.select(CORRUPT, reason.alias(REASON), event.alias("event")).where(F.col(REASON).isNotNull())
 
-def rejected_events(decoded: DataFrame) -> DataFrame:
-    """Messages that carry no id: malformed, or not a message at all."""
-    return decoded.where(F.col("id").isNull()).select(CORRUPT)
+
+def _unfit(records: DataFrame) -> dict[str, Column]:
+    """Per amount, whether it is there and too large for the stored type."""
+    present = [f for f in MONEY_FIELDS if f in records.columns]
+    return {f: F.coalesce(F.abs(F.col(f)) >= F.lit(MONEY_BOUND), F.lit(False)) for f in present}
 
 
 def normalise(records: DataFrame) -> DataFrame:
     """NaN -> NULL, amounts -> decimals."""
-    clean = nan_to_null(records)
+    return _with_amounts(nan_to_null(records))
+
+
+def _with_amounts(clean: DataFrame) -> DataFrame:
     amounts = {f: F.expr(f"try_cast({f} AS {MONEY.simpleString()})") for f in MONEY_FIELDS if f in clean.columns}
     return clean.withColumns(amounts)
 
@@ -66,8 +92,8 @@ def frame_schema_id(value: Column) -> Column:
 
 
 def unframe(value: Column) -> Column:
-    """The payload behind the five header bytes."""
-    return F.substring(value, F.lit(6), F.length(value))
+    """The payload behind the five header bytes; NULL where the header is short or does not start with a zero byte."""
+    return F.when((F.length(value) >= 5) & (frame_magic(value) == 0), F.substring(value, F.lit(6), F.length(value)))
 
 
 def encode_avro(df: DataFrame, schema_id: int, schema: str | None = None, key: str = "id") -> DataFrame:

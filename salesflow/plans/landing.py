@@ -2,42 +2,45 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 
 from salesflow.functions.codecs import encode_json
 from salesflow.session import scratch_dir
 from salesflow.sources import topic
-from salesflow.sources.tables import sales, table
+from salesflow.sources.tables import sales
 
-# Micro-batches the present content of a topic is spread over.
-TRIGGERS = 4
-_TOPICS: dict[tuple[str, str], str] = {}
+#: Messages in a file and files in a micro-batch, at most: what one micro-batch
+#: takes (3.2 million messages, about 1 GB) does not depend on how many there are.
+MESSAGES_PER_FILE, FILES_PER_TRIGGER = 50_000, 64
+_TOPICS: dict[tuple[str, str, int], str] = {}
 
 
-def publish_sales(spark: SparkSession, sf_dir: str, records: DataFrame, path: str) -> None:
+def publish_sales(records: DataFrame, path: str, messages_per_file: int = MESSAGES_PER_FILE) -> None:
     """Encode records as JSON messages and append them to the topic at ``path``.
 
     The joins behind the records run here, in a batch job that can split hot
-    keys. Files are capped so that each micro-batch has one for every core,
-    also when a hot key made one partition much larger than the others.
+    keys. Files are capped, also when a hot key made one partition much larger
+    than the others.
     """
-    rows = table(spark, sf_dir, "lineitem").count()
-    files = TRIGGERS * spark.sparkContext.defaultParallelism
-    topic.publish(encode_json(records, key="id"), path, max(1, math.ceil(rows / files)))
+    topic.publish(encode_json(records, key="id"), path, messages_per_file)
 
 
-def sales_topic(spark: SparkSession, sf_dir: str) -> str:
+def sales_topic(spark: SparkSession, sf_dir: str, messages_per_file: int = MESSAGES_PER_FILE) -> str:
     """Path of the topic with all sales of ``sf_dir``; the streaming queries share it."""
-    where = (spark.sparkContext.applicationId, sf_dir)
+    where = (spark.sparkContext.applicationId, sf_dir, messages_per_file)
     if where not in _TOPICS:
         path = scratch_dir(spark, "topic")
-        publish_sales(spark, sf_dir, sales(spark, sf_dir), path)
+        publish_sales(sales(spark, sf_dir), path, messages_per_file)
         _TOPICS[where] = path
     return _TOPICS[where]
 
 
-def sales_messages(spark: SparkSession, sf_dir: str, reader: SparkSession | None = None) -> DataFrame:
+def sales_messages(
+    spark: SparkSession,
+    sf_dir: str,
+    reader: SparkSession | None = None,
+    files_per_trigger: int = FILES_PER_TRIGGER,
+    messages_per_file: int = MESSAGES_PER_FILE,
+) -> DataFrame:
     """Stream the topic; publishing runs in ``spark``, the stream in ``reader`` if given."""
-    return topic.subscribe(reader or spark, sales_topic(spark, sf_dir), TRIGGERS)
+    return topic.subscribe(reader or spark, sales_topic(spark, sf_dir, messages_per_file), files_per_trigger)

@@ -7,15 +7,15 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.functions.codecs import as_events, decode_json
+from salesflow.functions.codecs import REASON, encode_json
 from salesflow.operators import scoring
 from salesflow.plans.batch_queries import SALES_SQL
-from salesflow.plans.landing import sales_messages
+from salesflow.plans.landing import FILES_PER_TRIGGER, MESSAGES_PER_FILE, sales_messages
 from salesflow.schema import FEATURES
 from salesflow.session import scratch_dir
-from salesflow.sources import files
+from salesflow.sources import files, topic
 from salesflow.sources.tables import sales
-from salesflow.streaming.runners import run_append
+from salesflow.streaming.score_layer import run_scoring
 
 SPLIT_KEYS = ["invoice_id", "product_line", "quantity", "total"]
 TOLERANCE = 0.05
@@ -50,20 +50,52 @@ def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score(_training_sales(spark, sf_dir), model, time.time() - started)
 
 
+def _quality(predictions: DataFrame, total: str, prediction: str) -> DataFrame:
+    close = F.abs(F.col(prediction) - F.col(total)) < TOLERANCE
+    return predictions.groupBy(F.col("Invoice ID").alias("invoice_id")).agg(
+        F.count("*").alias("records"), F.count_if(close).alias("close_records")
+    )
+
+
+def score_batch_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per invoice, how many sales were scored in batch, and scored to within a few cents."""
+    return _quality(score_batch(spark, sf_dir), "total", "prediction")
+
+
+def model_held_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Root mean squared error on the share of the sales that training did not see."""
+    _, test = scoring.hash_split(_training_sales(spark, sf_dir), SPLIT_KEYS)
+    scored = scoring.score(test, scoring.load_model(_saved_model(spark, sf_dir)))
+    return scored.agg(F.count("*").alias("records"), F.lit(scoring.rmse(scored) < TOLERANCE).alias("error_holds"))
+
+
 def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The topic scored by a saved model into headerless CSV files, read back by position."""
     model = scoring.load_model(_saved_model(spark, sf_dir))
     root = scratch_dir(spark, "scored")
-    events = as_events(decode_json(sales_messages(spark, sf_dir), ("id", "invoice_id", "total", *FEATURES)))
-    run_append(scoring.score(events, model, 0.0), f"{root}/result", f"{root}/checkpoint", fmt="csv")
+    run_scoring(sales_messages(spark, sf_dir), model, root)
     return files.scan_predictions(spark, f"{root}/result")
 
 
 def score_stream_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per invoice, how many streamed sales were scored, and scored to within a few cents."""
-    close = F.abs(F.col("Prediction") - F.col("Total")) < TOLERANCE
-    return score_stream(spark, sf_dir).groupBy(F.col("Invoice ID").alias("invoice_id")).agg(
-        F.count("*").alias("records"), F.count_if(close).alias("close_records")
+    return _quality(score_stream(spark, sf_dir), "Total", "Prediction")
+
+
+def score_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of sales with some inputs missing, how many were scored and how many set aside, by reason."""
+    model = scoring.load_model(_saved_model(spark, sf_dir))
+    root = scratch_dir(spark, "score-rejects")
+    kind = F.col("invoice_id").cast("bigint") % 10
+    holes = _training_sales(spark, sf_dir).withColumns(
+        {"id": F.col("invoice_id"), "rating": F.when(kind != 0, F.col("rating")), "quantity": F.when(kind > 1, F.col("quantity"))}
+    )
+    topic.publish(encode_json(holes, key="id"), f"{root}/topic", MESSAGES_PER_FILE)
+    run_scoring(topic.subscribe(spark, f"{root}/topic", FILES_PER_TRIGGER), model, root)
+    scored = files.scan_predictions(spark, f"{root}/result")
+    aside = spark.read.schema(f"{REASON} string").parquet(f"{root}/rejected")
+    return scored.agg(F.lit("scored").alias("outcome"), F.count("*").alias("messages")).unionAll(
+        aside.groupBy(F.col(REASON)).agg(F.count("*").alias("messages"))
     )
 
 
@@ -87,18 +119,31 @@ def random_split_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "model_fit_quality": model_fit_quality,
     "score_batch": score_batch,
+    "score_batch_quality": score_batch_quality,
+    "model_held_out": model_held_out,
     "score_stream": score_stream,
     "score_stream_quality": score_stream_quality,
+    "score_rejects": score_rejects,
     "train_test_split": train_test_split,
     "random_split_cover": random_split_cover,
 }
 
+_ALL_CLOSE = SALES_SQL + """
+SELECT invoice_id, COUNT(*) AS records, COUNT(*) AS close_records FROM sales GROUP BY invoice_id"""
+
 # score_batch and score_stream have no SQL counterpart: their predictions come from a fitted model.
 ORACLES = {
     "model_fit_quality": SALES_SQL + """
 SELECT product_line, COUNT(*) AS records, COUNT(*) AS close_records FROM sales GROUP BY product_line""",
-    "score_stream_quality": SALES_SQL + """
-SELECT invoice_id, COUNT(*) AS records, COUNT(*) AS close_records FROM sales GROUP BY invoice_id""",
+    "score_stream_quality": _ALL_CLOSE,
+    "score_batch_quality": _ALL_CLOSE,
+    "model_held_out": SALES_SQL + """
+SELECT COUNT(*) AS records, TRUE AS error_holds FROM sales
+WHERE CAST('0x' || substr(md5(concat_ws('|', invoice_id, product_line, quantity, total)), 1, 8) AS BIGINT) % 100 >= 80""",
+    "score_rejects": """
+SELECT CASE l_orderkey % 10 WHEN 0 THEN 'quantity missing; rating missing' WHEN 1 THEN 'quantity missing'
+            ELSE 'scored' END AS outcome, COUNT(*) AS messages
+FROM lineitem GROUP BY outcome""",
     "train_test_split": SALES_SQL + """
 SELECT CASE WHEN CAST('0x' || substr(md5(concat_ws('|', invoice_id, product_line, quantity, total)), 1, 8) AS BIGINT)
                  % 100 < 80 THEN 'train' ELSE 'test' END AS part,

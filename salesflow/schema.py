@@ -6,7 +6,11 @@ import json
 
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(18, 4)
+# Stored amounts: 18 digits before the point, ten behind it. What is larger is set aside with a reason.
+MONEY = T.DecimalType(28, 10)
+MONEY_BOUND = 1e18
+# Their sums: room for 10**10 amounts of any size.
+MONEY_SUM = T.DecimalType(38, 10).simpleString()
 
 # Raw CSV header -> record field, in file order.
 RAW_TO_FIELD = {

@@ -56,12 +56,25 @@ def _hadoop(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder; one that is not there is no error."""
+    target, files = _hadoop(spark, path)
+    files.delete(target, True)
+
+
+def folders(spark: SparkSession, path: str, holding: str) -> list[str]:
+    """Names of the folders in ``path`` that hold a file of that name."""
+    target, files = _hadoop(spark, path)
+    found = files.listStatus(target) if files.exists(target) else []
+    names = [f.getPath().getName() for f in found if f.isDirectory()]
+    return [name for name in names if files.exists(_hadoop(spark, f"{path}/{name}/{holding}")[0])]
+
+
 def release(spark: SparkSession, keep: int = 0) -> None:
     """Remove the scratch folders the application made after its first ``keep``."""
     owned = _OWNED.get(spark.sparkContext.applicationId, [])
     for path in owned[keep:]:
-        target, files = _hadoop(spark, path)
-        files.delete(target, True)
+        remove(spark, path)
     del owned[keep:]
 
 

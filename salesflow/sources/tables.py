@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesflow.functions.cleaning import content_key
-from salesflow.schema import FIELDS, MONEY, RAW_TO_FIELD
+from salesflow.schema import FIELDS, RAW_TO_FIELD
 from salesflow.sources.files import ARRIVAL, with_arrival
 
+# Prices in cents times rates in hundredths are exact in this.
+_EXACT = "decimal(18,4)"
 _ORDER_FIELDS = {"date", "payment"}
 _CUSTOMER_FIELDS = {"branch", "city", "customer_type"}
 
@@ -49,7 +51,7 @@ def sales(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
 
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     rate = F.col("l_tax").cast("decimal(4,2)")
-    tax = (price * rate).cast(MONEY)
+    tax = (price * rate).cast(_EXACT)
     expressions = {
         "invoice_id": F.col("l_orderkey").cast("string"),
         "branch": F.col("r_name"),
@@ -60,11 +62,11 @@ def sales(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
         "unit_price": F.col("l_extendedprice") / F.col("l_quantity"),
         "quantity": F.col("l_quantity").cast("int"),
         "tax_5_percent": tax,
-        "total": (price * (F.lit(1) + rate)).cast(MONEY),
+        "total": (price * (F.lit(1) + rate)).cast(_EXACT),
         "date": F.date_format("o_orderdate", "M/d/yyyy"),
         "time": F.date_format("l_shipdate", "HH:mm"),
         "payment": F.col("o_orderpriority"),
-        "cogs": price.cast(MONEY),
+        "cogs": price.cast(_EXACT),
         "gross_margin_percentage": 100 * F.col("l_tax") / (1 + F.col("l_tax")),
         "gross_income": tax,
         "rating": (40 + (F.col("l_partkey") * 7 + F.col("l_linenumber")) % 61).cast("double") / 10,

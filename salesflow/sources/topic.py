@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -15,10 +13,9 @@ def publish(messages: DataFrame, path: str, max_records_per_file: int = 0) -> No
     messages.write.mode("append").option("maxRecordsPerFile", max_records_per_file).parquet(path)
 
 
-def subscribe(spark: SparkSession, path: str, triggers: int | None = None) -> DataFrame:
-    """Stream the topic; ``triggers`` spreads the present files over about that many micro-batches."""
+def subscribe(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Stream the topic, at most so many files in a micro-batch."""
     reader = spark.readStream.schema(MESSAGES)
-    if triggers:
-        files = len(spark.read.schema(MESSAGES).parquet(path).inputFiles())
-        reader = reader.option("maxFilesPerTrigger", max(1, math.ceil(files / triggers)))
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(path)

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from salesflow.session import folders, remove
+
+#: Versions of a running result that stay on storage.
+VERSIONS = 3
+
 
 def start(writer: DataStreamWriter, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Take everything present now and stop, or, given an interval, keep running at that pace.
@@ -21,12 +27,35 @@ def start(writer: DataStreamWriter, checkpoint: str, every: str | None = None) -
 
 
 def run_complete(view: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Complete mode: after every micro-batch the whole result replaces the Parquet table at ``path``."""
+    """Complete mode: after every micro-batch the whole result is the new version under ``path``; see ``latest``."""
+
+    def publish(result: DataFrame, batch_id: int) -> None:
+        put_version(result, path, batch_id)
+
+    return start(view.writeStream.outputMode("complete").foreachBatch(publish), checkpoint, every)
+
+
+def put_version(result: DataFrame, path: str, version: int) -> None:
+    """Write a version beside the older ones, of which the last few stay for readers that began before.
+
+    A version counts once its success marker is there, so a write that fails
+    leaves the old one current; one that is complete is not written again.
+    """
+    spark = result.sparkSession
+    if version not in _complete(spark, path):
+        result.write.mode("overwrite").parquet(f"{path}/version={version}")
+    for old in _complete(spark, path)[:-VERSIONS]:
+        remove(spark, f"{path}/version={old}")
+
+
+def latest(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The newest complete version under ``path``; empty before the first."""
+    versions = _complete(spark, path)
+    return spark.read.schema(schema).parquet(f"{path}/version={versions[-1]}") if versions else spark.createDataFrame([], schema)
 
-    def replace(result: DataFrame, batch_id: int) -> None:
-        result.write.mode("overwrite").parquet(path)
 
-    return start(view.writeStream.outputMode("complete").foreachBatch(replace), checkpoint, every)
+def _complete(spark: SparkSession, path: str) -> list[int]:
+    return sorted(int(name.split("=")[1]) for name in folders(spark, path, "_SUCCESS") if name.startswith("version="))
 
 
 def run_append(rows: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", every: str | None = None) -> StreamingQuery:

@@ -7,15 +7,17 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from salesflow.functions.codecs import as_events, decode_json
+from salesflow.functions.codecs import as_events, decode_json, rejected_events
 from salesflow.operators.speed import SPEED_VIEWS, TOP_RATED_VIEW, VIEW_FIELDS, named_query, top_rated
-from salesflow.streaming.runners import run_append, run_complete, start
+from salesflow.schema import MONEY_SUM
+from salesflow.streaming.runners import latest, run_append, run_complete, start
 
 PARTIAL_SCHEMA = (
     "city string, product_line string, customer_type string, "
-    "total decimal(38,4), gross_income decimal(38,4), quantity double, batch_id bigint"
+    f"total {MONEY_SUM}, gross_income {MONEY_SUM}, quantity double, records bigint, batch_id bigint"
 )
 
 
@@ -23,12 +25,22 @@ def run_view(messages: DataFrame, view: str, root: str, columns: str | None = No
     """One view as a query of its own, decoding only what it needs; returns its table at ``root/result``.
 
     Aggregates replace their result after every micro-batch, the rating
-    filter appends.
+    filter appends. Messages it cannot use go to ``root/rejected`` with a
+    reason, by a query of their own.
     """
-    rows = named_query(as_events(decode_json(messages, VIEW_FIELDS[view])), view, columns)
+    decoded = decode_json(messages, VIEW_FIELDS[view])
+    rows = named_query(as_events(decoded), view, columns)
     run = run_append if view == TOP_RATED_VIEW else run_complete
-    run(rows, f"{root}/result", f"{root}/checkpoint", every=every)
-    return rows.sparkSession.read.schema(rows.schema).parquet(f"{root}/result")
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        aside = pool.submit(run_append, rejected_events(decoded), f"{root}/rejected", f"{root}/rejected-checkpoint", every=every)
+        run(rows, f"{root}/result", f"{root}/checkpoint", every=every)
+    aside.result()
+    return running_result(rows.sparkSession, view, f"{root}/result", rows.schema)
+
+
+def running_result(spark: SparkSession, view: str, path: str, schema: T.StructType) -> DataFrame:
+    """What ``run_view`` has brought about so far."""
+    return spark.read.schema(schema).parquet(path) if view == TOP_RATED_VIEW else latest(spark, path, schema)
 
 
 def run_separately(messages: DataFrame, root: str) -> dict[str, DataFrame]:
@@ -45,9 +57,10 @@ _USED = tuple(dict.fromkeys(field for fields in VIEW_FIELDS.values() for field i
 def partials(events: DataFrame) -> DataFrame:
     """Sums at the grain the four running aggregates share."""
     return events.groupBy("city", "product_line", "customer_type").agg(
-        F.sum("total").cast("decimal(38,4)").alias("total"),
-        F.sum("gross_income").cast("decimal(38,4)").alias("gross_income"),
+        F.sum("total").cast(MONEY_SUM).alias("total"),
+        F.sum("gross_income").cast(MONEY_SUM).alias("gross_income"),
         F.sum("quantity").alias("quantity"),
+        F.count(F.lit(1)).alias("records"),
     )
 
 
@@ -72,14 +85,16 @@ def current_views(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def store_batch(messages: DataFrame, batch_id: int, root: str) -> None:
-    """Write the partial sums and the top-rated rows of one micro-batch; a replay replaces them."""
-    events = as_events(decode_json(messages, _USED)).persist(StorageLevel.MEMORY_AND_DISK)
+    """Write the partial sums, the top-rated rows and the refused messages of one micro-batch; a replay replaces them."""
+    decoded = decode_json(messages, _USED).persist(StorageLevel.MEMORY_AND_DISK)
+    events = as_events(decoded)
     try:
         partials(events).write.mode("overwrite").parquet(f"{root}/partials/batch_id={batch_id}")
         rated = top_rated(events).select("id", "invoice_id", "product_line", "rating")
         rated.write.mode("overwrite").parquet(f"{root}/top_rated/batch_id={batch_id}")
+        rejected_events(decoded).write.mode("overwrite").parquet(f"{root}/rejected/batch_id={batch_id}")
     finally:
-        events.unpersist()
+        decoded.unpersist()
 
 
 def run_speed_layer(messages: DataFrame, root: str, every: str | None = None) -> StreamingQuery:

@@ -95,3 +95,8 @@ def test_avro_roundtrip(spark, sf):
             pytest.skip("the spark-avro package is not on the class path")
         raise
     assert len(decoded) == 20
+
+
+def test_unframe_refuses_what_is_not_framed(spark):
+    df = spark.createDataFrame([(bytearray(b"\x00\x00\x00\x00\x07ab"),), (bytearray(b"\x01\x00\x00\x00\x07ab"),), (bytearray(b"\x00\x00"),)], "v binary")
+    assert [r[0] and bytes(r[0]) for r in df.select(codecs.unframe(F.col("v"))).collect()] == [b"ab", None, None]

@@ -10,7 +10,7 @@ from salesflow.session import streaming_session
 from salesflow.sources import topic
 from salesflow.sources.tables import sales
 from salesflow.streaming import batch_layer, speed_layer
-from salesflow.streaming.runners import run_append, run_complete, seconds_per_batch
+from salesflow.streaming.runners import latest, put_version, run_append, run_complete, seconds_per_batch
 
 
 def rows(df):
@@ -19,7 +19,7 @@ def rows(df):
 
 @pytest.fixture(scope="module")
 def messages(spark, sf):
-    return lambda: sales_messages(spark, sf)
+    return lambda: sales_messages(spark, sf, files_per_trigger=2, messages_per_file=500)
 
 
 def test_separate_queries_equal_batch(spark, sf, tmp_path):
@@ -32,12 +32,12 @@ def test_separate_queries_equal_batch(spark, sf, tmp_path):
 
 
 def test_state_is_carried_over_micro_batches(spark, sf, tmp_path):
-    events = as_events(decode_json(sales_messages(spark, sf, streaming_session(spark, 3))))
+    events = as_events(decode_json(sales_messages(spark, sf, streaming_session(spark, 3), 2, 500)))
     counts = events.groupBy("product_line").agg(F.count("*").alias("n"))
     query = run_complete(counts, f"{tmp_path}/out", f"{tmp_path}/ckpt")
     assert query.lastProgress["batchId"] >= 2
     assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == 3
-    assert spark.read.parquet(f"{tmp_path}/out").agg(F.sum("n")).first()[0] == sales(spark, sf, "gender").count()
+    assert latest(spark, f"{tmp_path}/out", counts.schema).agg(F.sum("n")).first()[0] == sales(spark, sf, "gender").count()
 
 
 def test_restart_adds_nothing_and_continues(spark, sf, tmp_path):
@@ -115,3 +115,29 @@ def test_speed_layer_batch_stored_twice(spark, sf, tmp_path):
 def test_named_view_is_readable_by_sql_on_a_stream(spark, messages):
     result = speed.named_query(as_events(decode_json(messages())), "top_rated_products_view")
     assert result.isStreaming and result.columns == ["id", "product_line", "rating"]
+
+
+def test_refused_messages_are_kept_with_a_reason(spark, tmp_path):
+    texts = ['{"id": "a", "customer_type": "x", "total": 1e15}', '{"id": "b", "customer_type": "x", "total": 0.00004}',
+             '{"id": "c", "customer_type": "x", "total": 5.0}', '{"id": "d", "total": 1e18}', '{"total": 2}', "garbage"]
+    bodies = spark.createDataFrame([(t,) for t in texts], "t string")
+    topic.publish(bodies.select(F.lit(None).cast("binary").alias("key"), F.encode("t", "UTF-8").alias("value")), f"{tmp_path}/topic")
+    found = speed_layer.run_view(topic.subscribe(spark, f"{tmp_path}/topic"), "total_sales_by_customer_type_view", f"{tmp_path}/view")
+    assert rows(found) == [("x", 1e15 + 5.00004)]
+    reasons = sorted(r.reject_reason for r in spark.read.parquet(f"{tmp_path}/view/rejected").collect())
+    assert reasons == ["id missing", "malformed message", "total does not fit"]
+
+
+def test_a_failed_write_leaves_the_old_version(spark, tmp_path):
+    path, schema = f"{tmp_path}/v", spark.range(1).schema
+    assert latest(spark, path, schema).isEmpty()
+    for version in range(5):
+        put_version(spark.range(version + 1), path, version)
+    begun = latest(spark, path, schema)
+    with pytest.raises(Exception):
+        put_version(spark.range(9).select(F.raise_error(F.lit("lost")).cast("long").alias("id")), path, 5)
+    assert latest(spark, path, schema).count() == 5
+    put_version(spark.range(7), path, 5)
+    put_version(spark.range(99), path, 5)  # a replay of a complete version
+    assert latest(spark, path, schema).count() == 7 and begun.count() == 5
+    assert len(list((tmp_path / "v").iterdir())) == 3
