@@ -32,9 +32,15 @@ def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share, named by ``spark.checkpoint.dir``.
 
     Where that is unset, a folder in the warehouse, which driver and executors
-    share as well.
+    share as well; on a cluster only if it is not a path of one machine.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", None) or ""
+        own = warehouse.startswith(("file:", "/")) or ":" not in warehouse
+        if own and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = f"{warehouse}/_scratch"
     return shared.rstrip("/")
 
 
