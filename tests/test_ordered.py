@@ -45,7 +45,7 @@ def test_running_total_with_one_leading_key_holding_most_rows(spark):
 
 def test_task_code_does_not_need_the_package(tmp_path):
     code = tmp_path / "task.pkl"
-    code.write_bytes(cloudpickle.dumps(ordered._running_sum()))
+    code.write_bytes(cloudpickle.dumps(ordered._running_sums(1)))
     script = "import pickle; print(list(pickle.load(open('task.pkl', 'rb'))([])), 'salesflow' in __import__('sys').modules)"
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, env={})
     assert done.stdout.strip() == "[] False", done.stderr
