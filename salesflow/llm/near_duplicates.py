@@ -140,20 +140,27 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
+                batch.column("body"),
                 pa.array(sizes, pa.int64()),
                 pa.array(digests, pa.binary()),
                 pa.array(bands, pa.list_(pa.int64())),
                 pa.array(sketches, pa.list_(pa.int64())),
                 pa.array(samples, pa.int32()),
             ],
-            names=["doc_id", "n_shingles", "digest", "bands", "sketch", "samples"],
+            names=["doc_id", "body", "n_shingles", "digest", "bands", "sketch", "samples"],
         )
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    last = None
     for batch in batches:
-        found = pa.array([shingles(text.as_py()).view(np.int64) for text in batch.column("text")], pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([batch.column("class"), found, batch.column("n")], names=["class", "shingles", "n"])
+        names, found = [], []
+        for name, text in zip(batch.column("class").to_pylist(), batch.column("text")):
+            if name != last:  # rows of one text come one after the other
+                names.append(name)
+                found.append(shingles(text.as_py()).view(np.int64))
+                last = name
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(found, pa.list_(pa.int64()))], names=["class", "shingles"])
 
 
 def shared_samples(a: str, b: str) -> Column:
@@ -205,26 +212,36 @@ def _apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
     return both.where("in_a != in_b").select("a", "b")
 
 
+def _bytes(text: Column) -> Column:
+    return F.coalesce(text, F.lit("")).cast("binary")
+
+
+def body(text: Column) -> Column:
+    """The digest of a text that tells rows of one key apart; a missing text counts as empty."""
+    return F.sha2(_bytes(text), 256)
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, floor: int = FLOOR) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row.
 
     Rows are linked if 100 * shared shingles >= ``percent`` * all shingles of
     both; ``component_id`` is the smallest key that links reach, ``kept`` says
     that it is the row's own. Texts without words (null, empty, blank) are
-    linked with nothing. Rows with the same set of shingles share a class. Of
-    rows that repeat a key, those with words share what the key's links reach;
-    a missing key is never a component's smallest unless all are missing, and
-    such rows are kept. An empty table gives no rows; other columns are
-    ignored, whatever their names.
+    linked with nothing. Rows with the same set of shingles share a class. Each
+    row is judged by its own text, also where a key repeats; a missing key is
+    never a component's smallest unless all are missing, and such rows are
+    kept. An empty table gives no rows; other columns are ignored, whatever
+    their names.
     """
-    rows = df.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    schema = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>, samples int"
+    rows = df.select(F.col(key).cast("long").alias("doc_id"), body(F.col(text)).alias("body"), _bytes(F.col(text)).alias("text"))
+    schema = "doc_id long, body string, n_shingles long, digest binary, bands array<long>, sketch array<long>, samples int"
     signed = stage(rows.mapInArrow(_signatures, schema), "signatures")
     same = {"n_shingles": "n", "bands": "bands", "sketch": "sketch", "samples": "samples"}  # alike in all rows of a class
+    lowest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body"))
     classes = stage(
         signed.where("digest IS NOT NULL")
         .groupBy(F.col("digest").alias("class"))
-        .agg(F.min("doc_id").alias("least"), *(F.any_value(c).alias(name) for c, name in same.items())),
+        .agg(lowest.alias("first"), *(F.any_value(c).alias(name) for c, name in same.items())),
         "classes",
     )
 
@@ -236,13 +253,12 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     )
     shared = stage(members.join(leaders, "bucket"), "shared-buckets")
     sketches = stage(
-        classes.join(shared.select("class").distinct(), "class", "left_semi").select("class", "least", "sketch", "samples", "n"), "sketches"
+        classes.join(shared.select("class").distinct(), "class", "left_semi").select("class", "first", "sketch", "samples", "n"), "sketches"
     )
-    keys = sketches.select("class", "least", "n")
-    texts = rows.join(keys, rows["doc_id"].eqNullSafe(keys["least"])).select("class", "text", "n")
-    found = texts.mapInArrow(_sets, "class binary, shingles array<long>, n long")
-    # a repeated key may bring a text of another class with it: only the class's own set counts
-    sets = stage(found.where(F.size("shingles") == F.col("n")).dropDuplicates(["class"]).drop("n"), "sets")
+    # keys may be missing or repeat, so a class's text is found by the digest of the text as well
+    keys = sketches.select("class", F.col("first.doc_id").alias("least"), F.col("first.body").alias("own"))
+    texts = rows.join(keys, rows["doc_id"].eqNullSafe(keys["least"]) & (rows["body"] == keys["own"])).select("class", "text")
+    sets = stage(texts.mapInArrow(_sets, "class binary, shingles array<long>").dropDuplicates(["class"]), "sets")
 
     def side(name: str) -> DataFrame:
         return sketches.select(*(F.col(c).alias(f"{c}_{name}") for c in ("class", "sketch", "samples", "n"))).withColumnRenamed(f"class_{name}", name)
@@ -264,7 +280,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     # what is left: pairs of a bucket in different components
     placed = stage(_with_component(shared, "class", joined), "placed")
     ends = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    still = placed.join(ends.where("low != high").select("bucket"), "bucket").join(sketches.drop("least"), "class")
+    still = placed.join(ends.where("low != high").select("bucket"), "bucket").join(sketches.drop("first"), "class")
     still = stage(still.join(classes.select("class", "bands"), "class"), "open-buckets")
 
     def half(name: str) -> DataFrame:
@@ -280,8 +296,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     links = stage(links.unionAll(_linked(pairs, sets, percent)), "all-links")
     joined = stage(components(links), "components")
 
-    lowest = stage(_with_component(classes.select("class", "least"), "class", joined).withColumnRenamed("class", "digest"), "class-components")
-    of_component = stage(lowest.groupBy("component").agg(F.min("least").alias("component_id")), "component-ids")
+    lowest = stage(_with_component(classes.select("class", "first.doc_id"), "class", joined).withColumnRenamed("class", "digest"), "class-components")
+    of_component = stage(lowest.groupBy("component").agg(F.min("doc_id").alias("component_id")), "component-ids")
     of_class = stage(lowest.join(of_component, "component").select("digest", "component_id"), "class-ids")
     result = signed.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
     component_id = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))

@@ -176,6 +176,21 @@ def test_near_duplicates_of_odd_rows(odd):
     assert near_duplicates.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_near_duplicates_with_missing_and_repeated_keys(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    docs, want = [], []
+    for i in range(40):  # all sets have as many shingles, and half of the rows have no key or one key
+        own = rng.sample(words, 60)
+        key = (None, 7)[i % 2]
+        docs += [(key, " ".join(own)), (100 + i, " ".join([*own[:-2], *rng.sample(words, 2)]))]
+        want += [(key, 7 if key else 100 + i), (100 + i, 7 if key else 100 + i)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    rows = near_duplicates.near_duplicates(df).collect()
+    assert {r.n_shingles for r in rows} == {56}
+    assert sorted((r.doc_id or 0, r.component_id) for r in rows) == sorted((d or 0, c) for d, c in want)
+
+
 def test_sketch_tells_shared_samples():
     rng = np.random.default_rng(0)
     for size in (10, 100, 3000):
