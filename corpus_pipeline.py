@@ -46,9 +46,11 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links connect, the one with the smallest id stays."""
-    kept = near_duplicates.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]), "left_semi").select(docs.columns)
+    """Of documents that links connect, one stays, as the operator chooses; rows that repeat id and text are one document."""
+    kept = near_duplicates.decisions(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("body").alias("_body"))
+    marked = docs.withColumn("_body_of", near_duplicates.body(F.col("text")))
+    same = marked["doc_id"].eqNullSafe(kept["_id"]) & (F.col("_body_of") == F.col("_body"))
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_body_of"]).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -222,22 +222,29 @@ def body(text: Column) -> Column:
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, floor: int = FLOOR) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row.
+    """doc_id, n_shingles, component_id, kept for every row, as ``decisions`` finds them."""
+    return decisions(df, key, text, percent, floor).drop("body")
+
+
+def decisions(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, floor: int = FLOOR) -> DataFrame:
+    """doc_id, body, n_shingles, component_id, kept for every row; ``body`` is the text's digest.
 
     Rows are linked if 100 * shared shingles >= ``percent`` * all shingles of
-    both; ``component_id`` is the smallest key that links reach, ``kept`` says
-    that it is the row's own. Texts without words (null, empty, blank) are
-    linked with nothing. Rows with the same set of shingles share a class. Each
-    row is judged by its own text, also where a key repeats; a missing key is
-    never a component's smallest unless all are missing, and such rows are
-    kept. An empty table gives no rows; other columns are ignored, whatever
+    both; ``component_id`` is the smallest key that links reach. Of rows that
+    links connect one is ``kept``: the first by key (missing ones last), then
+    by digest of the text; of equal rows any one. Texts without words (null,
+    empty, blank) are linked with nothing and kept. Rows with the same set of
+    shingles share a class. Each row is judged by its own text, also where a
+    key repeats; a missing key is never a component's smallest unless all are
+    missing. An empty table gives no rows; other columns are ignored, whatever
     their names.
     """
     rows = df.select(F.col(key).cast("long").alias("doc_id"), body(F.col(text)).alias("body"), _bytes(F.col(text)).alias("text"))
     schema = "doc_id long, body string, n_shingles long, digest binary, bands array<long>, sketch array<long>, samples int"
-    signed = stage(rows.mapInArrow(_signatures, schema), "signatures")
+    # the number of a row is written with it, so it stays the same
+    signed = stage(rows.mapInArrow(_signatures, schema).withColumn("row", F.monotonically_increasing_id()), "signatures")
     same = {"n_shingles": "n", "bands": "bands", "sketch": "sketch", "samples": "samples"}  # alike in all rows of a class
-    lowest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body"))
+    lowest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body", "row"))
     classes = stage(
         signed.where("digest IS NOT NULL")
         .groupBy(F.col("digest").alias("class"))
@@ -296,9 +303,15 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     links = stage(links.unionAll(_linked(pairs, sets, percent)), "all-links")
     joined = stage(components(links), "components")
 
-    lowest = stage(_with_component(classes.select("class", "first.doc_id"), "class", joined).withColumnRenamed("class", "digest"), "class-components")
-    of_component = stage(lowest.groupBy("component").agg(F.min("doc_id").alias("component_id")), "component-ids")
-    of_class = stage(lowest.join(of_component, "component").select("digest", "component_id"), "class-ids")
-    result = signed.select("doc_id", "n_shingles", "digest").join(of_class, "digest", "left")
-    component_id = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return result.select("doc_id", "n_shingles", component_id.alias("component_id"), F.col("doc_id").eqNullSafe(component_id).alias("kept"))
+    placed = stage(_with_component(classes.select("class", "first"), "class", joined).withColumnRenamed("class", "digest"), "class-components")
+    of_component = stage(placed.groupBy("component").agg(F.min("first").alias("stays")), "component-rows")
+    of_class = stage(placed.join(of_component, "component").select("digest", F.col("stays.doc_id").alias("component_id"), F.col("stays.row").alias("stays")), "class-ids")
+    result = signed.select("doc_id", "body", "n_shingles", "digest", "row").join(of_class, "digest", "left")
+    alone = F.col("digest").isNull()
+    return result.select(
+        "doc_id",
+        "body",
+        "n_shingles",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        (alone | F.coalesce(F.col("row") == F.col("stays"), F.lit(False))).alias("kept"),
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from salesflow.llm import near_duplicates
 from salesflow.session import scratch_scope
 from tests.llm.test_operators import _bodies, _linked_components
 
@@ -30,3 +31,25 @@ def test_stages_on_documents(spark, sf):
     stays = {d for d, _ in good}
     clean = [d in stays for d, q in labels.items() if q == 1]
     assert sum(clean) / len(clean) > 0.97
+
+
+def test_one_of_near_copies_stays_with_missing_and_repeated_ids(spark, sf):
+    def text(name, last):
+        return " ".join([f"{name}{i}" for i in range(40)] + [last])
+
+    groups = {
+        "a": [(None, "x"), (None, "y"), (None, "z")],  # no id at all
+        "b": [(1, "x"), (5, "y"), (None, "z")],  # ids that other, lone documents have as well
+        "c": [(9, "x"), (9, "y")],  # near copies under one id
+        "lone": [(5, "x")],
+        "own": [(None, "x")],
+    }
+    docs = [(doc_id, text(name, last)) for name, rows in groups.items() for doc_id, last in rows]
+    docs += [(1, text("b", "x")), (20, " "), (21, None)]  # a repeated row, rows without words
+    with scratch_scope(spark):
+        df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+        rows = corpus_pipeline.drop_near_copies(spark, df, sf).collect()
+        kept = near_duplicates.near_duplicates(df).where("kept").count()
+    assert sorted((r.text or "").split("0 ")[0] for r in rows) == ["", " ", "a", "b", "c", "lone", "own"]
+    assert next(r.doc_id for r in rows if (r.text or "").startswith("b0")) == 1
+    assert kept == len(rows)
