@@ -14,10 +14,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.llm.sampling import bounded
+from salesflow.llm.sampling import chosen
+from salesflow.session import stage
 
-#: Labelled documents the field is fitted on, about; longer ones than this many lines are not used for fitting.
+#: Stretches of labelled documents the field is fitted on, about, and lines of a stretch; most documents are one stretch.
 MOST_DOCUMENTS, MOST_LINES = 4000, 2000
+#: Lines of all stretches together, about: 208 bytes of measures each on the driver.
+MOST_FITTED = 400_000
 #: Bytes of a line measured at once; a longer line is measured in parts.
 PART = 1 << 20
 
@@ -227,38 +230,54 @@ def fit(
     label: str = "quality",
     most_documents: int = MOST_DOCUMENTS,
     most_lines: int = MOST_LINES,
+    most_fitted: int = MOST_FITTED,
 ) -> QualityField:
-    """Fit on about ``most_documents`` labelled documents of at most ``most_lines`` lines.
+    """Fit on about ``most_documents`` stretches of labelled documents, of about ``most_fitted`` lines in all.
+
+    A stretch is a document or, of one longer than ``most_lines``, each piece
+    of so many lines, measured within the whole document. Rows equal in key
+    and text are one document; of several labels of a key the most frequent
+    holds, the lowest of those. Stretches are drawn singly, so no key
+    can bring more of them than its share.
 
     Lines start with their document's label; lines of bad documents that the
     first field takes for good are then counted as good, and the field is
     fitted again. The sample is bounded, so its join is a broadcast and the
     fit runs on the driver. With labels of one kind the score is the good share.
     """
-    sample = bounded(labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()), key, most_documents).select(
-        F.col(key).alias("_key"), F.col(label).cast("int").alias("_label")
-    )
-    chosen = (
-        documents.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-        .join(F.broadcast(sample), "_key")
-        .where(F.length("_text") - F.length(F.replace(F.col("_text"), F.lit("\n"), F.lit(""))) < most_lines)
-    )
+    told = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label"))
+    often = told.groupBy("_key", "_label").count().groupBy("_key").agg(F.min(F.struct(-F.col("count"), "_label")).alias("best"))
+    texts = documents.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text")).withColumn("_body", F.xxhash64("_text"))
+    lines = F.length("_text") - F.length(F.replace(F.col("_text"), F.lit("\n"), F.lit(""))) + 1
+    known = texts.select("_key", "_body", lines.alias("_lines")).distinct().join(often.select("_key", F.col("best._label").alias("_label")), "_key")
+    part = F.explode(F.sequence(F.lit(0), F.floor((F.col("_lines") - 1) / most_lines).cast("int")))
+    size = F.least(F.lit(most_lines), F.col("_lines") - F.col("_part") * most_lines)
+    stretches = stage(known.withColumn("_part", part).select("_key", "_body", "_label", "_part", size.alias("_size")), "stretches")
+    count, total = stretches.agg(F.count(F.lit(1)), F.sum("_size")).first()
+    share = min(most_documents / max(count, 1), most_fitted / max(total or 0, 1))
+    sample = stretches.where(chosen(share, "_key", "_body", "_part")).groupBy("_key", "_body", "_label").agg(F.sort_array(F.collect_list("_part")).alias("_parts"))
+    found = texts.join(F.broadcast(sample), ["_key", "_body"]).dropDuplicates(["_key", "_body"])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [features(t.as_py()) for t in batch.column("_text")]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("_key").cast(pa.string()),
-                    batch.column("_label"),
-                    pa.array([m.ravel() for m, _ in found], pa.list_(pa.float64())),
-                    pa.array([s for _, s in found], pa.list_(pa.float64())),
-                ],
-                names=["key", "label", "measures", "sizes"],
-            )
-
-    rows = chosen.mapInArrow(measure, "key string, label int, measures array<double>, sizes array<double>").toPandas()
-    rows = rows.iloc[sorted(range(len(rows)), key=lambda i: (rows["key"][i], rows["label"][i]))]  # the same fit whatever the order
+            for name, body, label, parts, text in zip(*(batch.column(c) for c in ("_key", "_body", "_label", "_parts", "_text"))):
+                measures, sizes = features(text.as_py())
+                spans = [(part, slice(part * most_lines, (part + 1) * most_lines)) for part in parts.as_py()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([str(name.as_py())] * len(spans), pa.string()),
+                        pa.array([body.as_py()] * len(spans), pa.int64()),
+                        pa.array([part for part, _ in spans], pa.int32()),
+                        pa.array([label.as_py()] * len(spans), pa.int32()),
+                        pa.array([measures[span].ravel() for _, span in spans], pa.list_(pa.float64())),
+                        pa.array([sizes[span] for _, span in spans], pa.list_(pa.float64())),
+                    ],
+                    names=["key", "body", "part", "label", "measures", "sizes"],
+                )
+
+    schema = "key string, body long, part int, label int, measures array<double>, sizes array<double>"
+    rows = found.mapInArrow(measure, schema).toPandas()
+    rows = rows.sort_values(["key", "body", "part"])  # the same fit whatever the order
     measured = [(np.array(m).reshape(-1, WIDTH), np.array(s)) for m, s in zip(rows["measures"], rows["sizes"])]
     return _fit(measured, rows["label"].to_numpy())
 

@@ -13,12 +13,17 @@ def fold(key: Column, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(folds))
 
 
+def chosen(share: float, *parts: Column | str) -> Column:
+    """True for about ``share`` of all rows, at random by the digest of ``parts``; they should tell rows apart."""
+    return F.lit(True) if share >= 1 else F.pmod(F.xxhash64(*parts, F.lit("sample")), F.lit(_RANGE)) < int(_RANGE * share)
+
+
 def bounded(rows: DataFrame, key: str, most: int) -> DataFrame:
-    """About ``most`` of ``rows`` at random by the digest of ``key``, or all if they are fewer.
+    """About ``most`` of ``rows`` at random, or all if they are fewer.
 
     Rows are counted first, so the share that is kept falls as the table grows.
+    Each row is drawn by itself, by its key and its place in the table: rows
+    that repeat a key are not taken or left together.
     """
     total = rows.count()
-    if total <= most:
-        return rows
-    return rows.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(_RANGE)) < int(_RANGE * most / total))
+    return rows if total <= most else rows.where(chosen(most / total, key, F.monotonically_increasing_id()))

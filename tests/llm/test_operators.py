@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from salesflow.llm import block_names, components, language, licenses, line_quality, near_duplicates, numbering, sharding, voronoi
+from salesflow.llm import block_names, components, language, licenses, line_quality, near_duplicates, numbering, sampling, sharding, voronoi
 from salesflow.llm.queries import op7_language, op10_line_quality
 
 TEXTS = [
@@ -253,6 +253,25 @@ def test_quality_accuracy_and_odd_rows(spark, sf, odd):
     assert none.score("anything") == 0.5
 
 
+def test_fitting_samples_are_bounded_where_a_key_repeats(spark, monkeypatch):
+    rows = spark.range(20000).select(F.lit(5).alias("doc_id"))
+    assert 800 < sampling.bounded(rows, "doc_id", 1000).count() < 1200
+    docs = [(5, f"one line {i}\nanother line of {i}") for i in range(600)] + [(6, "\n".join(f"row {i}" for i in range(250)))] * 3
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(5, 1), (5, 1), (5, 0), (6, 0), (6, 0)], "doc_id long, quality int")
+    fitted = []
+    monkeypatch.setattr(line_quality, "_fit", lambda measured, quality: fitted.append((measured, quality.tolist())))
+    line_quality.fit(df, labels, most_lines=100)  # everything fits: each text once, the long one in three stretches
+    line_quality.fit(df, labels, most_documents=100, most_lines=100)
+    line_quality.fit(df, labels, most_lines=100, most_fitted=200)
+    every, fewer, short = fitted
+    assert sorted(every[1]) == [0] * 3 + [1] * 600
+    whole = np.vstack([m for (m, _), q in zip(*every) if q == 0])
+    assert len(whole) == 250 and sorted(whole.tolist()) == sorted(line_quality.features(docs[-1][1])[0].tolist())
+    assert 60 < len(fewer[1]) < 140
+    assert 0 < sum(len(m) for m, _ in short[0]) < 500
+
+
 def test_marginals_match_enumeration():
     import itertools
 
