@@ -14,10 +14,13 @@ from salesflow.llm import (
     language,
     licenses,
     line_quality,
+    main_text,
     near_duplicates,
+    prefix_trie,
     sharding,
     token_matrix,
     voronoi,
+    whitening,
 )
 from salesflow.llm.encoding import vocabulary
 from salesflow.llm.sampling import fold
@@ -85,6 +88,21 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector counts as often as it occurs."""
+    whitened = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    return whitened.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = main_text.with_main_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_token_matrix": op2_token_matrix,
@@ -96,6 +114,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_line_quality": op10_line_quality,
+    "op11_whitening": op11_whitening,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_main_text": op13_main_text,
 }
 
 _TEMPLATE_ROWS = ", ".join(f"('{name}', '{text}')" for name, text in licenses.TEMPLATES.items())
@@ -106,6 +127,15 @@ _WORDS = """
                                             '[^\\x20\\x09-\\x0D]+') AS w
           FROM documents"""
 
+#: The table of CRC-32 by byte value.
+_CRC_TABLE = """
+        steps(b, n, c) AS (
+          SELECT range, 0, range::BIGINT FROM range(256)
+          UNION ALL
+          SELECT b, n + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END FROM steps WHERE n < 8
+        ),
+        crc AS (SELECT list(c ORDER BY b) AS t FROM steps WHERE n = 8)"""
+
 ORACLES: dict[str, str] = {
     "op1_licenses": f"""
         WITH template(license, body) AS (VALUES {_TEMPLATE_ROWS}),
@@ -196,13 +226,8 @@ ORACLES: dict[str, str] = {
         SELECT low.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, low.doc_id = component_id AS kept
         FROM low LEFT JOIN n ON n.doc_id = low.doc_id""",
     # the draws are 52-bit prefixes of MD5; with equal weights the largest draw wins
-    "op3_sharding": """
-        WITH RECURSIVE steps(b, n, c) AS (
-          SELECT range, 0, range::BIGINT FROM range(256)
-          UNION ALL
-          SELECT b, n + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END FROM steps WHERE n < 8
-        ),
-        crc AS (SELECT list(c ORDER BY b) AS t FROM steps WHERE n = 8),
+    "op3_sharding": f"""
+        WITH RECURSIVE {_CRC_TABLE},
         docs AS (
           SELECT doc_id, strlen(coalesce(text, ''))::BIGINT + 1 AS size, hex(encode(coalesce(text, ''))) AS h,
                  coalesce('k' || doc_id::VARCHAR, 'missing') AS k
@@ -254,4 +279,44 @@ ORACLES: dict[str, str] = {
           FROM d
         )
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM w""",
+    "op12_prefix_trie": f"""
+        WITH RECURSIVE {_CRC_TABLE},
+        turn AS (
+          SELECT conv_id, {{'r': coalesce(role, ''), 'x': coalesce(text, '')}} AS v,
+                 row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+          FROM conversations WHERE conv_id IS NOT NULL
+        ),
+        own AS (SELECT conv_id, list(v ORDER BY place) AS turns FROM turn GROUP BY conv_id),
+        rule AS (
+          SELECT conv_id, turns, conv_id - conv_id % 100 AS lender,
+            xor(list_reduce(
+              [4294967295::BIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+              lambda a, b: xor(a >> 8, t[(xor(a & 255, b)) + 1])), 4294967295::BIGINT) % 6 AS h
+          FROM own, crc
+        ),
+        conv AS (
+          SELECT rule.conv_id, coalesce(own.turns, [])[1:h] || rule.turns[h + 1:] AS turns FROM rule LEFT JOIN own ON own.conv_id = rule.lender
+        ),
+        member AS (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM conv),
+        node AS (
+          SELECT depth, turns[1:depth] AS path, min(conv_id) AS conv_id, count(*) AS n,
+                 coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(turns) = depth), '') AS ends
+          FROM member GROUP BY ALL
+        ),
+        kids AS (SELECT path[1:depth - 1] AS path, depth - 1 AS depth, count(*) AS n FROM node WHERE depth > 0 GROUP BY ALL),
+        below AS (
+          SELECT path[1:d] AS path, d AS depth, sum(leaf) AS leaves, sum(saved) AS saved
+          FROM (
+            SELECT node.path, unnest(range(0, node.depth + 1)) AS d, CASE WHEN kids.n IS NULL THEN 1 ELSE 0 END AS leaf,
+                   CASE WHEN node.depth = 0 THEN 0 ELSE (node.n - 1) * length(node.path[node.depth].x) END AS saved
+            FROM node LEFT JOIN kids ON kids.depth = node.depth AND kids.path = node.path
+          )
+          GROUP BY ALL
+        )
+        SELECT node.conv_id, node.depth, up.conv_id AS parent_conv_id, node.n AS n_convs, coalesce(kids.n, 0) AS n_children,
+               below.leaves::BIGINT AS n_leaves, below.saved::BIGINT AS saved_tokens, sha256(node.ends) AS ends_sha256
+        FROM node
+        JOIN below ON below.depth = node.depth AND below.path = node.path
+        LEFT JOIN kids ON kids.depth = node.depth AND kids.path = node.path
+        LEFT JOIN node up ON up.depth = node.depth - 1 AND up.path = node.path[1:node.depth - 1]""",
 }
