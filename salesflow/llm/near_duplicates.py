@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,10 @@ WORDS, PERCENT = 5, 75
 BANDS, ROWS = 32, 4
 #: Bins of a sketch's samples, as a power of two, and 64-bit words of its bitmap.
 BINS, SKETCH = 11, 64
-#: Pairs whose sketches put them below this similarity (in hundredths) are not compared. At a similarity of
+#: Shingles up to which a set is its own sample. The bits that differ are then never more than the shingles that
+#: differ, so a pair with too many of them is surely no link, and nearly all that remain are links.
+WHOLE = 1 << BINS
+#: Pairs of larger sets whose sketches put them below this similarity (in hundredths) are not compared. At a similarity of
 #: 0.75 the estimate has a standard deviation of at most 0.011, so this is over five of them away. In small
 #: sets one shingle that takes another's bin counts for more, hence the samples that may lack besides.
 FLOOR, SLACK = 69, 1.0
@@ -104,39 +108,43 @@ def band_keys(mins: np.ndarray) -> np.ndarray:
     return keys
 
 
-def odd_sketch(hashes: np.ndarray) -> tuple[np.ndarray, int]:
-    """A bitmap with the parity of how many samples fall on each bit, and the number of samples.
-
-    The samples are the minima of the bins that the hashes' leading bits name;
-    the hashes are sorted, so a bin's minimum is the first in it.
-    """
+def samples_of(hashes: np.ndarray) -> np.ndarray:
+    """The minima of the bins that the hashes' leading bits name; sorted hashes, so a bin's minimum is the first in it."""
     bins = hashes >> np.uint64(64 - BINS)
-    samples = hashes[np.flatnonzero(np.append(True, bins[1:] != bins[:-1]))]
+    return hashes[np.flatnonzero(np.append(True, bins[1:] != bins[:-1]))]
+
+
+def odd_sketch(samples: np.ndarray) -> np.ndarray:
+    """A bitmap with the parity of how many samples fall on each bit."""
     bits = _mixed(samples) % np.uint64(64 * SKETCH)
     parity = np.bincount(bits.astype(np.int64), minlength=64 * SKETCH) & 1
-    return np.packbits(parity.astype(np.uint8), bitorder="little").view(np.uint64), len(samples)
+    return np.packbits(parity.astype(np.uint8), bitorder="little").view(np.uint64)
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signatures(batches: Iterator[pa.RecordBatch], percent: int = PERCENT) -> Iterator[pa.RecordBatch]:
+    """Sets of up to ``WHOLE`` shingles have a sketch of all of them, larger ones of their samples, and those that may meet both have both."""
+
     def signed(array: np.ndarray) -> np.ndarray:
         return array.view(np.int64)
 
     for batch in batches:
-        sizes, digests, bands, sketches, samples = [], [], [], [], []
+        sizes, digests, bands, wholes, sketches, samples = [], [], [], [], [], []
         for text in batch.column("text"):
             found = shingles(text.as_py() or b"")
             sizes.append(len(found))
             if not len(found):
                 digests.append(None)
                 bands.append(None)
+                wholes.append(None)
                 sketches.append(None)
                 samples.append(0)
                 continue
             digests.append(hashlib.blake2b(found.astype("<u8").tobytes(), digest_size=16).digest())
             bands.append(signed(band_keys(minhash(found))))
-            sketch, count = odd_sketch(found)
-            sketches.append(signed(sketch))
-            samples.append(count)
+            wholes.append(signed(odd_sketch(found)) if len(found) <= WHOLE else None)
+            some = samples_of(found) if 100 * len(found) >= percent * WHOLE else None
+            sketches.append(None if some is None else signed(odd_sketch(some)))
+            samples.append(0 if some is None else len(some))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
@@ -144,10 +152,11 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(sizes, pa.int64()),
                 pa.array(digests, pa.binary()),
                 pa.array(bands, pa.list_(pa.int64())),
+                pa.array(wholes, pa.list_(pa.int64())),
                 pa.array(sketches, pa.list_(pa.int64())),
                 pa.array(samples, pa.int32()),
             ],
-            names=["doc_id", "body", "n_shingles", "digest", "bands", "sketch", "samples"],
+            names=["doc_id", "body", "n_shingles", "digest", "bands", "whole", "sketch", "samples"],
         )
 
 
@@ -163,15 +172,36 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(found, pa.list_(pa.int64()))], names=["class", "shingles"])
 
 
+def differing_bits(a: str, b: str, sketch: str) -> Column:
+    """How many bits of the two sketches differ, from the columns ``sketch`` of each."""
+    differ = F.zip_with(f"{sketch}_{a}", f"{sketch}_{b}", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(differ, F.lit(0), lambda total, count: total + count)
+
+
+def likeness(a: str, b: str, percent: int, floor: int) -> Column:
+    """The similarity that the sketches of two classes give, in hundredths; null if they are surely, or all but surely, no link.
+
+    Of two sets of which all shingles are in the sketch, at least as many
+    differ as bits do, so none of a link is missed. Larger sets are estimated.
+    """
+    sizes, bits = F.col(f"n_{a}") + F.col(f"n_{b}"), differing_bits(a, b, "whole")
+    whole = F.when(bits * (100 + percent) <= sizes * (100 - percent), 100.0 * (sizes - bits) / (sizes + bits))
+    shared = shared_samples(a, b)
+    estimated = F.when(
+        shared >= expected_samples(a, b, floor / 100) - SLACK, F.lit(float(percent)) * shared / expected_samples(a, b, percent / 100)
+    )
+    both = F.col(f"whole_{a}").isNotNull() & F.col(f"whole_{b}").isNotNull()
+    alike = 100 * F.least(f"n_{a}", f"n_{b}") >= percent * F.greatest(f"n_{a}", f"n_{b}")
+    return F.when(alike, F.when(both, whole).otherwise(estimated))
+
+
 def shared_samples(a: str, b: str) -> Column:
     """How many samples two classes share, from the columns ``sketch_`` and ``samples_`` of each.
 
     The bits that differ tell how many samples are in one sketch alone.
     """
     bits = 64.0 * SKETCH
-    differ = F.zip_with(f"sketch_{a}", f"sketch_{b}", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    odd = F.aggregate(differ, F.lit(0), lambda total, count: total + count)
-    share = F.greatest(1 - odd * F.lit(2 / bits), F.lit(1e-9))
+    share = F.greatest(1 - differing_bits(a, b, "sketch") * F.lit(2 / bits), F.lit(1e-9))
     return (F.col(f"samples_{a}") + F.col(f"samples_{b}") + F.lit(bits / 2) * F.log(share)) / 2
 
 
@@ -222,8 +252,12 @@ def body(text: Column) -> Column:
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, floor: int = FLOOR) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row, as ``decisions`` finds them."""
-    return decisions(df, key, text, percent, floor).drop("body")
+    """doc_id, n_shingles, component_id, kept for every row, as ``decisions`` finds them, but for ``kept``.
+
+    ``kept`` is doc_id = component_id: true for all rows that repeat a component's smallest key.
+    """
+    found = decisions(df, key, text, percent, floor).drop("body")
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def decisions(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, floor: int = FLOOR) -> DataFrame:
@@ -240,10 +274,10 @@ def decisions(df: DataFrame, key: str = "doc_id", text: str = "text", percent: i
     their names.
     """
     rows = df.select(F.col(key).cast("long").alias("doc_id"), body(F.col(text)).alias("body"), _bytes(F.col(text)).alias("text"))
-    schema = "doc_id long, body string, n_shingles long, digest binary, bands array<long>, sketch array<long>, samples int"
+    schema = "doc_id long, body string, n_shingles long, digest binary, bands array<long>, whole array<long>, sketch array<long>, samples int"
     # the number of a row is written with it, so it stays the same
-    signed = stage(rows.mapInArrow(_signatures, schema).withColumn("row", F.monotonically_increasing_id()), "signatures")
-    same = {"n_shingles": "n", "bands": "bands", "sketch": "sketch", "samples": "samples"}  # alike in all rows of a class
+    signed = stage(rows.mapInArrow(partial(_signatures, percent=percent), schema).withColumn("row", F.monotonically_increasing_id()), "signatures")
+    same = {"n_shingles": "n", "bands": "bands", "whole": "whole", "sketch": "sketch", "samples": "samples"}  # alike in all rows of a class
     lowest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body", "row"))
     classes = stage(
         signed.where("digest IS NOT NULL")
@@ -260,7 +294,7 @@ def decisions(df: DataFrame, key: str = "doc_id", text: str = "text", percent: i
     )
     shared = stage(members.join(leaders, "bucket"), "shared-buckets")
     sketches = stage(
-        classes.join(shared.select("class").distinct(), "class", "left_semi").select("class", "first", "sketch", "samples", "n"), "sketches"
+        classes.join(shared.select("class").distinct(), "class", "left_semi").select("class", "first", "whole", "sketch", "samples", "n"), "sketches"
     )
     # keys may be missing or repeat, so a class's text is found by the digest of the text as well
     keys = sketches.select("class", F.col("first.doc_id").alias("least"), F.col("first.body").alias("own"))
@@ -268,16 +302,13 @@ def decisions(df: DataFrame, key: str = "doc_id", text: str = "text", percent: i
     sets = stage(texts.mapInArrow(_sets, "class binary, shingles array<long>").dropDuplicates(["class"]), "sets")
 
     def side(name: str) -> DataFrame:
-        return sketches.select(*(F.col(c).alias(f"{c}_{name}") for c in ("class", "sketch", "samples", "n"))).withColumnRenamed(f"class_{name}", name)
+        return sketches.select(*(F.col(c).alias(f"{c}_{name}") for c in ("class", "whole", "sketch", "samples", "n"))).withColumnRenamed(f"class_{name}", name)
 
-    near = (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (
-        shared_samples("a", "b") >= expected_samples("a", "b", floor / 100) - SLACK
-    )
-    like = shared_samples("a", "b") / expected_samples("a", "b", percent / 100)
+    like = likeness("a", "b", percent, floor)
 
     # each class and the leaders of its buckets: the likest first, then those of other components
     starred = shared.where("class != leader").select(F.col("class").alias("a"), F.col("leader").alias("b")).distinct()
-    starred = stage(starred.join(side("a"), "a").join(side("b"), "b").where(near).select("a", "b", like.alias("like")), "starred")
+    starred = stage(starred.join(side("a"), "a").join(side("b"), "b").select("a", "b", like.alias("like")).where("like IS NOT NULL"), "starred")
     nearest = starred.groupBy("a").agg(F.max(F.struct("like", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
     links = stage(_linked(stage(nearest, "star-pairs"), sets, percent), "star-links")
     others = stage(_apart(starred.select("a", "b"), stage(components(links, rounds=1), "star-components")), "other-leaders")
@@ -291,14 +322,14 @@ def decisions(df: DataFrame, key: str = "doc_id", text: str = "text", percent: i
     still = stage(still.join(classes.select("class", "bands"), "class"), "open-buckets")
 
     def half(name: str) -> DataFrame:
-        return still.select("bucket", *(F.col(c).alias(f"{c}_{name}") for c in ("class", "component", "leader", "bands", "sketch", "samples", "n")))
+        return still.select("bucket", *(F.col(c).alias(f"{c}_{name}") for c in ("class", "component", "leader", "bands", "whole", "sketch", "samples", "n")))
 
     left, right = half("a"), half("b")
     apart = (F.col("class_a") < F.col("class_b")) & (F.col("component_a") != F.col("component_b"))
     compared = (F.col("class_a") == F.col("leader_a")) | (F.col("class_b") == F.col("leader_a"))
     # each pair from the first bucket that both are in, unless it was compared there
     once = F.element_at(F.array_intersect("bands_a", "bands_b"), 1) == left["bucket"]
-    pairs = left.join(right, (left["bucket"] == right["bucket"]) & apart & ~compared & near & once)
+    pairs = left.join(right, (left["bucket"] == right["bucket"]) & apart & ~compared & once & like.isNotNull())
     pairs = stage(pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct(), "open-pairs")
     links = stage(links.unionAll(_linked(pairs, sets, percent)), "all-links")
     joined = stage(components(links), "components")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from salesflow.llm import block_names, components, language, licenses, line_quality, near_duplicates, numbering, sampling, sharding, voronoi
 from salesflow.llm.queries import op7_language, op10_line_quality
+from salesflow.session import stage
 
 TEXTS = [
     None,
@@ -169,9 +170,50 @@ def test_near_duplicates_match_brute_force(spark):
     assert got == _linked_components(docs)
 
 
+def test_near_duplicates_about_the_size_where_sketches_change(spark):
+    """Sets below, at and above the size up to which all shingles are in the sketch, linked to each other and not."""
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(2300)]
+    docs = []
+    for i, size in enumerate([1540, 1700, 2040, 2051, 2053, 2060, 2200, 2300] * 3):
+        own = base[:size]
+        for _ in range(12 * (i // 8)):
+            own[rng.randrange(size)] = f"x{rng.randrange(10**6)}"
+        docs.append((i, " ".join(own)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates.near_duplicates(df).collect()}
+    assert got == _linked_components(docs)
+
+
+def test_compared_pairs_grow_with_the_links_not_with_all_pairs(spark, monkeypatch):
+    """Texts of one origin of which most pairs are just too different: few pairs are fetched, all decisions are right."""
+    compared = {}
+
+    def counted(df, name):
+        staged = stage(df, name)
+        if name in ("open-pairs", "other-leaders"):
+            compared[name] = compared.get(name, 0) + staged.count()
+        return staged
+
+    monkeypatch.setattr(near_duplicates, "stage", counted)
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(104)]
+    docs = []
+    for i in range(500):
+        own = list(base)
+        for place in rng.sample(range(104), 2):
+            own[place] = f"x{rng.randrange(10**6)}"
+        docs.append((i, " ".join(own)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates.near_duplicates(df).collect()}
+    assert got == _linked_components(docs)
+    assert compared["open-pairs"] < 6 * 500
+
+
 def test_near_duplicates_of_odd_rows(odd):
     rows = near_duplicates.near_duplicates(odd).collect()
     assert len(rows) == odd.count()
+    assert all(r.kept == (r.doc_id == r.component_id) for r in rows)
     assert {r.component_id for r in rows if r.doc_id == 7} == {6}
     assert near_duplicates.near_duplicates(odd.limit(0)).count() == 0
 
@@ -195,9 +237,14 @@ def test_sketch_tells_shared_samples():
     rng = np.random.default_rng(0)
     for size in (10, 100, 3000):
         common, one, two = (np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)) for n in (6 * size, size, size))
-        a, n_a = near_duplicates.odd_sketch(np.unique(np.concatenate([common, one])))
-        b, n_b = near_duplicates.odd_sketch(np.unique(np.concatenate([common, two])))
+        sets = [np.unique(np.concatenate([common, own])) for own in (one, two)]
         bits = 64 * near_duplicates.SKETCH
+        a, b = (near_duplicates.odd_sketch(found) for found in sets)
+        if size <= 100:  # all shingles: never more bits than shingles differ, and nearly as many
+            assert 2 * size - 12 <= int(np.bitwise_count(a ^ b).sum()) <= 2 * size
+        samples = [near_duplicates.samples_of(found) for found in sets]
+        n_a, n_b = map(len, samples)
+        a, b = map(near_duplicates.odd_sketch, samples)
         odd_bits = int(np.bitwise_count(a ^ b).sum())
         shared = (n_a + n_b + bits / 2 * np.log(1 - 2 * odd_bits / bits)) / 2
         filled = (1 << near_duplicates.BINS) * (1 - np.exp(-8 * size / (1 << near_duplicates.BINS)))

@@ -49,7 +49,7 @@ def test_one_of_near_copies_stays_with_missing_and_repeated_ids(spark, sf):
     with scratch_scope(spark):
         df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
         rows = corpus_pipeline.drop_near_copies(spark, df, sf).collect()
-        kept = near_duplicates.near_duplicates(df).where("kept").count()
+        kept = near_duplicates.decisions(df).where("kept").count()
     assert sorted((r.text or "").split("0 ")[0] for r in rows) == ["", " ", "a", "b", "c", "lone", "own"]
     assert next(r.doc_id for r in rows if (r.text or "").startswith("b0")) == 1
     assert kept == len(rows)
