@@ -68,6 +68,12 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files below a folder."""
+    target, files = _hadoop(spark, path)
+    return files.getContentSummary(target).getLength()
+
+
 def folders(spark: SparkSession, path: str, holding: str) -> list[str]:
     """Names of the folders in ``path`` that hold a file of that name."""
     target, files = _hadoop(spark, path)
@@ -107,6 +113,21 @@ def streaming_session(spark: SparkSession, partitions: int = 8) -> SparkSession:
     return session
 
 
+@contextlib.contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streaming queries started inside keep their state in RocksDB, so that it need not fit the executors' heap."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to shared storage and return the written table.
 

@@ -35,26 +35,27 @@ def run_complete(view: DataFrame, path: str, checkpoint: str, every: str | None
     return start(view.writeStream.outputMode("complete").foreachBatch(publish), checkpoint, every)
 
 
-def put_version(result: DataFrame, path: str, version: int) -> None:
+def put_version(result: DataFrame, path: str, version: int, keep: int | None = VERSIONS) -> None:
     """Write a version beside the older ones, of which the last few stay for readers that began before.
 
     A version counts once its success marker is there, so a write that fails
     leaves the old one current; one that is complete is not written again.
+    With ``keep`` None all versions stay.
     """
     spark = result.sparkSession
-    if version not in _complete(spark, path):
+    if version not in complete_versions(spark, path):
         result.write.mode("overwrite").parquet(f"{path}/version={version}")
-    for old in _complete(spark, path)[:-VERSIONS]:
+    for old in complete_versions(spark, path)[:-keep] if keep else []:
         remove(spark, f"{path}/version={old}")
 
 
-def latest(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def latest(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """The newest complete version under ``path``; empty before the first."""
-    versions = _complete(spark, path)
+    versions = complete_versions(spark, path)
     return spark.read.schema(schema).parquet(f"{path}/version={versions[-1]}") if versions else spark.createDataFrame([], schema)
 
 
-def _complete(spark: SparkSession, path: str) -> list[int]:
+def complete_versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(name.split("=")[1]) for name in folders(spark, path, "_SUCCESS") if name.startswith("version="))
 
 

@@ -1,15 +1,18 @@
 """Layer parity, replay, restart: streams end up with what the batch operators say."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from salesflow.functions.codecs import as_events, decode_json, encode_json
 from salesflow.operators import speed, views
+from salesflow.plans import refresh
 from salesflow.plans.landing import sales_messages, sales_topic
 from salesflow.session import streaming_session
 from salesflow.sources import topic
 from salesflow.sources.tables import sales
-from salesflow.streaming import batch_layer, speed_layer
+from salesflow.streaming import batch_layer, compaction, speed_layer
 from salesflow.streaming.runners import latest, put_version, run_append, run_complete, seconds_per_batch
 
 
@@ -70,6 +73,41 @@ def test_batch_loop_with_every_batch_replayed(spark, sf, messages, tmp_path):
             assert all(x == y or x == pytest.approx(y, rel=1e-12) for x, y in zip(a, b)), (name, a, b)
 
 
+def test_many_batches_stay_few_files_and_cost_what_the_second_does(spark, sf, tmp_path):
+    """Merged twice over; every version a reader may hold stays whole, and no batch reads those before it."""
+    root, held = str(tmp_path), []
+    stream = sales_messages(spark, sf, files_per_trigger=1, messages_per_file=250)
+    put = compaction.put_version
+
+    def noted(result, path, version, **options):
+        put(result, path, version, **options)
+        if path.endswith("manifests") and version in (7, 15):  # readers that began before the next merge
+            held.append((batch_layer.stored_sales(spark, root), batch_layer.stored_sales(spark, root).count()))
+        if held and version in (8, 16):
+            assert held[-1][0].count() == held[-1][1]
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(compaction, "put_version", noted)
+        query = batch_layer.run_batch_loop(stream, root, "many_")
+    seconds = seconds_per_batch(query)
+    last = query.lastProgress["batchId"]
+    assert last >= 20 and len(held) == 2
+    everything = sales(spark, sf)
+    assert batch_layer.stored_sales(spark, root).count() == everything.count()
+    folders = compaction.listed(spark, f"{root}/manifests")
+    assert len(folders) <= 2 * compaction.FANOUT and folders[0]["tier"] == 1
+    for merged in (r["folder"] for r in folders if r["tier"]):
+        assert len(list(Path(merged).glob("part=sales/*.orc"))) == 1
+    assert len(list((tmp_path / "cube").iterdir())) == 3
+    keys = [refresh.invoice_keys(everything).count()]
+    assert [s["numRowsTotal"] for s in query.lastProgress["stateOperators"]] == keys
+    assert sorted(seconds.values())[len(seconds) // 2] * 3 > seconds[last]
+    for name, operator in views.VIEWS.items():
+        assert len(rows(operator(everything))) == spark.table(f"many_{name}").count()
+    counted = spark.table("many_gender_sales_summary").agg(F.sum("total_invoices")).first()[0]
+    assert counted == everything.select("gender", "invoice_id").distinct().count()
+
+
 def test_batch_loop_sets_bad_messages_aside(spark, sf, tmp_path):
     path = f"{tmp_path}/topic"
     good = encode_json(sales(spark, sf).where("quantity = 1"), key="id")
@@ -82,7 +120,7 @@ def test_batch_loop_sets_bad_messages_aside(spark, sf, tmp_path):
     topic.publish(incomplete.select("key", F.encode("v", "UTF-8").alias("value")), path)
     batch_layer.run_batch_loop(topic.subscribe(spark, path), f"{tmp_path}/root", "aside_")
     assert batch_layer.stored_sales(spark, f"{tmp_path}/root").count() == good.count()
-    reasons = sorted(r.reject_reason[:17] for r in spark.read.parquet(f"{tmp_path}/root/rejected").collect())
+    reasons = sorted(r.reject_reason[:17] for r in batch_layer.refused_messages(spark, f"{tmp_path}/root").collect())
     assert reasons == ["id missing; invoi", "malformed message", "rating missing"]
 
 
@@ -90,6 +128,9 @@ def test_speed_layer_equals_batch(spark, sf, messages, tmp_path):
     root = str(tmp_path)
     speed_layer.run_speed_layer(messages(), root)
     before = {name: rows(view) for name, view in speed_layer.current_views(spark, root).items()}
+    versions = [p.name for p in (tmp_path / "running").iterdir()]
+    assert len(versions) == 3 and speed_layer.running_sums(spark, root).inputFiles()  # one snapshot is read, three stay
+    assert {Path(f).parent.name for f in speed_layer.running_sums(spark, root).inputFiles()} == {max(versions, key=lambda v: int(v.split("=")[1]))}
     everything = sales(spark, sf)
     for name, found in before.items():
         assert found == rows(speed.SPEED_VIEWS[name][0](everything))
