@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,20 +15,40 @@ _PART = "_part"
 
 
 def _running_sums(count: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Replace the last ``count`` columns by their running sums along the task's rows; overflow is an error.
+    """Replace the last ``count`` columns, 64-bit, by their running sums along the task's rows, as decimals of 38 digits.
 
+    Each number is summed as two limbs: its lower 32 bits and the rest. The
+    sums of a batch's limbs cannot leave 64 bits, and what came before the
+    batch is a whole number of any size, so nothing overflows before 38 digits.
     The function is local so that it travels with the job: executors need
-    Arrow, not this package.
+    Arrow and numpy, not this package.
     """
 
+    def summed(column: pa.Array, before: int) -> tuple[pa.Array, int]:
+        import numpy as np
+
+        values = column.to_numpy(zero_copy_only=False).astype(np.int64)
+        low = np.cumsum(values & 0xFFFFFFFF) + (before & 0xFFFFFFFF)
+        high = np.cumsum(values >> 32) + (low >> 32) + ((before >> 32) & 0xFFFFFFFF)
+        top = (high >> 32) + (before >> 64)
+        limbs = np.empty((len(values), 2), dtype=np.int64)  # two's complement of 128 bits, lower half first
+        limbs[:, 0] = (high << 32) | (low & 0xFFFFFFFF)
+        limbs[:, 1] = top
+        total = (int(top[-1]) << 64) + ((int(high[-1]) & 0xFFFFFFFF) << 32) + (int(low[-1]) & 0xFFFFFFFF)
+        if abs(total) >= 10**38:
+            raise OverflowError("a running sum has more than 38 digits")
+        return pa.Array.from_buffers(pa.decimal128(38, 0), len(values), [None, pa.py_buffer(limbs)]), total
+
     def along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carried = [0] * count
         for batch in batches:
             if batch.num_rows:
-                last = batch.columns[-count:]
-                running = [pc.cumulative_sum_checked(c, start=n) for c, n in zip(last, carried)]
-                carried = [r[-1].as_py() for r in running]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-count], *running], schema=batch.schema)
+                running = []
+                for place, column in enumerate(batch.columns[-count:]):
+                    array, carried[place] = summed(column, carried[place])
+                    running.append(array)
+                names = batch.schema.names
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-count], *running], names=names)
 
     return along
 
@@ -70,7 +89,9 @@ def running_totals(
     kept = [F.col(f"`{c}`") for c in keep or df.columns]
     part, copies = F.spark_partition_id().alias(_PART), [F.col(c).alias(n) for c, n in zip(own, local_names)]
     source = ranged.sortWithinPartitions(*columns).select(*kept, *own, part, *copies)
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in source.schema.fields])
+    wide = set(local_names)
+    kinds = [(f.name, T.DecimalType(38, 0) if f.name in wide else f.dataType) for f in source.schema.fields]
+    schema = T.StructType([T.StructField(name, kind, True) for name, kind in kinds])
     local = stage(source.mapInArrow(_running_sums(len(own)), schema), "running")
 
     # One row per partition, so the un-partitioned window and the broadcast
@@ -80,7 +101,7 @@ def running_totals(
     before = [F.coalesce(F.sum(c).over(earlier), F.lit(0)).cast("decimal(38,0)").alias(n) for c, n in zip(own, before_names)]
     joined = local.join(F.broadcast(totals.select(_PART, *before)), _PART)
     added = {
-        name: (F.col(n).cast("decimal(20,0)") + F.col(b)).cast("decimal(38,0)")
+        name: (F.col(n) + F.col(b)).cast("decimal(38,0)")
         for name, n, b in zip(steps, local_names, before_names)
     }
     return joined.withColumns(added).drop(_PART, *own, *local_names, *before_names)
@@ -121,5 +142,8 @@ def cumulative_error(
     whole = F.floor(exact)
     steps = {"_whole": whole, "_rest": (exact - whole) * F.lit(10**12)}
     summed = running_totals(errors.withColumn("_present", present), order, steps, keep=[*(keep or errors.columns), "_present"], **options)
-    total = (F.col("_whole") + F.col("_rest") / F.lit(10**12).cast("decimal(13,0)")).cast("double")
+    unit = f"{10**12}BD"
+    carried = F.col("_whole").cast("decimal(24,0)") + F.expr(f"_rest div {unit}")  # no fraction is negative
+    fraction = (F.expr(f"_rest % {unit}").cast("decimal(13,0)") / F.lit(10**12).cast("decimal(13,0)")).cast("decimal(13,12)")
+    total = (carried.cast("decimal(24,0)") + fraction).cast("double")
     return summed.withColumn(name, F.when(F.col("_present"), total)).drop("_present", *steps)

@@ -3,9 +3,9 @@ import subprocess
 import sys
 from decimal import Decimal
 
+import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from salesflow.operators import ordered
@@ -63,10 +63,27 @@ def test_totals_beyond_64_bits(spark):
     assert [int(r.s) for r in got] == [big * (i + 1) for i in range(6)]
 
 
-def test_overflow_inside_a_partition_is_an_error(spark):
-    df = numbers(spark, [2**62] * 6, "k int, v bigint")
-    with pytest.raises(PySparkException):
-        ordered.running_total(df, ["k"], F.col("v"), "s", 1).collect()
+@pytest.mark.parametrize("values", [[2**62] * 6, [-(2**62)] * 6, [2**63 - 1, -(2**63), -1, -(2**63), -(2**63), 5, 2**63 - 1, 2**32, -(2**32)]])
+def test_totals_beyond_64_bits_inside_a_partition(spark, values):
+    df = numbers(spark, values, "k int, v bigint")
+    got = ordered.running_total(df, ["k"], F.col("v"), "s", 1).orderBy("k").collect()
+    assert [int(r.s) for r in got] == [sum(values[: i + 1]) for i in range(len(values))]
+
+
+def test_running_sums_over_batches_match_whole_numbers():
+    rng = random.Random(3)
+    values = [rng.choice([1, -1]) * rng.getrandbits(rng.choice([3, 31, 33, 62])) for _ in range(500)] + [-(2**63)] * 20
+    pieces = [pa.RecordBatch.from_arrays([pa.array(values[at : at + 37], pa.int64())], names=["v"]) for at in range(0, len(values), 37)]
+    got = [v.as_py() for batch in ordered._running_sums(1)(iter(pieces)) for v in batch.column("v")]
+    assert [int(v) for v in got] == [sum(values[: i + 1]) for i in range(len(values))]
+
+
+def test_cumulative_error_of_many_rows_in_one_partition(spark):
+    """Twenty million small errors below zero, whose scaled parts together are far beyond 64 bits."""
+    errors = spark.range(20_000_000).select("id", F.lit(-1e-6).alias("error"))
+    got = ordered.cumulative_error(errors, ["id"], partitions=1, keep=["id"])
+    last = got.where("id IN (0, 9399999, 19999999)").orderBy("id").collect()
+    assert [r.cumulative_error for r in last] == [-1e-6, -9.4, -20.0]
 
 
 def test_running_total_of_nothing(spark):
