@@ -88,6 +88,16 @@ def ingest_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _by_branch(ingest.canonicalise(files.read_raw_csv(spark, _csv_copy(spark, sf_dir))))
 
 
+def ingest_unique_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per branch, rows of which many are equal, their distinct ids, and how many ids a second reading gives again."""
+    scan = files.read_raw_csv(spark, _csv_copy(spark, sf_dir)).select("Branch")
+    readings = [files.with_row_ids(scan).withColumn("reading", F.lit(i)) for i in range(2)]
+    each = readings[0].unionAll(readings[1]).groupBy("id").agg(F.min("Branch").alias("branch"), F.count("*").alias("rows"), F.countDistinct("reading").alias("n"))
+    return each.groupBy("branch").agg(
+        (F.sum("rows") / 2).cast("bigint").alias("records"), F.count("*").alias("ids"), F.count_if(F.col("n") == 2).alias("ids_again")
+    )
+
+
 def scan_csv_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     inferred = files.read_csv_inferred(spark, _csv_copy(spark, sf_dir))
     return inferred.groupBy(F.col("Branch").alias("branch")).agg(
@@ -209,6 +219,7 @@ QUERIES = {
     "view_refresh_twice": view_refresh_twice,
     "orc_sales_roundtrip": orc_sales_roundtrip,
     "ingest_canonical": ingest_canonical,
+    "ingest_unique_ids": ingest_unique_ids,
     "scan_csv_infer": scan_csv_infer,
     "ingest_null_normalise": ingest_null_normalise,
     "ingest_reject_split": ingest_reject_split,
@@ -277,6 +288,8 @@ FROM sales GROUP BY product_line""",
     "view_refresh_twice": _PAYMENT_SQL,
     "orc_sales_roundtrip": SALES_SQL + """
 SELECT branch, COUNT(*) AS records, CAST(SUM(total) AS DOUBLE) AS total_sales FROM sales GROUP BY branch""",
+    "ingest_unique_ids": SALES_SQL + """
+SELECT branch, COUNT(*) AS records, COUNT(*) AS ids, COUNT(*) AS ids_again FROM sales GROUP BY branch""",
     "ingest_canonical": SALES_SQL + """
 SELECT branch, COUNT(*) AS records, CAST(SUM(quantity) AS BIGINT) AS quantity,
        CAST(SUM(total) AS DOUBLE) AS total_sales, CAST(SUM(cogs) AS DOUBLE) AS total_cost,

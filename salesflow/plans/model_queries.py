@@ -82,6 +82,18 @@ def score_stream_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _quality(score_stream(spark, sf_dir), "Total", "Prediction")
 
 
+def score_stream_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether every streamed prediction carries a measured duration, and batches have their own."""
+    model = scoring.load_model(_saved_model(spark, sf_dir))
+    root = scratch_dir(spark, "timed")
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    messages = sales_messages(spark, sf_dir, files_per_trigger=1, messages_per_file=min(MESSAGES_PER_FILE, lines // 2))
+    run_scoring(messages, model, root)
+    temps = files.scan_predictions(spark, f"{root}/result").select(F.col("Prediction Time (s)").alias("t"))
+    measured = F.min("t") > 0
+    return temps.agg(F.count("*").alias("records"), measured.alias("measured"), (F.countDistinct("t") > 1).alias("differ"))
+
+
 def score_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of sales with some inputs missing, how many were scored and how many set aside, by reason."""
     model = scoring.load_model(_saved_model(spark, sf_dir))
@@ -123,6 +135,7 @@ QUERIES = {
     "model_held_out": model_held_out,
     "score_stream": score_stream,
     "score_stream_quality": score_stream_quality,
+    "score_stream_seconds": score_stream_seconds,
     "score_rejects": score_rejects,
     "train_test_split": train_test_split,
     "random_split_cover": random_split_cover,
@@ -137,6 +150,7 @@ ORACLES = {
 SELECT product_line, COUNT(*) AS records, COUNT(*) AS close_records FROM sales GROUP BY product_line""",
     "score_stream_quality": _ALL_CLOSE,
     "score_batch_quality": _ALL_CLOSE,
+    "score_stream_seconds": "SELECT COUNT(*) AS records, TRUE AS measured, TRUE AS differ FROM lineitem",
     "model_held_out": SALES_SQL + """
 SELECT COUNT(*) AS records, TRUE AS error_holds FROM sales
 WHERE CAST('0x' || substr(md5(concat_ws('|', invoice_id, product_line, quantity, total)), 1, 8) AS BIGINT) % 100 >= 80""",

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import TYPE_CHECKING
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesflow.schema import PREDICTIONS, RAW, RAW_TEXT, SALES
 
+if TYPE_CHECKING:
+    import pyarrow as pa
+
 ARRIVAL = ("arrived_at", "arrived_file", "arrived_block", "arrived_row")
 
 
@@ -58,9 +64,9 @@ def write_predictions(scored: DataFrame, path: str) -> None:
 
 
 def scan_predictions(spark: SparkSession, *folders: str) -> DataFrame:
-    """All prediction files of the folders as one DataFrame; columns by position."""
+    """All prediction files in and below the folders as one DataFrame; columns by position."""
     return spark.read.schema(PREDICTIONS).csv(
-        list(folders), header=False, pathGlobFilter="*.csv", **QUOTING
+        list(folders), header=False, pathGlobFilter="*.csv", recursiveFileLookup=True, **QUOTING
     )
 
 
@@ -82,6 +88,34 @@ def with_arrival(scan: DataFrame) -> DataFrame:
     )
 
 
+def _rows_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add ``_row``, which counts the rows of a file's block; a task reads its blocks one after the other."""
+    import pyarrow
+
+    block, count = None, 0
+    for batch in batches:
+        rows = []
+        for own in zip(batch.column("_file").to_pylist(), batch.column("_block").to_pylist()):
+            block, count = own, (count + 1 if own == block else 0)
+            rows.append(count)
+        yield pyarrow.RecordBatch.from_arrays([*batch.columns, pyarrow.array(rows, pyarrow.int64())], names=[*batch.schema.names, "_row"])
+
+
+def with_row_ids(scan: DataFrame, into: str = "id") -> DataFrame:
+    """Add an id that no other row has, equal rows included: a digest of file, block and row in the block.
+
+    Must be applied to the scan itself. No shuffle. A retried task, and a
+    later run that cuts the files alike (``spark.sql.files.maxPartitionBytes``
+    and the number of cores), give every row the same id. A column named ``into`` is replaced.
+    """
+    kept = [c for c in scan.columns if c.lower() != into.lower()]
+    located = scan.select(*[f"`{c}`" for c in kept], F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+    schema = T.StructType([*located.schema.fields, T.StructField("_row", T.LongType())])
+    numbered = located.mapInArrow(_rows_of_blocks, schema)
+    own = F.sha2(F.concat_ws("|", "_block", "_row", "_file"), 256)
+    return numbered.withColumn(into, own).drop("_file", "_block", "_row")
+
+
 def create_sales_table(spark: SparkSession, name: str, location: str) -> None:
     """The stored sales table, ORC, unless it exists already."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in SALES.fields)

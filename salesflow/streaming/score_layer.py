@@ -2,27 +2,83 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import time
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from salesflow.functions.codecs import as_events, decode_json, rejected_events
 from salesflow.operators import scoring
 from salesflow.schema import FEATURES
-from salesflow.streaming.runners import run_append
+from salesflow.session import folders
+from salesflow.sources.files import write_predictions
+from salesflow.streaming.runners import complete_versions, put_version, start
+
+#: Seconds that a finished query waits for the reports of its last batches.
+PATIENCE = 60
+
+
+class BatchSeconds(StreamingQueryListener):
+    """Writes how long each micro-batch of one query took, under ``path`` by batch, as Spark reports it."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._spark, self._path, self.run = spark, path, None
+
+    def onQueryStarted(self, event) -> None:
+        self.run = self.run or (str(event.runId) if event.name == self._path else None)
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        if str(progress.runId) == self.run and "addBatch" in progress.durationMs:
+            seconds = self._spark.createDataFrame([(progress.durationMs["triggerExecution"] / 1000,)], "seconds double")
+            put_version(seconds, self._path, progress.batchId, keep=None)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
 
 
 def run_scoring(messages: DataFrame, model: PipelineModel, root: str, every: str | None = None) -> None:
     """Predictions to headerless CSV files in ``root/result``, in the layout of prediction files.
 
-    Messages without an id or a model input go to ``root/rejected`` with a
-    reason, by a query of their own.
+    Each micro-batch writes its predictions and, with a reason, its messages
+    without an id or a model input (``root/rejected``) to folders of its own,
+    which a replay replaces. ``temps`` is the measured duration of the batch:
+    it is known when the batch is over, so files in ``root/result`` follow one
+    batch later, or when the query has drained its source.
     """
-    decoded = decode_json(messages, ("id", "invoice_id", "total", *FEATURES))
-    scored = scoring.score(as_events(decoded, FEATURES), model, 0.0)
-    aside = rejected_events(decoded, FEATURES)
-    with ThreadPoolExecutor(max_workers=1) as pool:
-        refused = pool.submit(run_append, aside, f"{root}/rejected", f"{root}/rejected-checkpoint", every=every)
-        run_append(scored, f"{root}/result", f"{root}/checkpoint", fmt="csv", every=every)
-    refused.result()
+    spark = messages.sparkSession
+    needed = ("id", "invoice_id", "total", *FEATURES)
+
+    def one_batch(batch: DataFrame, batch_id: int) -> None:
+        decoded = decode_json(batch, needed)
+        put_version(scoring.score(as_events(decoded, FEATURES), model).drop("temps"), f"{root}/scored", batch_id, keep=None)
+        rejected_events(decoded, FEATURES).write.mode("overwrite").parquet(f"{root}/rejected/batch_id={batch_id}")
+        publish_timed(spark, root)
+
+    seconds = BatchSeconds(spark, f"{root}/seconds")
+    spark.streams.addListener(seconds)
+    query = start(messages.writeStream.queryName(f"{root}/seconds").foreachBatch(one_batch), f"{root}/checkpoint", every)
+    if not every:
+        until = time.monotonic() + PATIENCE
+        while publish_timed(spark, root) and time.monotonic() < until:
+            time.sleep(0.2)
+        spark.streams.removeListener(seconds)
+        if late := publish_timed(spark, root):
+            raise TimeoutError(f"no duration was reported for batches {late} of query {query.id}")
+
+
+def publish_timed(spark: SparkSession, root: str) -> list[int]:
+    """Bring out the predictions of batches whose duration is known; returns the batches that still wait for theirs."""
+    done = {int(name.split("=")[1]) for name in folders(spark, f"{root}/result", "_SUCCESS")}
+    waiting = [b for b in complete_versions(spark, f"{root}/scored") if b not in done]
+    timed = set(complete_versions(spark, f"{root}/seconds")) if waiting else set()
+    for batch in timed.intersection(waiting):
+        seconds = spark.read.schema("seconds double").parquet(f"{root}/seconds/version={batch}").first()["seconds"]
+        rows = spark.read.parquet(f"{root}/scored/version={batch}").withColumn("temps", F.lit(seconds))
+        write_predictions(rows, f"{root}/result/batch={batch}")
+    return [b for b in waiting if b not in timed]

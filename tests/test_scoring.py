@@ -2,8 +2,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from salesflow.operators import scoring
+from salesflow.plans.landing import sales_messages
 from salesflow.schema import FEATURES, RAW_FEATURES
+from salesflow.sources import files
 from salesflow.sources.tables import raw_sales, sales
+from salesflow.streaming import score_layer
+from salesflow.streaming.score_layer import run_scoring
 
 
 @pytest.fixture(scope="module")
@@ -55,3 +59,17 @@ def test_hash_split_is_disjoint_covering_and_repeatable(spark, sf):
     again, _ = scoring.hash_split(df.repartition(13), keys)
     assert again.exceptAll(train).isEmpty()
     assert 0.77 < train.count() / df.count() < 0.83
+
+
+def test_streamed_predictions_carry_the_duration_of_their_batch(spark, sf, model, tmp_path):
+    """Several batches, then a second run on the same checkpoint: every prediction once, with its batch's seconds."""
+    root = str(tmp_path)
+    for _ in range(2):
+        run_scoring(sales_messages(spark, sf, files_per_trigger=4, messages_per_file=500), model, root)
+    found = files.scan_predictions(spark, f"{root}/result").withColumn("folder", F.regexp_extract(F.input_file_name(), "batch=([0-9]+)", 1))
+    per = found.groupBy("folder").agg(F.min("Prediction Time (s)").alias("low"), F.max("Prediction Time (s)").alias("high"), F.count("*").alias("n")).collect()
+    assert sum(r.n for r in per) == sales(spark, sf, "quantity").count() and len(per) >= 3
+    assert all(0 < r.low == r.high for r in per) and len({r.low for r in per}) > 1
+    for r in per:
+        assert spark.read.parquet(f"{root}/seconds/version={r.folder}").first()["seconds"] == r.low
+    assert score_layer.publish_timed(spark, root) == []

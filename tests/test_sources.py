@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from salesflow import session
 from salesflow.schema import SALES
@@ -75,3 +76,20 @@ def test_raw_csv_is_read_by_header_names_with_quotes_and_missing_markers(spark,
     (tmp_path / "b" / "b.csv").write_text("City,Gender\nx,y\n")
     with pytest.raises(ValueError, match="Invoice ID"):
         files.read_raw_csv(spark, str(tmp_path / "b"))
+
+
+def test_equal_rows_have_ids_of_their_own(spark, tmp_path):
+    """Two equal files, cut into many blocks: no id twice, the same ids in a second reading, also by one task."""
+    lines = "\n".join(["a,b", *["same,row"] * 3000]) + "\n"
+    for name in ("one", "two"):
+        (tmp_path / f"{name}.csv").write_text(lines)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        scan = spark.read.csv(str(tmp_path), header=True).withColumn("id", F.lit("old"))
+        first, again = (sorted(r.id for r in files.with_row_ids(df).collect()) for df in (scan, scan.coalesce(1)))
+        assert scan.rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(set(first)) == 6000 and first == again
+    assert files.with_row_ids(scan.limit(0)).columns == ["a", "b", "id"]
