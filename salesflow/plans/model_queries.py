@@ -12,7 +12,7 @@ from salesflow.operators import scoring
 from salesflow.plans.batch_queries import SALES_SQL
 from salesflow.plans.landing import FILES_PER_TRIGGER, MESSAGES_PER_FILE, sales_messages
 from salesflow.schema import FEATURES
-from salesflow.session import scratch_dir
+from salesflow.session import application_dir, scratch_dir
 from salesflow.sources import files, topic
 from salesflow.sources.tables import sales
 from salesflow.streaming.score_layer import run_scoring
@@ -26,11 +26,9 @@ def _training_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _saved_model(spark: SparkSession, sf_dir: str) -> str:
-    """Fit on the training share of all sales and save."""
+    """The model of the training share of all sales, fitted once for all queries of the application."""
     train, _ = scoring.hash_split(_training_sales(spark, sf_dir), SPLIT_KEYS)
-    path = scratch_dir(spark, "model")
-    scoring.save_model(scoring.train(train), path)
-    return path
+    return scoring.registered_model(train, application_dir(spark, "models"))
 
 
 def model_fit_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

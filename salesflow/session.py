@@ -68,6 +68,30 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+def publish_folder(spark: SparkSession, written: str, path: str) -> None:
+    """Give a written folder its final name in one step; if another job was first, its folder stays."""
+    target, files = _hadoop(spark, path)
+    source, _ = _hadoop(spark, written)
+    files.mkdirs(target.getParent())
+    if files.exists(target) or not files.rename(source, target):
+        files.delete(source, True)
+        if not files.exists(target):
+            raise OSError(f"could not publish {path}")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target, files = _hadoop(spark, path)
+    return files.exists(target)
+
+
+def application_dir(spark: SparkSession, name: str) -> str:
+    """A folder under the shared one that the whole application uses; it goes with the application."""
+    path = f"{scratch_root(spark)}/{name}-{spark.sparkContext.applicationId}"
+    target, files = _hadoop(spark, path)
+    files.deleteOnExit(target)
+    return path
+
+
 def folder_bytes(spark: SparkSession, path: str) -> int:
     """Size of all files below a folder."""
     target, files = _hadoop(spark, path)

@@ -73,3 +73,20 @@ def test_streamed_predictions_carry_the_duration_of_their_batch(spark, sf, model
     for r in per:
         assert spark.read.parquet(f"{root}/seconds/version={r.folder}").first()["seconds"] == r.low
     assert score_layer.publish_timed(spark, root) == []
+
+
+def test_equal_training_rows_share_one_fit(spark, sf, tmp_path, monkeypatch):
+    fits = []
+    fit = scoring.train
+    monkeypatch.setattr(scoring, "train", lambda *a: fits.append(1) or fit(*a))
+    rows = sales(spark, sf, "total", *FEATURES)
+    registry = f"{tmp_path}/models"
+    first = scoring.registered_model(rows, registry)
+    assert scoring.registered_model(rows.repartition(7), registry) == first and len(fits) == 1
+    twice = scoring.registered_model(rows.unionAll(rows.limit(1)), registry)
+    assert twice != first and len(fits) == 2
+    assert sorted(p.name for p in (tmp_path / "models").iterdir()) == sorted(p.rsplit("/", 1)[1] for p in (first, twice))
+    (tmp_path / "late").mkdir()
+    scoring.publish_folder(spark, f"{tmp_path}/late", first)  # another job was first
+    assert scoring.load_model(first).transform(rows.withColumn("total", F.col("total").cast("double"))).count() == rows.count()
+    assert not (tmp_path / "late").exists()
