@@ -88,6 +88,21 @@ def ingest_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _by_branch(ingest.canonicalise(files.read_raw_csv(spark, _csv_copy(spark, sf_dir))))
 
 
+def ingest_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sale from files of one folder whose headers differ in order, in case of packing, and by columns of their own."""
+    path, raw = scratch_dir(spark, "mixed-csv"), raw_sales(spark, sf_dir)
+    names = [f"`{c}`" for c in raw.columns]
+    share = F.col("Quantity") % 3
+    raw.where(share == 0).write.csv(path, header=True)
+    raw.where(share == 1).select(*reversed(names)).write.mode("append").csv(path, header=True, compression="gzip")
+    noted = raw.where(share == 2).select(F.lit("a, \"b\"").alias("Note"), *names[5:], F.lit(1).alias("Rank"), *names[:5])
+    noted.write.mode("append").option("escape", '"').csv(path, header=True)
+    sales_again = ingest.tag_rejects(files.read_mixed_csv(spark, path, as_text=True))
+    amounts = {f: F.col(f).cast("double") for f in ("tax_5_percent", "total", "cogs", "gross_income")}
+    rounded = {f: F.round(f, 9) for f in ("unit_price", "gross_margin_percentage", "rating")}
+    return sales_again.withColumns(amounts | rounded)
+
+
 def ingest_unique_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per branch, rows of which many are equal, their distinct ids, and how many ids a second reading gives again."""
     scan = files.read_raw_csv(spark, _csv_copy(spark, sf_dir)).select("Branch")
@@ -219,6 +234,7 @@ QUERIES = {
     "view_refresh_twice": view_refresh_twice,
     "orc_sales_roundtrip": orc_sales_roundtrip,
     "ingest_canonical": ingest_canonical,
+    "ingest_mixed_headers": ingest_mixed_headers,
     "ingest_unique_ids": ingest_unique_ids,
     "scan_csv_infer": scan_csv_infer,
     "ingest_null_normalise": ingest_null_normalise,
@@ -288,6 +304,12 @@ FROM sales GROUP BY product_line""",
     "view_refresh_twice": _PAYMENT_SQL,
     "orc_sales_roundtrip": SALES_SQL + """
 SELECT branch, COUNT(*) AS records, CAST(SUM(total) AS DOUBLE) AS total_sales FROM sales GROUP BY branch""",
+    "ingest_mixed_headers": SALES_SQL + """
+SELECT invoice_id, branch, city, customer_type, gender, product_line, round(CAST(unit_price AS DOUBLE), 9) AS unit_price, quantity,
+       CAST(tax_5_percent AS DOUBLE) AS tax_5_percent, CAST(total AS DOUBLE) AS total, "date", "time", payment,
+       CAST(cogs AS DOUBLE) AS cogs, round(CAST(gross_margin_percentage AS DOUBLE), 9) AS gross_margin_percentage,
+       CAST(gross_income AS DOUBLE) AS gross_income, round(rating, 9) AS rating, CAST(NULL AS VARCHAR) AS reject_reason
+FROM sales""",
     "ingest_unique_ids": SALES_SQL + """
 SELECT branch, COUNT(*) AS records, COUNT(*) AS ids, COUNT(*) AS ids_again FROM sales GROUP BY branch""",
     "ingest_canonical": SALES_SQL + """

@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,6 +80,32 @@ def publish_folder(spark: SparkSession, written: str, path: str) -> None:
             raise OSError(f"could not publish {path}")
 
 
+def first_lines(spark: SparkSession, path: str, suffix: str = ".csv") -> dict[str, str]:
+    """The first line of every file with that suffix in and below a folder, packed or not; names that begin with ``_`` or ``.`` are no data.
+
+    One short read a file, many at a time; the driver holds one line a file.
+    """
+    target, files = _hadoop(spark, path)
+    found, codecs = [], spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration())
+    listed = files.listFiles(target, True)
+    while listed.hasNext():
+        each = listed.next().getPath()
+        below = each.toString().removeprefix(files.makeQualified(target).toString())
+        if suffix in each.getName() and not any(part[:1] in ("_", ".") for part in below.split("/")):
+            found.append(each)
+
+    def line(each) -> str:
+        codec, opened = codecs.getCodec(each), files.open(each)
+        try:
+            stream = codec.createInputStream(opened) if codec else opened
+            return spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine() or ""
+        finally:
+            opened.close()
+
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        return dict(zip((p.toString() for p in found), pool.map(line, found)))
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     target, files = _hadoop(spark, path)
     return files.exists(target)

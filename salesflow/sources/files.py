@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesflow.schema import PREDICTIONS, RAW, RAW_TEXT, SALES
+from salesflow.session import first_lines
 
 if TYPE_CHECKING:
     import pyarrow as pa
@@ -53,6 +55,22 @@ def read_raw_csv(
     return text.select(*[(cell(n) if t == "string" else cell(n).try_cast(t)).alias(n) for n, t in typed.items()])
 
 
+def read_mixed_csv(spark: SparkSession, path: str, as_text: bool = False, multi_line: bool = False) -> DataFrame:
+    """All raw sales CSV files in and below a folder, each by the names in its own header line; see ``read_raw_csv``.
+
+    Files with the same header line are one scan, so there are as many scans
+    as different headers. Files without any line are left out; a folder
+    without files gives no rows.
+    """
+    groups: dict[str, list[str]] = {}
+    for file, header in sorted(first_lines(spark, path).items()):
+        if header.strip():
+            groups.setdefault(header.removeprefix("\ufeff").rstrip("\r"), []).append(file)
+    if not groups:
+        return spark.createDataFrame([], RAW_TEXT if as_text else RAW)
+    return reduce(DataFrame.unionByName, [read_raw_csv(spark, files, as_text, multi_line) for files in groups.values()])
+
+
 def read_csv_inferred(spark: SparkSession, path: str | list[str], sampling_ratio: float = 1.0) -> DataFrame:
     """CSV with types inferred from the data: one more pass over the text than a declared schema."""
     return spark.read.csv(path, header=True, inferSchema=True, samplingRatio=sampling_ratio)

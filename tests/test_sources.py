@@ -1,8 +1,10 @@
+import gzip
+
 import pytest
 from pyspark.sql import functions as F
 
 from salesflow import session
-from salesflow.schema import SALES
+from salesflow.schema import RAW, SALES
 from salesflow.sources import files, kafka
 
 
@@ -93,3 +95,28 @@ def test_equal_rows_have_ids_of_their_own(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert len(set(first)) == 6000 and first == again
     assert files.with_row_ids(scan.limit(0)).columns == ["a", "b", "id"]
+
+
+def test_files_with_different_headers(spark, tmp_path):
+    names = [f.name for f in RAW.fields]
+    values = {n: ("3" if n == "Quantity" else "1.5" if f.dataType.typeName() in ("double", "decimal") else f"{n}, x") for n, f in zip(names, RAW.fields)}
+
+    def put(name, columns, opener=open, **more):
+        cells = values | more
+        with opener(tmp_path / name, "wt", encoding="utf-8", newline="") as out:
+            out.write(",".join(columns) + "\r\n" + ",".join(f'"{cells[c]}"' for c in columns) + "\n")
+
+    put("a.csv", names)
+    put("b.csv", names[::-1], **{"City": "B"})
+    put("c.csv.gz", ["Extra", *names[3:], *names[:3]], opener=gzip.open, Extra="own", City="C")
+    put("d.csv", names, City="D")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "_ignored.csv").write_text("no,header")
+    got = files.read_mixed_csv(spark, str(tmp_path))
+    assert got.columns == names
+    assert sorted((r["City"], r["Gender"], r["Quantity"]) for r in got.collect()) == [(c, "Gender, x", 3) for c in ("B", "C", "City, x", "D")]
+    (tmp_path / "none").mkdir()
+    assert files.read_mixed_csv(spark, str(tmp_path / "none"), as_text=True).count() == 0
+    put("e.csv", names[1:])
+    with pytest.raises(ValueError, match="Invoice ID"):
+        files.read_mixed_csv(spark, str(tmp_path))
