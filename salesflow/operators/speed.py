@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,7 +55,17 @@ VIEW_FIELDS = {
 
 
 def named_query(events: DataFrame, view: str, columns: str | None = None) -> DataFrame:
-    """Register one of the views on ``events`` by name and select from it with SQL."""
+    """Select from one of the views on ``events`` with SQL.
+
+    The session knows the view by its name afterwards; the query uses a name
+    of its own, so that queries of one session do not take each other's views.
+    """
     operator, projection = SPEED_VIEWS[view]
-    operator(events).createOrReplaceTempView(view)
-    return events.sparkSession.sql(f"SELECT {columns or projection} FROM {view}")
+    own, rows = f"{view}_{uuid.uuid4().hex}", operator(events)
+    rows.createOrReplaceTempView(own)
+    try:
+        selected = events.sparkSession.sql(f"SELECT {columns or projection} FROM {own}")
+    finally:
+        events.sparkSession.catalog.dropTempView(own)
+    rows.createOrReplaceTempView(view)
+    return selected

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+from datetime import datetime
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -12,6 +17,14 @@ from salesflow.session import folders, remove
 VERSIONS = 3
 
 
+class Taken(NamedTuple):
+    """A micro-batch, its rows, and when it began."""
+
+    batch_id: int
+    rows: int
+    began: float
+
+
 def start(writer: DataStreamWriter, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Take everything present now and stop, or, given an interval, keep running at that pace.
 
@@ -26,6 +39,33 @@ def start(writer: DataStreamWriter, checkpoint: str, every: str | None = None) -
     return query
 
 
+def run_paced(messages: DataFrame, take: Callable[[DataFrame, int], None], checkpoint: str, seconds: float) -> list[Taken]:
+    """Take what is there in micro-batches that begin at least ``seconds`` apart; the source's limit says how much each takes.
+
+    The trigger alone starts a batch at once when the one before overran, and
+    the next at its regular time; so a batch also ends no sooner than
+    ``seconds`` after it began. Returns what the query's progress says of its
+    last batches with rows (Spark keeps 100 unless told otherwise).
+    """
+
+    def paced(batch: DataFrame, batch_id: int) -> None:
+        began = time.monotonic()
+        take(batch, batch_id)
+        time.sleep(max(0.0, began + seconds - time.monotonic()))
+
+    writer = messages.writeStream.foreachBatch(paced).option("checkpointLocation", checkpoint)
+    query = writer.trigger(processingTime=f"{seconds} seconds").start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return [
+        Taken(p["batchId"], p["numInputRows"], datetime.fromisoformat(p["timestamp"].replace("Z", "+00:00")).timestamp())
+        for p in query.recentProgress
+        if p["numInputRows"]
+    ]
+
+
 def run_complete(view: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Complete mode: after every micro-batch the whole result is the new version under ``path``; see ``latest``."""
 

@@ -1,5 +1,6 @@
 """Layer parity, replay, restart: streams end up with what the batch operators say."""
 
+import time
 from pathlib import Path
 
 import pytest
@@ -13,7 +14,7 @@ from salesflow.session import streaming_session
 from salesflow.sources import topic
 from salesflow.sources.tables import sales
 from salesflow.streaming import batch_layer, compaction, speed_layer
-from salesflow.streaming.runners import latest, put_version, run_append, run_complete, seconds_per_batch
+from salesflow.streaming.runners import latest, put_version, run_append, run_complete, run_paced, seconds_per_batch
 
 
 def rows(df):
@@ -158,6 +159,21 @@ def test_named_view_is_readable_by_sql_on_a_stream(spark, messages):
     assert result.isStreaming and result.columns == ["id", "product_line", "rating"]
 
 
+def test_views_of_one_session_do_not_take_each_others_rows(spark, sf):
+    events = sales(spark, sf)
+    first = speed.named_query(events.where("gender = 'Male'"), "total_quantity_by_product_view")
+    second = speed.named_query(events.where("1 = 0"), "total_quantity_by_product_view")
+    assert first.count() > 0 and second.count() == 0 and spark.table("total_quantity_by_product_view").count() == 0
+
+
+def test_paced_batches_begin_apart_also_after_a_slow_one(spark, messages, tmp_path):
+    slow = lambda batch, batch_id: time.sleep(1.3 if batch_id == 1 else 0)
+    taken = run_paced(messages(), lambda b, i: (b.count(), slow(b, i)), f"{tmp_path}/ckpt", 0.7)
+    assert len(taken) >= 3 and [t.batch_id for t in taken] == list(range(len(taken)))
+    assert all(t.rows <= 2 * 500 for t in taken)
+    assert all(b.began - a.began >= 0.7 for a, b in zip(taken, taken[1:])) and taken[2].began - taken[1].began >= 1.3
+
+
 def test_refused_messages_are_kept_with_a_reason(spark, tmp_path):
     texts = ['{"id": "a", "customer_type": "x", "total": 1e15}', '{"id": "b", "customer_type": "x", "total": 0.00004}',
              '{"id": "c", "customer_type": "x", "total": 5.0}', '{"id": "d", "total": 1e18}', '{"total": 2}', "garbage"]
