@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 import uuid
 from functools import reduce
 
@@ -13,8 +14,10 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesflow.functions.codecs import REASON
 from salesflow.schema import FEATURES
 from salesflow.session import exists, publish_folder, stage
+from salesflow.sources.files import write_predictions
 
 SEED = 42
 
@@ -87,9 +90,25 @@ def load_model(path: str) -> PipelineModel:
 
 
 def without_features(df: DataFrame, features: tuple[str, ...] = FEATURES) -> DataFrame:
-    """Rows scoring leaves out because a model input is missing."""
-    missing = [F.col(f).isNull() | F.isnan(F.col(f).cast("double")) for f in features]
-    return df.where(reduce(lambda a, b: a | b, missing))
+    """Rows that scoring leaves out because a model input is missing, with the reason."""
+    given = [F.col(f).cast("double") for f in features]
+    faults = [F.when(c.isNull() | F.isnan(c), f"{f} missing") for f, c in zip(features, given)]
+    reason = F.nullif(F.concat_ws("; ", *faults), F.lit(""))
+    return df.withColumn(REASON, reason).where(F.col(REASON).isNotNull())
+
+
+def score_table(df: DataFrame, model: PipelineModel, root: str) -> float:
+    """Score a stored table into ``root/result``, prediction files, and ``root/rejected``, rows it cannot score with the reason.
+
+    Every row goes to one of the two. The predictions are written once, then
+    brought out with the measured seconds that took, which are returned.
+    """
+    began = time.monotonic()
+    scored = stage(score(df, model).drop("temps"), "scored")
+    seconds = time.monotonic() - began
+    write_predictions(scored.withColumn("temps", F.lit(seconds)), f"{root}/result")
+    without_features(df).write.mode("overwrite").parquet(f"{root}/rejected")
+    return seconds
 
 
 def score(df: DataFrame, model: PipelineModel, seconds: float | None = None) -> DataFrame:
