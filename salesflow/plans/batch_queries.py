@@ -85,7 +85,11 @@ def _csv_copy(spark: SparkSession, sf_dir: str) -> str:
 
 
 def ingest_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _by_branch(ingest.canonicalise(files.read_raw_csv(spark, _csv_copy(spark, sf_dir))))
+    """Sums of the complete records by branch, and how many rows were refused for a field that is missing or does not fit."""
+    tagged = ingest.tag_rejects(files.read_raw_csv(spark, _csv_copy(spark, sf_dir), as_text=True))
+    whole = F.col(ingest.REASON).isNull()
+    refused = tagged.groupBy("branch").agg(F.count_if(~whole).alias("refused"))
+    return refused.join(_by_branch(tagged.where(whole)), "branch", "left")
 
 
 def ingest_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,7 +317,7 @@ FROM sales""",
     "ingest_unique_ids": SALES_SQL + """
 SELECT branch, COUNT(*) AS records, COUNT(*) AS ids, COUNT(*) AS ids_again FROM sales GROUP BY branch""",
     "ingest_canonical": SALES_SQL + """
-SELECT branch, COUNT(*) AS records, CAST(SUM(quantity) AS BIGINT) AS quantity,
+SELECT branch, COUNT(*) AS records, CAST(0 AS BIGINT) AS refused, CAST(SUM(quantity) AS BIGINT) AS quantity,
        CAST(SUM(total) AS DOUBLE) AS total_sales, CAST(SUM(cogs) AS DOUBLE) AS total_cost,
        round(AVG(rating), 8) AS avg_rating, MIN("date") AS first_date_text, MAX("time") AS last_time_text
 FROM sales GROUP BY branch""",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from salesflow.functions.codecs import REASON, encode_json
 from salesflow.operators import scoring
+from salesflow.operators.comparison import compare_layers, prediction_difference
 from salesflow.plans.batch_queries import SALES_SQL
 from salesflow.plans.landing import FILES_PER_TRIGGER, MESSAGES_PER_FILE, sales_messages
 from salesflow.schema import FEATURES
@@ -127,6 +128,21 @@ def score_stored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def serve_scored_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per invoice, the pairs of scored files of both layers, and of these the ones both scored to within a few cents."""
+    model = scoring.load_model(_saved_model(spark, sf_dir))
+    root = scratch_dir(spark, "scored-layers")
+    scoring.score_table(_training_sales(spark, sf_dir), model, f"{root}/batch")
+    run_scoring(sales_messages(spark, sf_dir), model, f"{root}/stream")
+    stream, batch = (files.scan_predictions(spark, f"{root}/{layer}/result") for layer in ("stream", "batch"))
+    compared = prediction_difference(compare_layers(stream, batch))
+    gap = F.col("Prediction_Difference") - (F.col("Total_stream") - F.col("Total_batch"))
+    close = (F.abs(gap) < TOLERANCE) & (F.abs(F.col("Prediction_stream") - F.col("Total_stream")) < TOLERANCE)
+    return compared.groupBy(F.col("Invoice ID").alias("invoice_id")).agg(
+        F.count("*").alias("pairs"), F.count_if(close).alias("close_pairs")
+    )
+
+
 def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = scoring.hash_split(sales(spark, sf_dir, *SPLIT_KEYS), SPLIT_KEYS)
     both = train.select(F.lit("train").alias("part"), "total").unionAll(test.select(F.lit("test").alias("part"), "total"))
@@ -154,6 +170,7 @@ QUERIES = {
     "score_stream_seconds": score_stream_seconds,
     "score_rejects": score_rejects,
     "score_stored_table": score_stored_table,
+    "serve_scored_join": serve_scored_join,
     "train_test_split": train_test_split,
     "random_split_cover": random_split_cover,
 }
@@ -175,6 +192,8 @@ WHERE CAST('0x' || substr(md5(concat_ws('|', invoice_id, product_line, quantity,
 SELECT CASE l_orderkey % 10 WHEN 0 THEN 'quantity missing; rating missing' WHEN 1 THEN 'quantity missing'
             ELSE 'scored' END AS outcome, COUNT(*) AS records
 FROM lineitem GROUP BY outcome""",
+    "serve_scored_join": SALES_SQL + """
+SELECT invoice_id, COUNT(*) * COUNT(*) AS pairs, COUNT(*) * COUNT(*) AS close_pairs FROM sales GROUP BY invoice_id""",
     "score_rejects": """
 SELECT CASE l_orderkey % 10 WHEN 0 THEN 'quantity missing; rating missing' WHEN 1 THEN 'quantity missing'
             ELSE 'scored' END AS outcome, COUNT(*) AS messages

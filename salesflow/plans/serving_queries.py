@@ -15,6 +15,8 @@ from salesflow.sources.tables import prediction_set
 COLUMNS = ("Invoice ID", "Total", "Prediction", "Prediction Time (s)")
 ORDER = ["o_orderdate", "o_orderkey", *files.ARRIVAL]
 BATCH, STREAM = 5, 7
+#: Blocks of prediction files in the order they are written, and the folders they go to.
+ARRIVING = {2: "c", 0: "a", 1: "b"}
 
 
 def _batch(spark: SparkSession, sf_dir: str, arrival: bool = False) -> DataFrame:
@@ -97,8 +99,22 @@ def serve_cumulative_error_last50(spark: SparkSession, sf_dir: str) -> DataFrame
     return _cumulative(ordered.last_rows(_stream(spark, sf_dir, arrival=True), ORDER))
 
 
+def serve_arrival_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prediction files written in blocks whose names say another order: the places of each block's rows by file time."""
+    root, block = scratch_dir(spark, "arrival"), F.col("`Invoice ID`").cast("bigint") % 3
+    rows = _batch(spark, sf_dir).select(*COLUMNS)
+    for share, folder in ARRIVING.items():
+        files.write_predictions(rows.where(block == share), f"{root}/{folder}")
+    arrived = files.with_arrival(files.scan_predictions(spark, root)).select(*files.ARRIVAL, block.alias("block"))
+    numbered = ordered.number_rows(arrived, list(files.ARRIVAL))
+    return numbered.groupBy("block").agg(
+        F.count("*").alias("records"), F.min("row_number").alias("first_row"), F.max("row_number").alias("last_row")
+    )
+
+
 QUERIES = {
     "serve_predictions_scan": serve_predictions_scan,
+    "serve_arrival_order": serve_arrival_order,
     "serve_last50": serve_last50,
     "serve_join": serve_join,
     "serve_join_last50": serve_join_last50,
@@ -157,6 +173,10 @@ FROM """
 
 ORACLES = {
     "serve_predictions_scan": f"{_SETS} SELECT {_FOUR} FROM batch UNION ALL SELECT {_FOUR} FROM stream",
+    "serve_arrival_order": """
+SELECT block, records, CAST(SUM(records) OVER (ORDER BY place) - records + 1 AS BIGINT) AS first_row,
+       CAST(SUM(records) OVER (ORDER BY place) AS BIGINT) AS last_row
+FROM (SELECT o_orderkey % 3 AS block, (o_orderkey + 1) % 3 AS place, COUNT(*) AS records FROM orders GROUP BY ALL)""",
     "serve_last50": f"{_SETS} SELECT {_FOUR} FROM {_LAST.format('batch')}",
     "serve_join": f"""{_SETS}
 SELECT * EXCLUDE ("Prediction_Difference") FROM ({_MERGED_SQL.format(stream='stream', batch='batch')})""",
