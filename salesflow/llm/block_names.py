@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesflow.llm.numbering import number
@@ -55,7 +55,8 @@ def identities(df: DataFrame, key: str, text: str, size: int = BLOCK, digest=_di
     """(doc_id, row, chars, text_sha256, n_blocks, name), one row per input row.
 
     Two rows have the same (n_blocks, name) exactly if their normalised texts
-    are identical. ``row`` tells rows of one key apart that hold different texts.
+    are identical. ``row``, the 256-bit digest of the normalised text, tells rows
+    of one key apart that hold different texts, also where a third of all keys is null.
     """
     body = df.select(
         F.col(key).alias("doc_id"),
@@ -71,13 +72,13 @@ def identities(df: DataFrame, key: str, text: str, size: int = BLOCK, digest=_di
             F.sha2(F.col("body").cast("binary"), 256).alias("text_sha256"),
             F.size(pieces).alias("n_blocks"),
             F.transform(pieces, digest).alias("digests"),
-        ).withColumn("row", F.xxhash64("text_sha256")),
+        ).withColumn("row", F.unhex("text_sha256")),
         "block-rows",
     )
     placed = rows.select("doc_id", "row", "n_blocks", F.posexplode("digests").alias("pos", "h"))
     clear = placed.join(names.where(~F.col("tied")).select("h", "name"), "h").drop("h")
     tied = (
-        body.withColumn("row", F.xxhash64(F.sha2(F.col("body").cast("binary"), 256)))
+        body.withColumn("row", F.unhex(F.sha2(F.col("body").cast("binary"), 256)))
         .withColumn("n_blocks", F.size(pieces))
         .select("doc_id", "row", "n_blocks", F.posexplode(pieces).alias("pos", "block"))
         .withColumn("h", digest(F.col("block")))
@@ -114,27 +115,27 @@ def exact_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", siz
 
     Texts are equal when identical without white space; null counts as empty.
     The row with the most characters stays, then the one with the smallest key
-    (null last). Of rows that repeat key and text, one stays. An empty table
+    (null last). Of rows that repeat key and text, one stays: the staged rows are
+    numbered, and the smallest number of a group is found by the same
+    aggregation, so no group is gathered. An empty table
     gives no rows; other columns are ignored, whatever their names. Texts of
     any length work: every level of naming halves the number of names.
     """
-    rows = stage(identities(df, key, text, size, digest), "identities")
-    best = F.min(F.struct((-F.col("chars")).alias("chars"), F.col("doc_id").isNull().alias("none"), "doc_id"))
+    rows = stage(identities(df, key, text, size, digest).withColumn("place", F.monotonically_increasing_id()), "identities")
+    best = F.min(F.struct((-F.col("chars")).alias("chars"), F.col("doc_id").isNull().alias("none"), "doc_id", "place"))
     groups = stage(
         rows.groupBy("n_blocks", "name")
         .agg(F.count(F.lit(1)).alias("group_size"), best.alias("best"))
-        .select("n_blocks", "name", "group_size", F.col("best.doc_id").alias("keep_id"), (-F.col("best.chars")).alias("most")),
+        .select("n_blocks", "name", "group_size", F.col("best.doc_id").alias("keep_id"), F.col("best.place").alias("kept_place")),
         "groups",
     )
-    repeat = F.row_number().over(Window.partitionBy("doc_id", "row", "chars").orderBy("chars"))
     return (
-        rows.withColumn("repeat", repeat)
-        .join(groups, ["n_blocks", "name"])
+        rows.join(groups, ["n_blocks", "name"])
         .select(
             "doc_id",
             "keep_id",
             "group_size",
-            (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("chars") == F.col("most")) & (F.col("repeat") == 1)).alias("kept"),
+            (F.col("place") == F.col("kept_place")).alias("kept"),
             "text_sha256",
             "n_blocks",
             "name",

@@ -11,8 +11,6 @@ from salesflow.session import stage
 
 #: Hexadecimal digits of a digest that decide a draw: 52 bits, exact in a double.
 _DIGITS = 13
-#: Ranges that the places of one shard are split into, each ordered by its own task.
-BUCKETS = 4096
 
 
 def _draw(text: Column) -> Column:
@@ -57,23 +55,32 @@ def write_shards(df: DataFrame, key: str, weights: Sequence[float], path: str) -
     assign_shards(df, key, weights, "_shard").write.partitionBy("_shard").parquet(path)
 
 
+def ranged(df: DataFrame, order: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """``df`` cut into ranges of the order, with the number of its range in ``bucket``; to be staged before it is used twice."""
+    split = df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)
+    return split.withColumn("bucket", F.spark_partition_id())
+
+
 def placements(
     df: DataFrame,
     key: str = "doc_id",
     text: str = "text",
     weights: Sequence[float] = (1.0,) * 8,
     added: float = 1.0,
-    buckets: int = BUCKETS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Where every row goes: key, size, text_crc32, law, shard, slot, grown_shard.
 
     ``size`` is the UTF-8 length of the text plus one (one for a missing text);
     ``grown_shard`` is the shard with one more of weight ``added``. Slots count
-    from 0 without gaps, in the order of the key's digest. Equal rows are
-    combined into runs before the shuffle, one run per input partition, so a
-    key that fills a third of the table spreads over as many rows as there are
-    partitions. Null keys share a shard; repeated rows get a slot each; an
-    empty table gives no rows; other columns, whatever their names, are left out.
+    from 0 without gaps, in the order of the key's digest, then of size and
+    checksum of the text. Equal rows are combined into runs before the
+    shuffle, one run per input partition. Runs are split into ``ranges`` of
+    nearly equal length (the session's shuffle partitions if not given) by the
+    whole order, not by the key, so a key that fills a third of the table is
+    ordered by a third of the tasks, whether its texts are equal or not. Null
+    keys share a shard; repeated rows get a slot each; an empty table gives no
+    rows; other columns, whatever their names, are left out.
     """
     body = F.coalesce(F.col(text).cast("binary"), F.lit("").cast("binary"))
     rows = df.select(
@@ -85,22 +92,18 @@ def placements(
         _draw(_key(F.col(key))).alias("place"),
         F.spark_partition_id().alias("part"),
     )
-    runs = stage(
-        rows.groupBy(*rows.columns)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("bucket", F.floor(F.col("place") / F.lit(2.0**52 / buckets)).cast("int")),
-        "shard-runs",
-    )
+    runs = stage(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n")), "shard-runs")
+    order = ("place", "doc_id", "size", "text_crc32", "part")
+    placed = stage(ranged(runs, ["shard", *order], ranges), "shard-places")
     earlier = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = (
-        runs.groupBy("shard", "bucket")
+        placed.groupBy("shard", "bucket")
         .agg(F.sum("n").alias("held"))
         .select("shard", "bucket", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("base"))
     )
-    order = ("place", "doc_id", "size", "text_crc32", "part")
     inside = Window.partitionBy("shard", "bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        runs.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+        placed.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
         .join(bases, ["shard", "bucket"])
         .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
         .select(

@@ -359,3 +359,25 @@ def test_licences_by_evidence_and_nearest_directory(spark):
     ]
     assert got == sorted(json.dumps(w) for w in want)
     assert licenses.scan(df.limit(0)).count() == 0
+
+
+def test_a_hot_missing_key_is_ordered_by_many_tasks(spark):
+    """A third of the rows without key and with different texts: gapless slots, no range of a shard near that third."""
+    key = F.when(F.col("id") % 3 > 0, F.col("id"))
+    df = spark.range(6000).select(key.alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    rows = sharding.placements(df.repartition(5), ranges=24).collect()
+    for shard in {r.shard for r in rows}:
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(sum(r.shard == shard for r in rows)))
+    null = sorted((r.slot, r.size, r.text_crc32) for r in rows if r.doc_id is None)
+    assert [n[1:] for n in null] == sorted(n[1:] for n in null)
+    sizes = df.select(F.lit(0).alias("shard"), F.length("text").alias("size"), F.crc32(F.col("text").cast("binary")).alias("crc"))
+    groups = sharding.ranged(sizes, ["shard", "size", "crc"], 24).groupBy("shard", "bucket").count().collect()
+    assert len(groups) > 12 and max(g["count"] for g in groups) < 1000
+
+
+def test_exact_copies_under_a_hot_missing_key(spark):
+    """A third of the rows without key, some texts equal: one row of each group stays, and different texts are told apart."""
+    key = F.when(F.col("id") % 3 > 0, F.col("id"))
+    df = spark.range(900).select(key.alias("doc_id"), F.concat(F.lit("t "), (F.col("id") % 450).cast("string")).alias("text")).repartition(6)
+    rows = block_names.exact_duplicates(df).collect()
+    _check_copies(rows, [(r.doc_id, r.text) for r in df.collect()])
