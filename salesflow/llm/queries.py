@@ -31,10 +31,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files ``source/lang/doc_id``; licence files hand their licence down to their directory."""
+    """Documents as files ``source/lang/doc_id``, a missing part as ``-``; licence files hand their licence down to their directory."""
     documents = _table(spark, sf_dir, "documents")
-    files = documents.select("doc_id", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"), "text")
-    return licenses.scan(files)
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in ("source", "lang", "doc_id")]
+    return licenses.scan(documents.select("doc_id", F.concat_ws("/", *parts).alias("path"), "text"))
 
 
 def op2_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,7 +119,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_main_text": op13_main_text,
 }
 
-_TEMPLATE_ROWS = ", ".join(f"('{name}', '{text}')" for name, text in licenses.TEMPLATES.items())
+_TEMPLATE_ROWS = ", ".join(f"({i}, '{name}', '{kind}', '{text}', '{words}')" for i, (name, kind, text, words) in enumerate(licenses.TEMPLATES))
+_WINDOW_ROWS = ", ".join(f"({width}, {max(width // 2, 1)}, {width // 2})" for width in licenses.WINDOWS)
 
 #: Words of five by position, as the near-duplicate operator defines them.
 _WORDS = """
@@ -138,51 +139,68 @@ _CRC_TABLE = """
 
 ORACLES: dict[str, str] = {
     "op1_licenses": f"""
-        WITH template(license, body) AS (VALUES {_TEMPLATE_ROWS}),
+        WITH template(i, license, kind, body, words) AS (VALUES {_TEMPLATE_ROWS}),
         tt AS (
-          SELECT license, t, count(*) AS n
-          FROM (SELECT license, unnest(regexp_extract_all(lower(body), '[\\p{{L}}\\p{{N}}]+')) AS t FROM template) GROUP BY ALL
+          SELECT i, t, count(*) AS n
+          FROM (SELECT i, unnest(regexp_extract_all(lower(body), '[\\p{{L}}\\p{{N}}]+')) AS t FROM template) GROUP BY ALL
         ),
+        need AS (SELECT DISTINCT i, unnest(string_split(words, ' ')) AS t FROM template),
+        needs AS (SELECT i, count(*) AS n FROM need GROUP BY i),
         doc AS (
-          SELECT row_number() OVER () AS r, doc_id, concat_ws('/', source, lang, doc_id::VARCHAR) AS path, coalesce(text, '') AS body
+          SELECT row_number() OVER () AS r, doc_id,
+                 concat_ws('/', coalesce(source, '-'), coalesce(lang, '-'), coalesce(doc_id::VARCHAR, '-')) AS path, coalesce(text, '') AS body
           FROM documents
         ),
-        df AS (
-          SELECT t, count(*) AS n
-          FROM (SELECT DISTINCT r, unnest(regexp_extract_all(lower(body), '[\\p{{L}}\\p{{N}}]+')) AS t FROM doc)
-          WHERE t IN (SELECT t FROM tt) GROUP BY t
-        ),
         total AS (SELECT count(*) AS n FROM doc),
         idf AS (
-          SELECT DISTINCT tt.t, ln((1 + total.n) / (1 + coalesce(df.n, 0))) + 1 AS w FROM tt LEFT JOIN df USING (t), total
+          SELECT t, ln(any_value(total.n)::DOUBLE / count(*)) + 1 AS w
+          FROM (SELECT DISTINCT r, unnest(regexp_extract_all(lower(body), '[\\p{{L}}\\p{{N}}]+')) AS t FROM doc), total
+          GROUP BY t HAVING count(*) >= {licenses.RARE} * any_value(total.n)
+        ),
+        norm AS (
+          SELECT i, sqrt(sum((n * coalesce(w, {licenses.rarest()!r})) ** 2)) AS z FROM tt LEFT JOIN idf USING (t) GROUP BY i
+        ),
+        wide(width, step, less) AS (VALUES {_WINDOW_ROWS}),
+        line AS (SELECT r, string_split(body, chr(10)) AS lines FROM doc),
+        part AS (
+          SELECT r, lines, width, unnest(range(1, greatest(len(lines) - less, 1) + 1, step)) AS pos FROM line, wide
         ),
-        norm AS (SELECT license, sqrt(sum((n * w) ** 2)) AS z FROM tt JOIN idf USING (t) GROUP BY license),
         seg AS (
-          SELECT r, 0 AS line, body FROM doc
+          SELECT r, true AS whole, 0 AS width, 0 AS pos, body FROM doc
           UNION ALL
-          SELECT r, unnest(range(1, len(string_split(body, chr(10))) + 1)), unnest(string_split(body, chr(10))) FROM doc
+          SELECT r, false, width, pos, array_to_string(lines[pos:pos + width - 1], ' ') FROM part
         ),
         st AS (
-          SELECT r, line, t, count(*) AS n
-          FROM (SELECT r, line, unnest(regexp_extract_all(lower(body), '[\\p{{L}}\\p{{N}}]+')) AS t FROM seg) GROUP BY ALL
+          SELECT r, whole, width, pos, t, count(*) AS n
+          FROM (SELECT r, whole, width, pos, unnest(regexp_extract_all(lower(body), '[\\p{{L}}\\p{{N}}]+')) AS t FROM seg) GROUP BY ALL
         ),
-        sn AS (
-          SELECT r, line, sqrt(sum((st.n * coalesce(w, ln((1 + total.n) / 2) + 1)) ** 2)) AS z
-          FROM st LEFT JOIN idf USING (t), total GROUP BY r, line
+        met AS (
+          SELECT r, whole, width, pos, need.i FROM st JOIN need USING (t) JOIN needs ON needs.i = need.i
+          GROUP BY r, whole, width, pos, need.i HAVING count(*) = any_value(needs.n)
         ),
-        cosine AS (
-          SELECT st.r, st.line, tt.license, round(sum(st.n * tt.n * w * w) / any_value(sn.z) / any_value(norm.z), 6) AS score
-          FROM st JOIN tt USING (t) JOIN idf USING (t) JOIN norm USING (license) JOIN sn ON sn.r = st.r AND sn.line = st.line
-          GROUP BY st.r, st.line, tt.license
+        weighed AS (
+          SELECT r, whole, width, pos, t, st.n * coalesce(w, {licenses.rarest()!r}) AS v
+          FROM st SEMI JOIN met USING (r, whole, width, pos) LEFT JOIN idf USING (t)
         ),
-        best AS (
-          SELECT r, line = 0 AS whole, license, score FROM cosine
-          QUALIFY row_number() OVER (PARTITION BY r, line = 0 ORDER BY score DESC, license) = 1
+        size AS (SELECT r, whole, width, pos, sqrt(sum(v ** 2)) AS z FROM weighed GROUP BY ALL),
+        cosine AS (
+          SELECT m.r, m.whole, m.i, round(sum(d.v * tt.n * coalesce(idf.w, {licenses.rarest()!r})) / any_value(size.z) / any_value(norm.z), 6) AS score
+          FROM met m
+          JOIN weighed d ON d.r = m.r AND d.whole = m.whole AND d.width = m.width AND d.pos = m.pos
+          JOIN tt ON tt.i = m.i AND tt.t = d.t LEFT JOIN idf ON idf.t = d.t JOIN norm ON norm.i = m.i
+          JOIN size ON size.r = m.r AND size.whole = m.whole AND size.width = m.width AND size.pos = m.pos
+          GROUP BY m.r, m.whole, m.width, m.pos, m.i
         ),
         own AS (
-          SELECT r, license, score, CASE WHEN whole THEN 'file' ELSE 'header' END AS evidence FROM best
-          WHERE score >= CASE WHEN whole THEN {licenses.FILE} ELSE {licenses.HEADER} END
-          QUALIFY row_number() OVER (PARTITION BY r ORDER BY whole DESC) = 1
+          SELECT r, license, score, evidence
+          FROM (
+            SELECT r, license, score,
+                   CASE WHEN whole AND score >= {licenses.FILE} OR NOT whole AND score >= {licenses.HEADER} AND kind = 'body' THEN 'file'
+                        WHEN NOT whole AND score >= {licenses.HEADER} THEN 'header' END AS evidence
+            FROM cosine JOIN template USING (i)
+          )
+          WHERE evidence IS NOT NULL
+          QUALIFY row_number() OVER (PARTITION BY r ORDER BY evidence, score DESC, license) = 1
         ),
         placed AS (
           SELECT doc.r, doc_id, path, regexp_replace(path, '/?[^/]*$', '') AS dir, license, score, evidence
