@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from salesflow.llm.numbering import number
 from salesflow.session import stage
 
-#: Cells; each has a pivot, chosen from the distinct vectors by digest.
-PIVOTS = 32
+#: Fewest and most cells; between them there are as many as the root of the distinct vectors. Each has a pivot, a
+#: vector chosen by digest. Their number decides how much work is saved, not what is found.
+FEWEST, MOST = 32, 1024
 #: Most vectors, and most queries, that one task holds.
 BLOCK_ROWS = 8192
 
@@ -37,11 +38,13 @@ def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
 
 
 def _products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Exact integer products: doubles while every partial sum fits one, else whole numbers."""
-    reach = float(np.abs(left).max(initial=0)) * float(np.abs(right).max(initial=0)) * max(left.shape[1], 1)
+    """Exact integer products: doubles while every partial sum fits one, else whole numbers; past 64 bits the nearest 64-bit number."""
+    reach = np.abs(left.astype(np.float64)).max(initial=0) * np.abs(right.astype(np.float64)).max(initial=0) * max(left.shape[1], 1)
     if reach < 2**52:
         return (left.astype(np.float64) @ right.astype(np.float64).T).astype(np.int64)
-    return left @ right.T
+    if reach < 2**62:
+        return left @ right.T
+    return np.clip(left.astype(object) @ right.astype(object).T, -(2**63), 2**63 - 1).astype(np.int64)
 
 
 def _nearest(pivots: np.ndarray):
@@ -136,6 +139,12 @@ def _solve(width: int, k: int):
     return run
 
 
+def needed_blocks(placed: DataFrame, asked: DataFrame, chunks: Column) -> DataFrame:
+    """The vectors of ``placed`` dealt into ``chunks`` blocks of their cell, once for each part that ``asked`` for the block."""
+    block = F.pmod(F.xxhash64("vid", F.lit(7)), chunks).cast("int").alias("chunk")
+    return placed.select("cell", block, "vector", "ids").join(asked, ["cell", "chunk"])
+
+
 def top_k(
     df: DataFrame,
     is_query: Column,
@@ -143,7 +152,7 @@ def top_k(
     vector: str = "embedding",
     k: int = 20,
     scale: int = 64,
-    pivots: int = PIVOTS,
+    pivots: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: each query's ``k`` largest integer inner products.
@@ -154,9 +163,11 @@ def top_k(
 
     Distinct vectors get a number and at most k + 1 of their keys (no query can
     return more of them), so a vector that fills a third of the table is one
-    candidate. Only ``pivots`` vectors and one summary row per cell pass
+    candidate. Only ``pivots`` vectors (by default as many as the root of the
+    distinct vectors, ``FEWEST`` to ``MOST``) and one summary row per cell pass
     through the driver. Tasks hold at most about ``block_rows`` vectors and as
-    many queries; the queries, the smaller side, are what is replicated.
+    many queries. A query goes to the cells its bounds ask for, and a block of a
+    cell only to the parts of the queries that asked for it.
 
     Rows without a key, without a vector, or with a missing, NaN or infinite
     component take no part. A shorter vector counts as filled up with zeros.
@@ -179,6 +190,8 @@ def top_k(
         rows.where("asks").select("vec_id", "vector").distinct().join(points.select("vector", "vid"), "vector").select("vec_id", "vid"),
         "queries",
     )
+    if pivots is None:
+        pivots = min(max(math.isqrt(points.count()), FEWEST), MOST)
     chosen = points.orderBy(F.xxhash64("vector"), "vid").limit(pivots).select("vector").collect()
     widest = points.agg(F.max(F.size("vector"))).first()[0] or 0
     centres = _matrix(pd.Series([r[0] for r in chosen], dtype=object), widest).astype(np.float64)
@@ -205,18 +218,13 @@ def top_k(
     if not len(cells) or not n_queries:
         found = df.sparkSession.createDataFrame([], found_schema)
     else:
-        sent = queries.select("vid", "vector", "cell", "norm", mark.alias("part")).mapInPandas(
+        asking = queries.select("vid", "vector", "cell", "norm", mark.alias("part")).mapInPandas(
             _needed(centres, cells, spread, k + 1), "cell int, chunk int, part int, vid long, vector array<long>"
         )
+        sent = stage(asking, "asked-cells")
         chunk_count = F.element_at(F.lit([int(x) for x in cells.set_index("cell")["chunks"].reindex(range(len(centres)), fill_value=1)]), F.col("cell") + 1)
-        held = placed.select(
-            "cell",
-            F.pmod(F.xxhash64("vid", F.lit(7)), chunk_count).cast("int").alias("chunk"),
-            F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"),
-            "vector",
-            "ids",
-        )
         at = ["cell", "chunk", "part"]
+        held = needed_blocks(placed, sent.select(*[F.col(c).alias(c) for c in at]).distinct(), chunk_count)
         found = sent.groupBy(*at).cogroup(held.groupBy(*at)).applyInPandas(_solve(widest, k + 1), found_schema)
     best = Window.partitionBy("vid").orderBy(F.desc("score"), "vec_id")
     short = stage(found.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k + 1).drop("nth"), "nearest")
