@@ -12,14 +12,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.llm.sampling import bounded
+from salesflow.llm.sampling import drawn
 
 #: Hash buckets, as a power of two, and the lengths of the n-grams.
 BITS, ORDERS = 16, (2, 3)
-#: Documents the model is fitted on, about, and most languages it keeps (the most frequent ones).
-MOST_DOCUMENTS, MOST_LANGUAGES = 20_000, 256
-#: Tasks that count the sample; bounds the rows of counts.
-COUNTERS = 12
+#: Documents of each language that the model is fitted on, about, and documents counted by one task.
+MOST_DOCUMENTS, COUNTED = 5000, 2000
+#: Languages whose counts a counting task holds at once, and numbers that scoring holds at once (at least one text's).
+HELD, AT_ONCE = 64, 1 << 22
 #: Characters scored at once; a longer text is scored in parts.
 PART = 1 << 20
 UNDETERMINED = "und"
@@ -48,6 +48,15 @@ def ngrams(text: str, orders: tuple[int, ...], bits: int) -> Iterator[np.ndarray
             yield (mixed >> np.uint32(32 - bits)).astype(np.int64)
 
 
+def counted(text: str, orders: tuple[int, ...], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets that the n-grams of a text fall in, and how many fall in each."""
+    counts = np.zeros(1 << bits, dtype=np.int64)
+    for buckets in ngrams(text, orders, bits):
+        counts += np.bincount(buckets, minlength=1 << bits)
+    found = np.flatnonzero(counts)
+    return found, counts[found]
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     """Log probabilities: one row per bucket, one column per language."""
@@ -58,19 +67,33 @@ class LanguageModel:
     orders: tuple[int, ...]
     bits: int
 
-    def scores(self, text: str) -> np.ndarray:
-        total = self.prior.copy()
-        for buckets in ngrams(text, self.orders, self.bits):
-            total += self.matrix.take(buckets, axis=0).sum(axis=0, dtype=np.float64)
+    def scores(self, texts: list[str]) -> np.ndarray:
+        """Log scores of ``texts`` in every language: their sparse counts times the matrix, a few texts at a time."""
+        total = np.tile(self.prior, (len(texts), 1))
+        first, held, size = 0, [], 0
+        for i, text in enumerate(texts):
+            held.append(counted(text, self.orders, self.bits))
+            size += len(held[-1][0])
+            if i + 1 == len(texts) or size * len(self.languages) >= AT_ONCE:
+                self._add(total[first : i + 1], held)
+                first, held, size = i + 1, [], 0
         return total
 
-    def predict(self, text: str) -> tuple[str, float]:
-        """The likeliest language and its posterior; ties go to the first in alphabetical order."""
+    def _add(self, total: np.ndarray, held: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        sizes = np.array([len(buckets) for buckets, _ in held])
+        filled = np.flatnonzero(sizes)
+        if len(filled):
+            entries = self.matrix[np.concatenate([b for b, _ in held])] * np.concatenate([n for _, n in held])[:, None]
+            total[filled] += np.add.reduceat(entries, np.cumsum(sizes[filled]) - sizes[filled], axis=0)
+
+    def predict(self, texts: list[str]) -> list[tuple[str, float]]:
+        """The likeliest language of each text and its posterior; ties go to the first in alphabetical order."""
         if not self.languages:
-            return UNDETERMINED, 0.0
-        total = self.scores(text)
-        best = int(total.argmax())
-        return self.languages[best], float(1 / np.exp(total - total[best]).sum())
+            return [(UNDETERMINED, 0.0)] * len(texts)
+        total = self.scores(texts)
+        best = total.argmax(axis=1)
+        chance = 1 / np.exp(total - total[np.arange(len(texts)), best][:, None]).sum(axis=1)
+        return [(self.languages[i], float(p)) for i, p in zip(best, chance)]
 
 
 def has_letter(text: Column) -> Column:
@@ -85,45 +108,57 @@ def fit(
     orders: tuple[int, ...] = ORDERS,
     bits: int = BITS,
     most_documents: int = MOST_DOCUMENTS,
-    most_languages: int = MOST_LANGUAGES,
 ) -> LanguageModel:
-    """Fit on about ``most_documents`` of the rows that have a language and a letter.
+    """Fit on about ``most_documents`` documents of each language, among the rows that have a language and a letter.
 
-    Counts are made by a fixed number of tasks and summed by Spark; the driver
-    gets at most ``most_languages`` x 2**``bits`` sums.
+    Every language is learned, however rare. Priors are counted over all
+    distinct documents (key and text), so a document that is repeated counts
+    once. The n-grams of the sample are counted in tasks and summed by Spark;
+    the driver gets at most 2**``bits`` sums a language.
     """
     rows = labelled.where(F.col(language).isNotNull() & has_letter(F.col(text))).select(
-        F.col(key).alias("doc_id"), F.col(language).cast("string").alias("lang"), F.col(text).alias("text")
+        F.col(language).cast("string").alias("lang"), F.coalesce(F.col(key).cast("string"), F.lit("")).alias("doc_id"), F.col(text).alias("text")
     )
-    sample = bounded(rows, "doc_id", most_documents)
-    priors = sample.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
-    names = sorted(r["lang"] for r in priors)
+    told = rows.select("lang", "doc_id", F.xxhash64("text").alias("body")).distinct().groupBy("lang").count().orderBy("lang").collect()
+    documents = {r["lang"]: r["count"] for r in told}
+    names = list(documents)
+    if not names:
+        return LanguageModel([], np.zeros(0), np.zeros((1 << bits, 0), dtype=np.float32), orders, bits)
     place = {name: i for i, name in enumerate(names)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((len(names), 1 << bits), dtype=np.int64)
+        held: dict[int, np.ndarray] = {}
+
+        def rows_of(lang: int) -> pa.RecordBatch:
+            bucket = np.flatnonzero(held[lang])
+            columns = [pa.array(np.full(len(bucket), lang), pa.int32()), pa.array(bucket, pa.int32()), pa.array(held[lang][bucket], pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, names=["lang", "bucket", "n"])
+
         for batch in batches:
             for lang, body in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if lang in place:
-                    for buckets in ngrams(body.as_py(), orders, bits):
-                        counts[place[lang]] += np.bincount(buckets, minlength=1 << bits)
-        lang, bucket = np.nonzero(counts)
-        columns = [pa.array(lang, pa.int32()), pa.array(bucket, pa.int32()), pa.array(counts[lang, bucket], pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, names=["lang", "bucket", "n"])
-
-    counted = (
+                if place[lang] not in held and len(held) == HELD:
+                    yield from map(rows_of, held)
+                    held.clear()
+                own = held.setdefault(place[lang], np.zeros(1 << bits, dtype=np.int64))
+                buckets, n = counted(body.as_py(), orders, bits)
+                own[buckets] += n
+        yield from map(rows_of, held)
+
+    sample = drawn(rows, documents, "lang", "doc_id", "text", most_documents)
+    tasks = -(-sum(min(n, most_documents) for n in documents.values()) // COUNTED)
+    sums = (
         sample.select("lang", "text")
-        .repartition(COUNTERS)
+        .repartition(tasks)
         .mapInArrow(count, "lang int, bucket int, n long")
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
         .toPandas()
     )
-    table = np.ones((1 << bits, len(names)))  # add-one smoothing
-    table[counted["bucket"], counted["lang"]] += counted["n"]
-    documents = {r["lang"]: r["count"] for r in priors}
-    prior = np.array([math.log(documents[name] / sum(documents.values())) for name in names])
-    return LanguageModel(names, prior, np.log(table / table.sum(axis=0)).astype(np.float32), orders, bits)
+    table = np.ones((1 << bits, len(names)), dtype=np.float32)  # add-one smoothing
+    table[sums["bucket"], sums["lang"]] += sums["n"].to_numpy(dtype=np.float32)
+    total = table.sum(axis=0, dtype=np.float64)
+    prior = np.array([math.log(n / sum(documents.values())) for n in documents.values()])
+    return LanguageModel(names, prior, (np.log(table) - np.log(total)).astype(np.float32), orders, bits)
 
 
 def with_language(df: DataFrame, model: LanguageModel, text: str = "text", into: str = "lang_pred", score: str = "score") -> DataFrame:
@@ -131,15 +166,17 @@ def with_language(df: DataFrame, model: LanguageModel, text: str = "text", into:
 
     A missing text, or one without a letter, is ``und`` with score 0; so is
     every text if the model has no language. The model is broadcast: its size
-    is fixed by buckets and languages. Columns called like the results are
-    replaced, all others kept; no shuffle.
+    is fixed by buckets and languages. Very long texts are read in parts; what
+    is held beside a text are its counts, one number a bucket. Columns called
+    like the results are replaced, all others kept; no shuffle.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = shared.value
         for part in parts:
-            found = [(UNDETERMINED, 0.0) if t is None else known.predict(t) for t in part]
+            told = iter(known.predict([t for t in part if t is not None]))
+            found = [(UNDETERMINED, 0.0) if t is None else next(told) for t in part]
             yield pd.DataFrame(found, columns=["lang", "score"])
 
     guess = F.pandas_udf(predict, "lang string, score double")

@@ -18,12 +18,14 @@ def chosen(share: float, *parts: Column | str) -> Column:
     return F.lit(True) if share >= 1 else F.pmod(F.xxhash64(*parts, F.lit("sample")), F.lit(_RANGE)) < int(_RANGE * share)
 
 
-def bounded(rows: DataFrame, key: str, most: int) -> DataFrame:
-    """About ``most`` of ``rows`` at random, or all if they are fewer.
+def drawn(rows: DataFrame, counts: dict[str, int], group: str, key: str, text: str, most: int) -> DataFrame:
+    """About ``most`` of the distinct (key, text) of every group, or all of a group that has fewer.
 
-    Rows are counted first, so the share that is kept falls as the table grows.
-    Each row is drawn by itself, by its key and its place in the table: rows
-    that repeat a key are not taken or left together.
+    ``counts`` has the number of distinct (key, text) of each group. A pair is
+    drawn by its digest, so the sample does not depend on how the table is
+    split into files, and a row that is repeated often is drawn as one.
     """
-    total = rows.count()
-    return rows if total <= most else rows.where(chosen(most / total, key, F.monotonically_increasing_id()))
+    shares = [(name, most / n) for name, n in counts.items()]
+    table = rows.sparkSession.createDataFrame(shares, f"{group} string, _share double")
+    draw = F.pmod(F.xxhash64(key, text, F.lit("sample")), F.lit(_RANGE)) < F.col("_share") * _RANGE
+    return rows.join(table, group).where(draw).drop("_share").dropDuplicates([group, key, text])

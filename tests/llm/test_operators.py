@@ -285,6 +285,75 @@ def test_language_accuracy_and_odd_rows(spark, sf, odd):
     assert {r.lang_pred for r in language.with_language(odd, empty).collect()} == {"und"}
 
 
+def _plain_bayes(docs):
+    """Naive Bayes over the same buckets, one n-gram at a time with dictionaries."""
+
+    def buckets(text):
+        codes = [32] + [ord(c) if c.isalpha() or ord(c) >= 0x300 else 32 for c in text.lower()] + [32]
+        for order in language.ORDERS:
+            for at in range(len(codes) - order + 1):
+                h = order
+                for code, factor in zip(codes[at : at + order], language._MULTIPLIERS.tolist()):
+                    h = (h + code * factor) & 0xFFFFFFFF
+                    h ^= h >> 15
+                yield ((h * language._MULTIPLIERS.tolist()[-1]) & 0xFFFFFFFF) >> (32 - language.BITS)
+
+    counts, documents = {}, {}
+    for _, lang, text in docs:
+        documents[lang] = documents.get(lang, 0) + 1
+        own = counts.setdefault(lang, {})
+        for b in buckets(text):
+            own[b] = own.get(b, 0) + 1
+
+    def predict(text):
+        total = {}
+        for lang, own in counts.items():
+            size = sum(own.values()) + (1 << language.BITS)
+            total[lang] = np.log(documents[lang] / sum(documents.values())) + sum(np.log((own.get(b, 0) + 1) / size) for b in buckets(text))
+        best = max(sorted(total), key=total.get)
+        return best, 1 / sum(np.exp(min(v - total[best], 0)) for v in total.values())
+
+    return predict
+
+
+def test_language_equals_plain_naive_bayes(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("length(text) < 3000")
+    rows = sorted({(r.doc_id, r.lang, r.text) for r in docs.collect() if r.lang and any(map(str.isalpha, r.text or ""))})
+    assert len(rows) > 50
+    learned, asked = rows[::2], rows[1::2]
+    df = spark.createDataFrame(learned + learned[:20], "doc_id long, lang string, text string").repartition(3)
+    short = [t[:40] for *_, t in asked if any(map(str.isalpha, t[:40]))] + [t for *_, t in asked[:20]]
+    found = language.with_language(spark.createDataFrame([(t,) for t in short], "text string"), language.fit(df)).collect()
+    predict = _plain_bayes(learned)
+    for r in found:
+        lang, score = predict(r.text)
+        assert r.lang_pred == lang and abs(r.score - score) < 1e-3
+
+
+def test_hundreds_of_languages_are_learned(spark):
+    rng = np.random.default_rng(3)
+    letters = [chr(0x4E00 + i) for i in range(4000)]
+    rows = [(i, f"l{i % 400:03}", "".join(rng.choice(letters[10 * (i % 400) : 10 * (i % 400) + 10], 30))) for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(4)
+    model = language.fit(df)
+    assert len(model.languages) == 400
+    found = language.with_language(df.withColumnRenamed("lang", "true"), model).collect()
+    assert sum(r.true == r.lang_pred for r in found) > 780
+    parts = [model.scores([t])[0] for *_, t in rows[:30]]
+    assert np.allclose(model.scores([t for *_, t in rows[:30]]), parts)
+
+
+def test_only_blocks_that_are_asked_for_are_copied(spark):
+    placed = spark.createDataFrame([(i, [i], [i], i % 4) for i in range(100)], "vid long, vector array<long>, ids array<long>, cell int")
+    asked = spark.createDataFrame([(0, 0, 0), (0, 0, 5), (3, 0, 2)], "cell int, chunk int, part int")
+    held = voronoi.needed_blocks(placed, asked, F.lit(1)).groupBy("cell", "part").count().collect()
+    assert {(r.cell, r.part): r["count"] for r in held} == {(0, 0): 25, (0, 5): 25, (3, 2): 25}
+    far = [[2.0**55, 1.0], [-(2.0**55), 1.0], [2.0**40, 0.0]]
+    df = spark.createDataFrame(list(enumerate(far)), "vec_id long, embedding array<double>")
+    rows = voronoi.top_k(df, F.col("vec_id") == 0).collect()
+    assert [(r.vec_id, r.score) for r in rows] == [(2, 2**63 - 1), (1, -(2**63))]
+
+
 def test_quality_accuracy_and_odd_rows(spark, sf, odd):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     rows = op10_line_quality(spark, sf).collect()
@@ -301,8 +370,14 @@ def test_quality_accuracy_and_odd_rows(spark, sf, odd):
 
 
 def test_fitting_samples_are_bounded_where_a_key_repeats(spark, monkeypatch):
-    rows = spark.range(20000).select(F.lit(5).alias("doc_id"))
-    assert 800 < sampling.bounded(rows, "doc_id", 1000).count() < 1200
+    same = spark.range(20000).select(F.lit("a").alias("lang"), F.lit(5).alias("doc_id"), F.col("id").cast("string").alias("text"))
+    few = spark.range(4000).select(F.lit("b").alias("lang"), F.col("id").alias("doc_id"), F.lit(str(7)).alias("text")).where("doc_id < 9 OR doc_id = 3999")
+    rows = same.union(few).union(few.withColumn("doc_id", F.lit(1)))
+    sample = sampling.drawn(rows.repartition(5), {"a": 20000, "b": 10}, "lang", "doc_id", "text", 1000)
+    assert 800 < sample.where("lang = 'a'").count() < 1200
+    assert sample.where("lang = 'b'").count() == 10
+    again = sampling.drawn(rows.repartition(3), {"a": 20000, "b": 10}, "lang", "doc_id", "text", 1000)
+    assert sorted(sample.collect()) == sorted(again.collect())
     docs = [(5, f"one line {i}\nanother line of {i}") for i in range(600)] + [(6, "\n".join(f"row {i}" for i in range(250)))] * 3
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     labels = spark.createDataFrame([(5, 1), (5, 1), (5, 0), (6, 0), (6, 0)], "doc_id long, quality int")
