@@ -21,8 +21,8 @@ from salesflow.session import stage
 MOST_DOCUMENTS, MOST_LINES = 4000, 2000
 #: Lines of all stretches together, about: 208 bytes of measures each on the driver.
 MOST_FITTED = 400_000
-#: Bytes of a line measured at once; a longer line is measured in parts.
-PART = 1 << 20
+#: Bytes of a line measured at once; a longer line is measured in parts. Lines of a text that are measured at once.
+PART, AT_ONCE = 1 << 20, 1 << 14
 
 # signs are counted in Latin-1 bytes, or in UTF-8 where a text has letters beyond
 _UPPER = bytes(c for c in range(256) if chr(c).isupper())
@@ -53,19 +53,72 @@ def _measure(line: bytes, times: int) -> list[float]:
     ]
 
 
-def features(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(lines x WIDTH measures, weights): a line weighs its bytes, at least one."""
-    try:
-        lines = text.encode("latin-1").split(b"\n")
-    except UnicodeEncodeError:
-        lines = text.encode().split(b"\n")
-    times = Counter(lines)
-    own = np.array([_measure(line, times[line]) for line in lines])
-    measures = np.zeros((len(lines), WIDTH))
-    measures[:, : len(OWN)] = own
-    measures[1:, len(OWN) : len(OWN) + len(BESIDE)] = own[:-1, _BESIDE]
-    measures[:-1, len(OWN) + len(BESIDE) :] = own[1:, _BESIDE]
-    return measures, np.array([len(line) or 1 for line in lines], dtype=float)
+class Lines:
+    """A text as stretches of ``at_once`` lines, the last one shorter; what is held of the others is where they start
+    and how often each distinct line occurs."""
+
+    def __init__(self, text: str, at_once: int = AT_ONCE):
+        try:
+            self._body = text.encode("latin-1")
+        except UnicodeEncodeError:
+            self._body = text.encode("utf-8", "surrogatepass")
+        self._starts, before = [0], 0
+        for at in range(0, len(self._body), PART):
+            part = np.frombuffer(self._body, np.uint8, min(PART, len(self._body) - at), at)
+            ends = np.flatnonzero(part == 10)
+            self._starts += (ends[at_once - 1 - before % at_once :: at_once] + at + 1).tolist()
+            before += len(ends)
+        self._times: Counter = Counter()
+        for index in range(len(self)):
+            self._times.update(self._lines(index))
+
+    def __len__(self) -> int:
+        return len(self._starts)
+
+    def _lines(self, index: int) -> list[bytes]:
+        end = self._starts[index + 1] - 1 if index + 1 < len(self) else len(self._body)
+        return self._body[self._starts[index] : end].split(b"\n")
+
+    def _own(self, lines: list[bytes]) -> np.ndarray:
+        return np.array([_measure(line, self._times[line]) for line in lines])
+
+    def features(self, index: int) -> tuple[np.ndarray, np.ndarray]:
+        """(lines x WIDTH measures, weights) of a stretch: a line weighs its bytes, at least one."""
+        lines = self._lines(index)
+        own = self._own(lines)
+        measures = np.zeros((len(lines), WIDTH))
+        measures[:, : len(OWN)] = own
+        last, following = measures[:, len(OWN) : len(OWN) + len(BESIDE)], measures[:, len(OWN) + len(BESIDE) :]
+        last[1:], following[:-1] = own[:-1, _BESIDE], own[1:, _BESIDE]
+        if index:
+            end = self._starts[index] - 1
+            last[0] = self._own([self._body[self._body.rfind(b"\n", 0, end) + 1 : end]])[0, _BESIDE]
+        if index + 1 < len(self):
+            start = self._starts[index + 1]
+            end = self._body.find(b"\n", start)
+            following[-1] = self._own([self._body[start : end if end >= 0 else len(self._body)]])[0, _BESIDE]
+        return measures, np.array([len(line) or 1 for line in lines], dtype=float)
+
+
+def ahead_of(odds: list[float], steps: np.ndarray, message: float = 0.0) -> tuple[list[float], float]:
+    """What the lines before each line say of it, and all lines of the line that follows, in log odds of good."""
+    (bb, bg), (gb, gg) = steps.tolist()
+    ahead = []
+    for value in odds:
+        ahead.append(message)
+        message = bg - bb + _gap(message + value, gg - bg, gb - bb)
+    return ahead, message
+
+
+def goodness(odds: list[float], ahead: list[float], steps: np.ndarray, message: float = 0.0) -> tuple[list[float], float]:
+    """P(good) of every line, given what the lines after them say (``message``), and what they all say of the line before."""
+    (bb, bg), (gb, gg) = steps.tolist()
+    out = [0.0] * len(odds)
+    for i in range(len(odds) - 1, -1, -1):
+        total = ahead[i] + odds[i] + message
+        out[i] = 1 / (1 + math.exp(-total)) if total > -700 else 0.0
+        message = gb - bb + _gap(message + odds[i], gg - gb, bg - bb)
+    return out, message
 
 
 def marginals(odds: list[float], steps: np.ndarray) -> list[float]:
@@ -74,19 +127,7 @@ def marginals(odds: list[float], steps: np.ndarray) -> list[float]:
     ``odds`` are the lines' own log odds of good; ``steps`` the transition
     scores [bad, good] x [bad, good].
     """
-    (bb, bg), (gb, gg) = steps.tolist()
-    ahead, message = [], 0.0
-    for value in odds:
-        ahead.append(message)
-        at = message + value
-        message = bg - bb + _gap(at, gg - bg, gb - bb)
-    out, message = [0.0] * len(odds), 0.0
-    for i in range(len(odds) - 1, -1, -1):
-        total = ahead[i] + odds[i] + message
-        out[i] = 1 / (1 + math.exp(-total)) if total > -700 else 0.0
-        at = message + odds[i]
-        message = gb - bb + _gap(at, gg - gb, bg - bb)
-    return out
+    return goodness(odds, ahead_of(odds, steps)[0], steps)[0]
 
 
 def _gap(value: float, first: float, second: float) -> float:
@@ -108,9 +149,21 @@ class QualityField:
     curve: tuple[float, float]
 
     def good_share(self, text: str) -> float:
-        measures, size = features(text)
-        odds = ((measures - self.centre) / self.scale) @ self.weights[:-1] + self.weights[-1]
-        return float(np.dot(marginals(odds.tolist(), self.steps), size) / size.sum())
+        """The share of good lines by weight, stretch by stretch: forward for the messages between them, then backward."""
+        lines = Lines(text)
+        messages = [0.0]
+        for index in range(len(lines) - 1):
+            messages.append(ahead_of(self._odds(lines.features(index)[0]), self.steps, messages[-1])[1])
+        good = weight = behind = 0.0
+        for index in range(len(lines) - 1, -1, -1):
+            measures, size = lines.features(index)
+            odds = self._odds(measures)
+            found, behind = goodness(odds, ahead_of(odds, self.steps, messages[index])[0], self.steps, behind)
+            good, weight = good + float(np.dot(found, size)), weight + float(size.sum())
+        return good / weight
+
+    def _odds(self, measures: np.ndarray) -> list[float]:
+        return (((measures - self.centre) / self.scale) @ self.weights[:-1] + self.weights[-1]).tolist()
 
     def score(self, text: str) -> float:
         slope, offset = self.curve
@@ -261,16 +314,16 @@ def fit(
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, body, label, parts, text in zip(*(batch.column(c) for c in ("_key", "_body", "_label", "_parts", "_text"))):
-                measures, sizes = features(text.as_py())
-                spans = [(part, slice(part * most_lines, (part + 1) * most_lines)) for part in parts.as_py()]
+                lines, wanted = Lines(text.as_py(), most_lines), parts.as_py()
+                measured = [lines.features(part) for part in wanted]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([str(name.as_py())] * len(spans), pa.string()),
-                        pa.array([body.as_py()] * len(spans), pa.int64()),
-                        pa.array([part for part, _ in spans], pa.int32()),
-                        pa.array([label.as_py()] * len(spans), pa.int32()),
-                        pa.array([measures[span].ravel() for _, span in spans], pa.list_(pa.float64())),
-                        pa.array([sizes[span] for _, span in spans], pa.list_(pa.float64())),
+                        pa.array([str(name.as_py())] * len(wanted), pa.string()),
+                        pa.array([body.as_py()] * len(wanted), pa.int64()),
+                        pa.array(wanted, pa.int32()),
+                        pa.array([label.as_py()] * len(wanted), pa.int32()),
+                        pa.array([m.ravel() for m, _ in measured], pa.list_(pa.float64())),
+                        pa.array([size for _, size in measured], pa.list_(pa.float64())),
                     ],
                     names=["key", "body", "part", "label", "measures", "sizes"],
                 )
@@ -285,7 +338,9 @@ def fit(
 def with_quality(df: DataFrame, field: QualityField, text: str = "text", into: str = "score") -> DataFrame:
     """``df`` with a score from 0 to 1, higher for better, from the whole text alone.
 
-    A missing text counts as empty, and an empty text as one empty line. All
+    A missing text counts as empty, and an empty text as one empty line. Rows
+    that repeat a text get its score. A very long text is scored whole, in
+    stretches of ``AT_ONCE`` lines with the messages between them carried. All
     other columns are kept; one called like the result is replaced; no shuffle.
     """
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -369,6 +370,35 @@ def test_quality_accuracy_and_odd_rows(spark, sf, odd):
     assert none.score("anything") == 0.5
 
 
+def test_quality_in_stretches_equals_whole_texts(spark, sf, monkeypatch):
+    """Measures and scores do not depend on how many lines are held at once; a text of very many lines takes bounded memory."""
+    rng = np.random.default_rng(5)
+    field = line_quality.QualityField(
+        rng.random(line_quality.WIDTH), rng.random(line_quality.WIDTH) + 0.5, rng.normal(size=line_quality.WIDTH + 1),
+        np.array([[0.7, -0.2], [-0.4, 0.5]]), (3.0, -1.0),
+    )
+    texts = [t or "" for (t,) in spark.read.parquet(f"{sf}/documents.parquet").select("text").limit(40).collect()]
+    texts += ["", "\n", "\n" * 9, "a\nb\n\na\n", "ü\n漢字\nü", "one line"]
+    for text in texts:
+        whole = line_quality.Lines(text)
+        measures, size = whole.features(0)
+        assert len(whole) == 1 and len(size) == text.count("\n") + 1
+        for at_once in (1, 2, 3, 7):
+            lines = line_quality.Lines(text, at_once)
+            parts = [lines.features(i) for i in range(len(lines))]
+            assert [len(s) for _, s in parts[:-1]] == [at_once] * (len(parts) - 1)
+            assert np.array_equal(np.vstack([m for m, _ in parts]), measures) and np.array_equal(np.concatenate([s for _, s in parts]), size)
+    plain = [field.score(t) for t in texts]
+    monkeypatch.setattr(line_quality.Lines.__init__, "__defaults__", (3,))
+    assert np.allclose([field.score(t) for t in texts], plain, rtol=0, atol=1e-9)
+    monkeypatch.undo()
+    tracemalloc.start()
+    assert 0 <= field.score("\n" * 300_000 + "end") <= 1
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20
+
+
 def test_fitting_samples_are_bounded_where_a_key_repeats(spark, monkeypatch):
     same = spark.range(20000).select(F.lit("a").alias("lang"), F.lit(5).alias("doc_id"), F.col("id").cast("string").alias("text"))
     few = spark.range(4000).select(F.lit("b").alias("lang"), F.col("id").alias("doc_id"), F.lit(str(7)).alias("text")).where("doc_id < 9 OR doc_id = 3999")
