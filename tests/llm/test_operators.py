@@ -419,7 +419,7 @@ def test_fitting_samples_are_bounded_where_a_key_repeats(spark, monkeypatch):
     every, fewer, short = fitted
     assert sorted(every[1]) == [0] * 3 + [1] * 600
     whole = np.vstack([m for (m, _), q in zip(*every) if q == 0])
-    assert len(whole) == 250 and sorted(whole.tolist()) == sorted(line_quality.features(docs[-1][1])[0].tolist())
+    assert len(whole) == 250 and sorted(whole.tolist()) == sorted(line_quality.Lines(docs[-1][1]).features(0)[0].tolist())
     assert 60 < len(fewer[1]) < 140
     assert 0 < sum(len(m) for m, _ in short[0]) < 500
 
