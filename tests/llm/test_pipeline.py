@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from salesflow.llm import near_duplicates
-from salesflow.session import scratch_scope
+from salesflow.session import scratch_scope, stage
 from tests.llm.test_operators import _bodies, _linked_components
 
 
@@ -13,7 +13,7 @@ def test_stages_on_documents(spark, sf):
         docs = spark.read.parquet(f"{sf}/documents.parquet")
         columns, kept = docs.columns, {}
         for name, function in corpus_pipeline.STAGES:
-            docs = corpus_pipeline.stage(function(spark, docs, sf), "test-stage")
+            docs = stage(function(spark, docs, sf), "test-stage")
             kept[name] = docs.collect()
             if name != corpus_pipeline.STAGES[-1][0]:
                 assert docs.columns == columns
