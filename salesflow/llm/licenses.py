@@ -11,18 +11,18 @@ from pyspark.sql import functions as F
 
 from salesflow.session import stage
 
-# Fixed values: (licence, kind, wording, words a text must hold to be compared). Kinds: a ``notice`` or ``header``
-# stands in a file of something else, a ``body`` makes its text a licence file.
+# Fixed values: (licence, kind, wording, words a text must hold to be compared, the one that is rarest in prose first).
+# Kinds: a ``notice`` or ``header`` stands in a file of something else, a ``body`` makes its text a licence file.
 TEMPLATES = [
     ("Apache-2.0", "notice", "Licensed under the Apache License, Version 2.0.", "apache 2"),
     ("BSD-3-Clause", "notice", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.", "bsd governed"),
     ("CC-BY-4.0", "notice", "Licensed under CC BY 4.0.", "cc by 4"),
     ("CC-BY-NC-4.0", "notice", "Licensed under CC BY-NC 4.0.", "cc by nc 4"),
-    ("GPL-2.0", "notice", "This work is licensed under the GNU General Public License, version 2.", "general public 2"),
-    ("GPL-3.0", "notice", "This work is licensed under the GNU General Public License, version 3.", "general public 3"),
-    ("LicenseRef-reserved", "notice", "All rights reserved.", "all rights reserved"),
-    ("MIT", "notice", "Released under the MIT License.", "mit"),
-    ("MIT", "notice", "Licensed under the MIT License.", "mit"),
+    ("GPL-2.0", "notice", "This work is licensed under the GNU General Public License, version 2.", "gnu general public 2"),
+    ("GPL-3.0", "notice", "This work is licensed under the GNU General Public License, version 3.", "gnu general public 3"),
+    ("LicenseRef-reserved", "notice", "All rights reserved.", "reserved all rights"),
+    ("MIT", "notice", "Released under the MIT License.", "license mit"),
+    ("MIT", "notice", "Licensed under the MIT License.", "license mit"),
     (
         "Apache-2.0",
         "header",
@@ -38,14 +38,14 @@ TEMPLATES = [
         "header",
         """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as
         published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.""",
-        "general public 2",
+        "gnu general public 2",
     ),
     (
         "GPL-3.0",
         "header",
         """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as
         published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.""",
-        "general public 3",
+        "gnu general public 3",
     ),
     (
         "LGPL-2.1",
@@ -82,14 +82,14 @@ TEMPLATES = [
         without specific prior written permission.""",
         "redistributions neither endorse",
     ),
-    ("GPL-2.0", "body", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991", "general public 2 june 1991"),
-    ("GPL-3.0", "body", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "general public 3 june 2007"),
+    ("GPL-2.0", "body", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991", "1991 june gnu general public 2"),
+    ("GPL-3.0", "body", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "gnu general public 3 june 2007"),
     (
         "ISC",
         "body",
         """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
         provided that the above copyright notice and this permission notice appear in all copies.""",
-        "permission fee granted",
+        "granted permission fee",
     ),
     ("LGPL-2.1", "body", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999", "lesser general public february 1999"),
     (
@@ -100,7 +100,7 @@ TEMPLATES = [
         modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software
         is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be
         included in all copies or substantial portions of the Software.""",
-        "permission sublicense furnished",
+        "sublicense permission furnished",
     ),
     ("MPL-2.0", "body", "Mozilla Public License Version 2.0", "mozilla version 2"),
     (
@@ -177,6 +177,15 @@ def _holds(text: Column, words: list[str] | None) -> Column:
     return F.lower(text).rlike(rf"(?:^|[^\p{{L}}\p{{N}}])(?:{'|'.join(map(re.escape, words))})(?:$|[^\p{{L}}\p{{N}}])")
 
 
+def _comparable(held: Column, asked: list[list[str]]) -> Column:
+    """Whether an array of terms holds all words of one of ``asked``."""
+    if not all(asked):
+        return F.lit(True)
+    sets = [F.lit(list(words)) for words in sorted({tuple(sorted(set(w))) for w in asked})]
+    known = F.array_intersect(held, F.lit(sorted(set().union(*asked))))
+    return F.exists(F.array(known), lambda own: F.exists(F.array(*sets), lambda s: F.size(F.array_except(s, own)) == 0))
+
+
 def scores(segments: DataFrame, frequent: DataFrame, templates: list[tuple[str, str, str, str]], rare: float, least: float) -> DataFrame:
     """(bag, template, score) of ``segments`` (bag, terms) whose cosine to a template is at least ``least``.
 
@@ -256,8 +265,8 @@ def scan(
     (``inherited``) or have none.
 
     Term weights come from all texts (``frequent_terms``). Texts leave the scan
-    only if they hold the longest needed word of a template, and of them only
-    the windows that do; equal windows are scored once. Very long texts are
+    only if they hold the first needed word of a template, and of them only
+    what holds all needed words of one; equal windows are scored once. Very long texts are
     scanned whole. A template without needed words is compared with all texts.
 
     A missing or empty text has no own licence; a missing path is in the root
@@ -266,7 +275,7 @@ def scan(
     """
     templates = templates or TEMPLATES
     asked = [_words(words) for *_, words in templates]
-    words = sorted({max(w, key=len) for w in asked}) if all(asked) else None
+    words = sorted({w[0] for w in asked}) if all(asked) else None
     rows = df.select(F.col(key).alias("doc_id"), F.col(path).cast("string").alias("path"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     frequent = stage(frequent_terms(rows, "text", rare), "licence-weights")
     lines = F.split("text", "\n")
@@ -287,6 +296,7 @@ def scan(
     segments = candidates.select("row", F.explode(F.concat(F.array(whole), parts)).alias("segment")).select(
         "row", "segment.whole", terms(F.col("segment.body")).alias("terms")
     )
+    segments = segments.where(_comparable(F.col("terms"), asked))
     segments = stage(segments.select("row", "whole", F.sha2(F.array_join("terms", " "), 256).alias("bag"), "terms"), "licence-segments")
     near = scores(segments.select("bag", "terms").dropDuplicates(["bag"]), frequent, templates, rare, min(header, file))
     names = F.lit([t[0] for t in templates])
