@@ -19,7 +19,7 @@ BITS, ORDERS = 16, (2, 3)
 #: Documents of each language that the model is fitted on, about, and documents counted by one task.
 MOST_DOCUMENTS, COUNTED = 5000, 2000
 #: Languages whose counts a counting task holds at once, and numbers that scoring holds at once (at least one text's).
-HELD, AT_ONCE = 64, 1 << 22
+HELD, AT_ONCE = 64, 1 << 19
 #: Characters scored at once; a longer text is scored in parts.
 PART = 1 << 20
 UNDETERMINED = "und"

@@ -23,9 +23,11 @@ def drawn(rows: DataFrame, counts: dict[str, int], group: str, key: str, text: s
 
     ``counts`` has the number of distinct (key, text) of each group. A pair is
     drawn by its digest, so the sample does not depend on how the table is
-    split into files, and a row that is repeated often is drawn as one.
+    split into files, and a row that is repeated often is drawn as one. The
+    shares, one number a group that the driver holds in ``counts`` already, are
+    broadcast: rows that are not drawn never leave the scan.
     """
     shares = [(name, most / n) for name, n in counts.items()]
     table = rows.sparkSession.createDataFrame(shares, f"{group} string, _share double")
     draw = F.pmod(F.xxhash64(key, text, F.lit("sample")), F.lit(_RANGE)) < F.col("_share") * _RANGE
-    return rows.join(table, group).where(draw).drop("_share").dropDuplicates([group, key, text])
+    return rows.join(F.broadcast(table), group).where(draw).drop("_share").dropDuplicates([group, key, text])
