@@ -111,7 +111,7 @@ def store_batch(messages: DataFrame, batch_id: int, root: str) -> None:
     events = as_events(decoded)
     try:
         rated = top_rated(events).select("id", "invoice_id", "product_line", "rating")
-        rated.write.mode("overwrite").parquet(f"{root}/top_rated/batch_id={batch_id}")
+        rated.write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/top_rated/batch_id={batch_id}")
         rejected_events(decoded).write.mode("overwrite").parquet(f"{root}/rejected/batch_id={batch_id}")
         earlier = [v for v in complete_versions(spark, path) if v < batch_id]
         sums = partials(events)
