@@ -53,8 +53,11 @@ def train(df: DataFrame, label: str = "total", features: tuple[str, ...] = FEATU
     them again. What they read is a written table of label and features, so
     the joins behind ``df`` run once.
     """
-    columns = [F.col(f"`{c}`").cast("double").alias(c) for c in (label, *features)]
-    return regression(label, features).fit(stage(df.select(*columns), "training"))
+    return regression(label, features).fit(_staged_inputs(df, label, features))
+
+
+def _staged_inputs(df: DataFrame, label: str, features: tuple[str, ...]) -> DataFrame:
+    return stage(df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in (label, *features)]), "training")
 
 
 def rows_digest(df: DataFrame, *settings: str) -> str:
@@ -69,14 +72,14 @@ def registered_model(df: DataFrame, registry: str, label: str = "total", feature
 
     The folder gets its name, the digest of the rows, in one step, so a
     reader finds a whole model or none; of two jobs that fit the same rows
-    the first one's stays.
+    the first one's stays. The joins behind ``df`` run once, for the digest and the fit together.
     """
     spark = df.sparkSession
-    inputs = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in (label, *features)])
+    inputs = _staged_inputs(df, label, features)
     path = f"{registry}/{rows_digest(inputs, label, *features)}"
     if not exists(spark, path):
         written = f"{registry}/_{uuid.uuid4().hex}"
-        save_model(train(inputs, label, features), written)
+        save_model(regression(label, features).fit(inputs), written)
         publish_folder(spark, written, path)
     return path
 

@@ -12,9 +12,16 @@ from salesflow.sources.tables import sales
 #: Messages in a file and files in a micro-batch, at most: what one micro-batch
 #: takes (3.2 million messages, about 1 GB) does not depend on how many there are.
 MESSAGES_PER_FILE, FILES_PER_TRIGGER = 50_000, 64
+#: Files taken one at a time, or a few: about so many at most, however many messages there are.
+FILES_ONE_BY_ONE = 128
 _TOPICS: dict[tuple[str, str, int], str] = {}
 
 
+def files_for(messages: int, batches: int, messages_per_file: int = MESSAGES_PER_FILE) -> int:
+    """Files per trigger that give at least so many micro-batches, and no more than ``FILES_PER_TRIGGER`` makes needful."""
+    return max(min(FILES_PER_TRIGGER, messages // messages_per_file // batches), 1)
+
+
 def publish_sales(records: DataFrame, path: str, messages_per_file: int = MESSAGES_PER_FILE) -> None:
     """Encode records as JSON messages and append them to the topic at ``path``.
 

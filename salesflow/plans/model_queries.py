@@ -11,9 +11,9 @@ from salesflow.functions.codecs import REASON, encode_json
 from salesflow.operators import scoring
 from salesflow.operators.comparison import compare_layers, prediction_difference
 from salesflow.plans.batch_queries import SALES_SQL
-from salesflow.plans.landing import FILES_PER_TRIGGER, MESSAGES_PER_FILE, sales_messages
+from salesflow.plans.landing import FILES_PER_TRIGGER, MESSAGES_PER_FILE, files_for, sales_messages
 from salesflow.schema import FEATURES
-from salesflow.session import application_dir, scratch_dir
+from salesflow.session import application_dir, scratch_dir, stage
 from salesflow.sources import files, topic
 from salesflow.sources.tables import sales
 from salesflow.streaming.score_layer import run_scoring
@@ -86,7 +86,8 @@ def score_stream_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = scoring.load_model(_saved_model(spark, sf_dir))
     root = scratch_dir(spark, "timed")
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
-    messages = sales_messages(spark, sf_dir, files_per_trigger=1, messages_per_file=min(MESSAGES_PER_FILE, lines // 2))
+    size = max(min(MESSAGES_PER_FILE, lines // 2), 1)
+    messages = sales_messages(spark, sf_dir, files_per_trigger=files_for(lines, 5, size), messages_per_file=size)
     run_scoring(messages, model, root)
     temps = files.scan_predictions(spark, f"{root}/result").select(F.col("Prediction Time (s)").alias("t"))
     measured = F.min("t") > 0
@@ -132,7 +133,7 @@ def serve_scored_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per invoice, the pairs of scored files of both layers, and of these the ones both scored to within a few cents."""
     model = scoring.load_model(_saved_model(spark, sf_dir))
     root = scratch_dir(spark, "scored-layers")
-    scoring.score_table(_training_sales(spark, sf_dir), model, f"{root}/batch")
+    scoring.score_table(stage(_training_sales(spark, sf_dir), "to-score"), model, f"{root}/batch")  # scored and checked for holes from one join
     run_scoring(sales_messages(spark, sf_dir), model, f"{root}/stream")
     stream, batch = (files.scan_predictions(spark, f"{root}/{layer}/result") for layer in ("stream", "batch"))
     compared = prediction_difference(compare_layers(stream, batch))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from salesflow.session import folders, remove
+from salesflow.session import exists, folders, remove
 
 #: Versions of a running result that stay on storage.
 VERSIONS = 3
@@ -80,11 +80,11 @@ def put_version(result: DataFrame, path: str, version: int, keep: int | None = V
 
     A version counts once its success marker is there, so a write that fails
     leaves the old one current; one that is complete is not written again.
-    With ``keep`` None all versions stay.
+    With ``keep`` None all versions stay, and none of them is looked at.
     """
     spark = result.sparkSession
-    if version not in complete_versions(spark, path):
-        result.write.mode("overwrite").parquet(f"{path}/version={version}")
+    if not is_complete(spark, path, version):
+        result.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/version={version}")
     for old in complete_versions(spark, path)[:-keep] if keep else []:
         remove(spark, f"{path}/version={old}")
 
@@ -95,6 +95,10 @@ def latest(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFr
     return spark.read.schema(schema).parquet(f"{path}/version={versions[-1]}") if versions else spark.createDataFrame([], schema)
 
 
+def is_complete(spark: SparkSession, path: str, version: int) -> bool:
+    return exists(spark, f"{path}/version={version}/_SUCCESS")
+
+
 def complete_versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(name.split("=")[1]) for name in folders(spark, path, "_SUCCESS") if name.startswith("version="))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +13,11 @@ from pyspark.sql.streaming import StreamingQueryListener
 from salesflow.functions.codecs import as_events, decode_json, rejected_events
 from salesflow.operators import scoring
 from salesflow.schema import FEATURES
-from salesflow.session import folders
+from salesflow.session import exists, folders
 from salesflow.sources.files import write_predictions
-from salesflow.streaming.runners import complete_versions, put_version, start
+from salesflow.streaming.runners import complete_versions, is_complete, put_version, start
 
+_SCORED = "`Invoice ID` string, total double, prediction double"
 #: Seconds that a finished query waits for the reports of its last batches.
 PATIENCE = 60
 
@@ -32,7 +34,7 @@ class BatchSeconds(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         progress = event.progress
         if str(progress.runId) == self.run and "addBatch" in progress.durationMs:
-            seconds = self._spark.createDataFrame([(progress.durationMs["triggerExecution"] / 1000,)], "seconds double")
+            seconds = self._spark.createDataFrame([(progress.durationMs["triggerExecution"] / 1000,)], "seconds double").coalesce(1)
             put_version(seconds, self._path, progress.batchId, keep=None)
 
     def onQueryIdle(self, event) -> None:
@@ -53,32 +55,47 @@ def run_scoring(messages: DataFrame, model: PipelineModel, root: str, every: str
     """
     spark = messages.sparkSession
     needed = ("id", "invoice_id", "total", *FEATURES)
+    waiting = set(untimed(spark, root))
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        decoded = decode_json(batch, needed)
-        put_version(scoring.score(as_events(decoded, FEATURES), model).drop("temps"), f"{root}/scored", batch_id, keep=None)
-        rejected_events(decoded, FEATURES).write.mode("overwrite").parquet(f"{root}/rejected/batch_id={batch_id}")
-        publish_timed(spark, root)
+        decoded = decode_json(batch, needed).persist(StorageLevel.MEMORY_AND_DISK)  # read and parsed once for both writes
+        try:
+            put_version(scoring.score(as_events(decoded, FEATURES), model).drop("temps"), f"{root}/scored", batch_id, keep=None)
+            rejected_events(decoded, FEATURES).write.mode("overwrite").parquet(f"{root}/rejected/batch_id={batch_id}")
+        finally:
+            decoded.unpersist()
+        if not exists(spark, f"{root}/result/batch={batch_id}/_SUCCESS"):
+            waiting.add(batch_id)
+        publish_timed(spark, root, waiting)
 
     seconds = BatchSeconds(spark, f"{root}/seconds")
     spark.streams.addListener(seconds)
     query = start(messages.writeStream.queryName(f"{root}/seconds").foreachBatch(one_batch), f"{root}/checkpoint", every)
     if not every:
         until = time.monotonic() + PATIENCE
-        while publish_timed(spark, root) and time.monotonic() < until:
+        while publish_timed(spark, root, waiting) and time.monotonic() < until:
             time.sleep(0.2)
         spark.streams.removeListener(seconds)
-        if late := publish_timed(spark, root):
+        if late := publish_timed(spark, root, waiting):
             raise TimeoutError(f"no duration was reported for batches {late} of query {query.id}")
 
 
-def publish_timed(spark: SparkSession, root: str) -> list[int]:
-    """Bring out the predictions of batches whose duration is known; returns the batches that still wait for theirs."""
+def untimed(spark: SparkSession, root: str) -> list[int]:
+    """The scored batches whose predictions are not out yet; looks at every batch there is, so ask once, not once a batch."""
     done = {int(name.split("=")[1]) for name in folders(spark, f"{root}/result", "_SUCCESS")}
-    waiting = [b for b in complete_versions(spark, f"{root}/scored") if b not in done]
-    timed = set(complete_versions(spark, f"{root}/seconds")) if waiting else set()
-    for batch in timed.intersection(waiting):
-        seconds = spark.read.schema("seconds double").parquet(f"{root}/seconds/version={batch}").first()["seconds"]
-        rows = spark.read.parquet(f"{root}/scored/version={batch}").withColumn("temps", F.lit(seconds))
-        write_predictions(rows, f"{root}/result/batch={batch}")
-    return [b for b in waiting if b not in timed]
+    return [b for b in complete_versions(spark, f"{root}/scored") if b not in done]
+
+
+def publish_timed(spark: SparkSession, root: str, waiting: set[int] | None = None) -> list[int]:
+    """Bring out the predictions of batches whose duration is known; returns the batches that still wait for theirs.
+
+    ``waiting``, if the caller keeps count of them, loses the ones that are out; else every batch is looked at.
+    """
+    waiting = set(untimed(spark, root)) if waiting is None else waiting
+    for batch in sorted(waiting):
+        if is_complete(spark, f"{root}/seconds", batch):
+            seconds = spark.read.schema("seconds double").parquet(f"{root}/seconds/version={batch}").first()["seconds"]
+            rows = spark.read.schema(_SCORED).parquet(f"{root}/scored/version={batch}").withColumn("temps", F.lit(seconds))
+            write_predictions(rows, f"{root}/result/batch={batch}")
+            waiting.discard(batch)
+    return sorted(waiting)
