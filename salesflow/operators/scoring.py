@@ -46,14 +46,14 @@ def regression(label: str = "total", features: tuple[str, ...] = FEATURES) -> Pi
     return Pipeline(stages=[assembler, LinearRegression(featuresCol="features", labelCol=label)])
 
 
-def train(df: DataFrame, label: str = "total", features: tuple[str, ...] = FEATURES) -> PipelineModel:
-    """Fit on the rows of ``df``.
+def train(df: DataFrame, label: str = "total", features: tuple[str, ...] = FEATURES, staged: bool = False) -> PipelineModel:
+    """Fit on the rows of ``df``; ``staged`` says that it is a written table of label and features already.
 
     The solver tree-aggregates the rows once, and the model's summary reads
     them again. What they read is a written table of label and features, so
     the joins behind ``df`` run once.
     """
-    return regression(label, features).fit(_staged_inputs(df, label, features))
+    return regression(label, features).fit(df if staged else _staged_inputs(df, label, features))
 
 
 def _staged_inputs(df: DataFrame, label: str, features: tuple[str, ...]) -> DataFrame:
@@ -79,7 +79,7 @@ def registered_model(df: DataFrame, registry: str, label: str = "total", feature
     path = f"{registry}/{rows_digest(inputs, label, *features)}"
     if not exists(spark, path):
         written = f"{registry}/_{uuid.uuid4().hex}"
-        save_model(regression(label, features).fit(inputs), written)
+        save_model(train(inputs, label, features, True), written)
         publish_folder(spark, written, path)
     return path
 
