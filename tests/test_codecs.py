@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from salesflow.functions import codecs
+from salesflow.functions.cleaning import content_key
 from salesflow.operators.speed import sales_by_city_product, top_rated
+from salesflow.plans.landing import UNKEYED
 from salesflow.schema import FIELDS, avro_schema, avro_schema_from_file
 from salesflow.sources.tables import sales
 
@@ -100,3 +102,15 @@ def test_avro_roundtrip(spark, sf):
 def test_unframe_refuses_what_is_not_framed(spark):
     df = spark.createDataFrame([(bytearray(b"\x00\x00\x00\x00\x07ab"),), (bytearray(b"\x01\x00\x00\x00\x07ab"),), (bytearray(b"\x00\x00"),)], "v binary")
     assert [r[0] and bytes(r[0]) for r in df.select(codecs.unframe(F.col("v"))).collect()] == [b"ab", None, None]
+
+
+def test_id_put_in_front_is_the_message_of_a_record_with_its_id(spark, sf):
+    """Byte for byte, with missing fields, quotes, umlauts and no rows at all; the fields become text once."""
+    odd = [("a", 'say "hi"', None), (None, "Köln\n", 0.5), (None, None, None), ("NaN", "", float("nan"))]
+    for records in (sales(spark, sf, *UNKEYED), spark.createDataFrame(odd, "invoice_id string, city string, rating double")):
+        keyed = records.withColumn("id", content_key(records.columns)).select("id", *records.columns)
+        expected, found = codecs.encode_json(keyed, key="id"), codecs.encode_json_with_id(records)
+        assert found.schema.simpleString() == expected.schema.simpleString()
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+        assert found._jdf.queryExecution().optimizedPlan().toString().lower().count("to_json") == 1
+    assert codecs.encode_json_with_id(sales(spark, sf, *UNKEYED).limit(0)).count() == 0

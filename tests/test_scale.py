@@ -95,3 +95,21 @@ def test_ingest_reads_the_text_once_and_shuffles_ids_once(spark, sf):
     assert canonical.count("FileScan csv") == 1 and "Join" not in canonical
     ids = plan(batch_queries.ingest_unique_ids(spark, sf))
     assert ids.count("Exchange hashpartitioning") == 2
+
+
+def test_restart_publishes_and_takes_every_sale_of_both_halves(spark, sf, monkeypatch):
+    published = []
+    own = stream_queries.publish_sales
+    monkeypatch.setattr(stream_queries, "publish_sales", lambda r, *a: published.append(r) or own(r, *a))
+    found = stream_queries.stream_restart(spark, sf).collect()
+    assert sum(r["records"] for r in found) == sum(p.count() for p in published) == sales(spark, sf, "gender").count()
+    assert all(p.columns == list(landing.UNKEYED) for p in published)
+
+
+def test_light_queries_take_more_files_at_a_time_than_the_loop(spark, sf, monkeypatch):
+    limits = []
+    own = stream_queries.topic.subscribe
+    monkeypatch.setattr(stream_queries.topic, "subscribe", lambda s, p, n=None: limits.append(n) or own(s, p, n))
+    stream_queries.stream_rejects(spark, sf)
+    stream_queries._loop_messages(spark, sf)
+    assert limits == [landing.FILES_PER_LIGHT_TRIGGER, landing.FILES_PER_TRIGGER] and limits[0] > limits[1]
