@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from salesflow.functions.codecs import as_events, decode_json, rejected_events
 from salesflow.operators.speed import SPEED_VIEWS, TOP_RATED_VIEW, VIEW_FIELDS, named_query, top_rated
 from salesflow.schema import MONEY_SUM
+from salesflow.session import held
 from salesflow.streaming.runners import complete_versions, latest, put_version, run_append, run_complete, start
 
 RUNNING_SCHEMA = (
@@ -53,6 +53,9 @@ def run_separately(messages: DataFrame, root: str) -> dict[str, DataFrame]:
 # What the results need of an event; only this is decoded, and kept between the two writes of a batch.
 _USED = tuple(dict.fromkeys(field for fields in VIEW_FIELDS.values() for field in fields))
 
+# A dictionary of digests would be given up after its first million bytes, and costs more than parsing does.
+_RATED_PACKING = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1", "parquet.enable.dictionary#id": "false"}
+
 
 def partials(events: DataFrame) -> DataFrame:
     """Sums at the grain the four running aggregates share."""
@@ -107,19 +110,16 @@ def store_batch(messages: DataFrame, batch_id: int, root: str) -> None:
     there already, and a batch that fails leaves the snapshot before it.
     """
     spark, path = messages.sparkSession, f"{root}/running"
-    decoded = decode_json(messages, _USED).persist(StorageLevel.MEMORY_AND_DISK)
-    events = as_events(decoded)
-    try:
+    with held(decode_json(messages, _USED)) as decoded:
+        events = as_events(decoded)
         rated = top_rated(events).select("id", "invoice_id", "product_line", "rating")
-        rated.write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/top_rated/batch_id={batch_id}")
+        rated.write.mode("overwrite").options(**_RATED_PACKING).parquet(f"{root}/top_rated/batch_id={batch_id}")
         rejected_events(decoded).write.mode("overwrite").parquet(f"{root}/rejected/batch_id={batch_id}")
         earlier = [v for v in complete_versions(spark, path) if v < batch_id]
         sums = partials(events)
         if earlier:
             sums = merge_partials(sums.unionByName(spark.read.schema(RUNNING_SCHEMA).parquet(f"{path}/version={earlier[-1]}")))
         put_version(sums, path, batch_id)
-    finally:
-        decoded.unpersist()
 
 
 def run_speed_layer(messages: DataFrame, root: str, every: str | None = None) -> StreamingQuery:

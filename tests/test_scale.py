@@ -7,9 +7,9 @@ import pytest
 
 from salesflow.plans import batch_queries, landing, model_queries, stream_queries
 from salesflow.plans.landing import files_for, publish_sales, sales_messages
-from salesflow.session import scratch_dir
+from salesflow.session import held, scratch_dir
 from salesflow.sources.tables import sales
-from salesflow.streaming import batch_layer, runners, score_layer
+from salesflow.streaming import batch_layer, runners, score_layer, speed_layer
 
 
 def plan(df):
@@ -97,6 +97,24 @@ def test_ingest_reads_the_text_once_and_shuffles_ids_once(spark, sf):
     assert ids.count("Exchange hashpartitioning") == 2
 
 
+def test_no_dictionary_of_what_never_repeats(spark, sf, tmp_path):
+    publish_sales(sales(spark, sf, *landing.UNKEYED), f"{tmp_path}/topic")
+    speed_layer.store_batch(spark.read.parquet(f"{tmp_path}/topic"), 0, str(tmp_path))
+    for folder, columns in (("topic", {"key", "value"}), ("top_rated/batch_id=0", {"id"})):
+        group = pq.ParquetFile(glob.glob(f"{tmp_path}/{folder}/*.parquet")[0]).metadata.row_group(0)
+        chunks = {c.path_in_schema: c for c in map(group.column, range(group.num_columns))}
+        assert all(chunks[c].compression == "ZSTD" and not chunks[c].has_dictionary_page for c in columns)
+
+
+def test_decoded_messages_are_held_unpacked_and_let_go(spark):
+    key = "spark.sql.inMemoryColumnarStorage.compressed"
+    before = spark.conf.get(key)
+    with pytest.raises(ValueError), held(spark.range(9)) as kept:
+        assert kept.is_cached and spark.conf.get(key) == "false" and kept.count() == 9
+        raise ValueError
+    assert not kept.is_cached and spark.conf.get(key) == before
+
+
 def test_restart_publishes_and_takes_every_sale_of_both_halves(spark, sf, monkeypatch):
     published = []
     own = stream_queries.publish_sales
