@@ -11,9 +11,9 @@ from salesflow.functions.codecs import REASON, encode_json
 from salesflow.operators import scoring
 from salesflow.operators.comparison import compare_layers, prediction_difference
 from salesflow.plans.batch_queries import SALES_SQL
-from salesflow.plans.landing import FILES_PER_TRIGGER, MESSAGES_PER_FILE, files_for, sales_messages
+from salesflow.plans.landing import FILES_PER_LIGHT_TRIGGER, MESSAGES_PER_FILE, files_for, sales_messages
 from salesflow.schema import FEATURES
-from salesflow.session import application_dir, scratch_dir, stage
+from salesflow.session import application_dir, scratch_dir, stage, streaming_session
 from salesflow.sources import files, topic
 from salesflow.sources.tables import sales
 from salesflow.streaming.score_layer import run_scoring
@@ -26,9 +26,9 @@ def _training_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales(spark, sf_dir, "invoice_id", "product_line", "total", *FEATURES)
 
 
-def _saved_model(spark: SparkSession, sf_dir: str) -> str:
-    """The model of the training share of all sales, fitted once for all queries of the application."""
-    train, _ = scoring.hash_split(_training_sales(spark, sf_dir), SPLIT_KEYS)
+def _saved_model(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> str:
+    """The model of the training share of all sales, or of ``rows`` if these are at hand, fitted once for all queries of the application."""
+    train, _ = scoring.hash_split(_training_sales(spark, sf_dir) if rows is None else rows, SPLIT_KEYS)
     return scoring.registered_model(train, application_dir(spark, "models"))
 
 
@@ -72,7 +72,7 @@ def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The topic scored by a saved model into headerless CSV files, read back by position."""
     model = scoring.load_model(_saved_model(spark, sf_dir))
     root = scratch_dir(spark, "scored")
-    run_scoring(sales_messages(spark, sf_dir), model, root)
+    run_scoring(sales_messages(spark, sf_dir, streaming_session(spark)), model, root)
     return files.scan_predictions(spark, f"{root}/result")
 
 
@@ -87,7 +87,7 @@ def score_stream_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "timed")
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
     size = max(min(MESSAGES_PER_FILE, lines // 2), 1)
-    messages = sales_messages(spark, sf_dir, files_per_trigger=files_for(lines, 5, size), messages_per_file=size)
+    messages = sales_messages(spark, sf_dir, streaming_session(spark), files_per_trigger=files_for(lines, 5, size), messages_per_file=size)
     run_scoring(messages, model, root)
     temps = files.scan_predictions(spark, f"{root}/result").select(F.col("Prediction Time (s)").alias("t"))
     measured = F.min("t") > 0
@@ -103,7 +103,7 @@ def score_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"id": F.col("invoice_id"), "rating": F.when(kind != 0, F.col("rating")), "quantity": F.when(kind > 1, F.col("quantity"))}
     )
     topic.publish(encode_json(holes, key="id"), f"{root}/topic", MESSAGES_PER_FILE)
-    run_scoring(topic.subscribe(spark, f"{root}/topic", FILES_PER_TRIGGER), model, root)
+    run_scoring(topic.subscribe(streaming_session(spark), f"{root}/topic", FILES_PER_LIGHT_TRIGGER), model, root)
     scored = files.scan_predictions(spark, f"{root}/result")
     aside = spark.read.schema(f"{REASON} string").parquet(f"{root}/rejected")
     return scored.agg(F.lit("scored").alias("outcome"), F.count("*").alias("messages")).unionAll(
@@ -131,10 +131,11 @@ def score_stored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def serve_scored_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per invoice, the pairs of scored files of both layers, and of these the ones both scored to within a few cents."""
-    model = scoring.load_model(_saved_model(spark, sf_dir))
+    rows = stage(_training_sales(spark, sf_dir), "to-score")  # fitted, scored and checked for holes from one join
+    model = scoring.load_model(_saved_model(spark, sf_dir, rows))
     root = scratch_dir(spark, "scored-layers")
-    scoring.score_table(stage(_training_sales(spark, sf_dir), "to-score"), model, f"{root}/batch")  # scored and checked for holes from one join
-    run_scoring(sales_messages(spark, sf_dir), model, f"{root}/stream")
+    scoring.score_table(rows, model, f"{root}/batch")
+    run_scoring(sales_messages(spark, sf_dir, streaming_session(spark)), model, f"{root}/stream")
     stream, batch = (files.scan_predictions(spark, f"{root}/{layer}/result") for layer in ("stream", "batch"))
     compared = prediction_difference(compare_layers(stream, batch))
     gap = F.col("Prediction_Difference") - (F.col("Total_stream") - F.col("Total_batch"))

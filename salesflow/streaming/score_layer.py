@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import time
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 from salesflow.functions.codecs import as_events, decode_json, rejected_events
 from salesflow.operators import scoring
 from salesflow.schema import FEATURES
-from salesflow.session import exists, folders
+from salesflow.session import exists, folders, held
 from salesflow.sources.files import write_predictions
 from salesflow.streaming.runners import complete_versions, is_complete, put_version, start
 
@@ -58,12 +57,9 @@ def run_scoring(messages: DataFrame, model: PipelineModel, root: str, every: str
     waiting = set(untimed(spark, root))
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        decoded = decode_json(batch, needed).persist(StorageLevel.MEMORY_AND_DISK)  # read and parsed once for both writes
-        try:
+        with held(decode_json(batch, needed)) as decoded:  # read and parsed once for both writes
             put_version(scoring.score(as_events(decoded, FEATURES), model).drop("temps"), f"{root}/scored", batch_id, keep=None)
             rejected_events(decoded, FEATURES).write.mode("overwrite").parquet(f"{root}/rejected/batch_id={batch_id}")
-        finally:
-            decoded.unpersist()
         if not exists(spark, f"{root}/result/batch={batch_id}/_SUCCESS"):
             waiting.add(batch_id)
         publish_timed(spark, root, waiting)

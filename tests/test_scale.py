@@ -131,3 +131,12 @@ def test_light_queries_take_more_files_at_a_time_than_the_loop(spark, sf, monkey
     stream_queries.stream_rejects(spark, sf)
     stream_queries._loop_messages(spark, sf)
     assert limits == [landing.FILES_PER_LIGHT_TRIGGER, landing.FILES_PER_TRIGGER] and limits[0] > limits[1]
+
+
+def test_scored_join_looks_training_sales_up_once(spark, sf, monkeypatch):
+    looked_up = []
+    own = model_queries._training_sales
+    monkeypatch.setattr(model_queries, "_training_sales", lambda *a: looked_up.append(a) or own(*a))
+    found = model_queries.serve_scored_join(spark, sf).collect()
+    assert len(looked_up) == 1 and all(r["pairs"] == r["close_pairs"] for r in found)
+    assert len(found) == sales(spark, sf, "invoice_id").distinct().count()
