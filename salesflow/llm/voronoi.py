@@ -18,6 +18,10 @@ from salesflow.session import stage
 FEWEST, MOST = 32, 1024
 #: Most vectors, and most queries, that one task holds.
 BLOCK_ROWS = 8192
+#: Small cells share a bin until it holds this part of all vectors, or a block of them; bins are what queries are sent to.
+BINS = 64
+#: Numbers in a table of vectors by pivots or queries by cells that is held at once, and rows handed on at once.
+TABLE, AT_ONCE = 1 << 19, 8192
 
 
 def quantised(vector: Column, scale: int = 64) -> Column:
@@ -47,12 +51,38 @@ def _products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return np.clip(left.astype(object) @ right.astype(object).T, -(2**63), 2**63 - 1).astype(np.int64)
 
 
+def _slices(frames: Iterator[pd.DataFrame], columns: int) -> Iterator[pd.DataFrame]:
+    """The frames in pieces whose table of so many columns has about ``TABLE`` numbers."""
+    rows = max(TABLE // max(columns, 1), 1)
+    for frame in frames:
+        for start in range(0, len(frame), rows):
+            yield frame.iloc[start : start + rows]
+
+
+def _bins(pivots: np.ndarray, counts: np.ndarray, most: int) -> np.ndarray:
+    """For each cell the bin it goes to: cells that lie side by side, until they hold ``most`` vectors; a larger cell is alone.
+
+    Cells are walked through from each pivot to the nearest one not yet taken,
+    so that a query which asks for a cell asks for the others of its bin too.
+    """
+    out, left = np.zeros(len(pivots), dtype=np.int64), np.ones(len(pivots), dtype=bool)
+    squares = (pivots**2).sum(axis=1)
+    at, bin_, held = 0, 0, 0
+    for _ in range(len(pivots)):
+        left[at] = False
+        if held and held + counts[at] > most:
+            bin_, held = bin_ + 1, 0
+        out[at], held = bin_, held + counts[at]
+        at = int(np.where(left, squares - 2 * pivots @ pivots[at], np.inf).argmin())
+    return out
+
+
 def _nearest(pivots: np.ndarray):
     """(cell, distance to its pivot, norm) of every vector."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         squares = (pivots**2).sum(axis=1)
-        for frame in frames:
+        for frame in _slices(frames, len(pivots)):
             points = _matrix(frame["vector"], pivots.shape[1]).astype(np.float64)
             norms = (points**2).sum(axis=1)
             away = np.maximum(norms[:, None] - 2 * points @ pivots.T + squares, 0)
@@ -65,17 +95,22 @@ def _nearest(pivots: np.ndarray):
 
 
 def _needed(pivots: np.ndarray, cells: pd.DataFrame, spread: np.ndarray, k: int):
-    """For each query the chunks of the cells that may hold one of its k best.
+    """For each query the chunks of the bins with cells that may hold one of its k best.
 
     A cell with pivot p, radius r and largest norm m, seen from a query q of a
     group with pivot g and spread s, scores within p.q -+ |q| r, and within
     p.g -+ (|g| r + s m) for the whole group. Cells taken by falling lower
     bound until they hold k vectors give a score that the k best reach; a cell
-    whose upper bound is below it has no part in the result.
+    whose upper bound is below it has no part in the result. A query is sent
+    once to a bin, however many of its cells it asks for, and rows are handed
+    on a few at a time: what a task holds does not grow with cells or queries.
     """
+    cells = cells.sort_values("bin", kind="stable")
+    first = np.flatnonzero(np.diff(cells["bin"].to_numpy(), prepend=-1))
+    bins, chunks = cells["bin"].to_numpy()[first], cells["chunks"].to_numpy()[first]
     index = cells["cell"].to_numpy()
     centre, radius, norm = pivots[index], cells["radius"].to_numpy(), cells["norm"].to_numpy()
-    counts, chunks = cells["ids"].to_numpy(), cells["chunks"].to_numpy()
+    counts = cells["ids"].to_numpy()
     slack = 1e-6 * (1 + np.abs(pivots).max(initial=0)) ** 2 * (1 + pivots.shape[1])
 
     def reached(low: np.ndarray) -> np.ndarray:
@@ -90,25 +125,27 @@ def _needed(pivots: np.ndarray, cells: pd.DataFrame, spread: np.ndarray, k: int)
     group_floor, group_top = reached(group - width), group + width
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in _slices(frames, max(len(index), int(chunks.sum()))):
             points = _matrix(frame["vector"], pivots.shape[1]).astype(np.float64)
             middle, reach = points @ centre.T, frame["norm"].to_numpy()[:, None] * radius
             home = frame["cell"].to_numpy()
             floor = np.maximum(reached(middle - reach), group_floor[home])[:, None] - slack
             wanted = (middle + reach >= floor) & (group_top[home] >= floor)
-            row, at = np.nonzero(wanted)
+            row, at = np.nonzero(np.logical_or.reduceat(wanted, first, axis=1))
             times = chunks[at]
+            chunk = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
             row, at = np.repeat(row, times), np.repeat(at, times)
-            chunk = np.concatenate([np.arange(n) for n in times]) if len(times) else np.zeros(0, int)
-            yield pd.DataFrame(
-                {
-                    "cell": index[at].astype(np.int32),
-                    "chunk": chunk.astype(np.int32),
-                    "part": frame["part"].to_numpy()[row],
-                    "vid": frame["vid"].to_numpy()[row],
-                    "vector": frame["vector"].to_numpy()[row],
-                }
-            )
+            for start in range(0, len(row), AT_ONCE):
+                some = slice(start, start + AT_ONCE)
+                yield pd.DataFrame(
+                    {
+                        "cell": bins[at[some]].astype(np.int32),
+                        "chunk": chunk[some].astype(np.int32),
+                        "part": frame["part"].to_numpy()[row[some]],
+                        "vid": frame["vid"].to_numpy()[row[some]],
+                        "vector": frame["vector"].to_numpy()[row[some]],
+                    }
+                )
 
     return run
 
@@ -122,13 +159,11 @@ def _solve(width: int, k: int):
             least = np.array([x[0] for x in block["ids"]])
             data = _matrix(block["vector"], width)
             lists = block["ids"].to_numpy()
-            for start in range(0, len(queries), 256):
-                part = queries.iloc[start : start + 256]
+            for part in _slices([queries], len(block)):
                 table = _products(_matrix(part["vector"], width), data)
-                for vid, row in zip(part["vid"], table):
-                    take = np.arange(len(row))
-                    if len(row) > k:
-                        take = np.flatnonzero(row >= np.partition(row, len(row) - k)[len(row) - k])
+                bar = np.partition(table, -k, axis=1)[:, -k] if table.shape[1] > k else table.min(axis=1)
+                for vid, row, least_score in zip(part["vid"], table, bar):
+                    take = np.flatnonzero(row >= least_score)
                     take = take[np.lexsort((least[take], -row[take]))][:k]
                     pairs = sorted((-int(row[i]), int(x)) for i in take for x in lists[i])[:k]
                     vids += [vid] * len(pairs)
@@ -166,8 +201,9 @@ def top_k(
     candidate. Only ``pivots`` vectors (by default as many as the root of the
     distinct vectors, ``FEWEST`` to ``MOST``) and one summary row per cell pass
     through the driver. Tasks hold at most about ``block_rows`` vectors and as
-    many queries. A query goes to the cells its bounds ask for, and a block of a
-    cell only to the parts of the queries that asked for it.
+    many queries. Small cells that lie side by side share a bin. A query goes to
+    the bins with a cell its bounds ask for, and a block of a bin only to the
+    parts of the queries that asked for it.
 
     Rows without a key, without a vector, or with a missing, NaN or infinite
     component take no part. A shorter vector counts as filled up with zeros.
@@ -206,7 +242,11 @@ def top_k(
         .agg(F.max("far").alias("radius"), F.max("norm").alias("norm"), F.count(F.lit(1)).alias("n"), F.sum(F.size("ids")).alias("ids"))
         .toPandas()
     )
-    cells["chunks"] = np.ceil(cells["n"] / block_rows).astype(int)
+    held_by = np.zeros(len(centres), dtype=np.int64)
+    held_by[cells["cell"]] = cells["n"]
+    bins = _bins(centres, held_by, min(block_rows, -(-int(held_by.sum()) // BINS)))
+    cells["bin"] = bins[cells["cell"]]
+    cells["chunks"] = np.ceil(cells.groupby("bin")["n"].transform("sum") / block_rows).astype(int)
     queries = placed.join(asked.select("vid").distinct(), "vid", "left_semi")
     spread = np.zeros(max(len(centres), 1))
     n_queries = 0
@@ -222,9 +262,11 @@ def top_k(
             _needed(centres, cells, spread, k + 1), "cell int, chunk int, part int, vid long, vector array<long>"
         )
         sent = stage(asking, "asked-cells")
-        chunk_count = F.element_at(F.lit([int(x) for x in cells.set_index("cell")["chunks"].reindex(range(len(centres)), fill_value=1)]), F.col("cell") + 1)
+        by_bin = cells.groupby("bin")["chunks"].max().reindex(range(int(bins.max()) + 1), fill_value=1)
+        chunk_count = F.element_at(F.lit(by_bin.tolist()), F.col("cell") + 1)
         at = ["cell", "chunk", "part"]
-        held = needed_blocks(placed, sent.select(*[F.col(c).alias(c) for c in at]).distinct(), chunk_count)
+        dealt = placed.withColumn("cell", F.element_at(F.lit(bins.tolist()), F.col("cell") + 1).cast("int"))
+        held = needed_blocks(dealt, sent.select(*[F.col(c).alias(c) for c in at]).distinct(), chunk_count)
         found = sent.groupBy(*at).cogroup(held.groupBy(*at)).applyInPandas(_solve(widest, k + 1), found_schema)
     best = Window.partitionBy("vid").orderBy(F.desc("score"), "vec_id")
     short = stage(found.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k + 1).drop("nth"), "nearest")

@@ -8,6 +8,7 @@ import tracemalloc
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -355,6 +356,33 @@ def test_only_blocks_that_are_asked_for_are_copied(spark):
     assert [(r.vec_id, r.score) for r in rows] == [(2, 2**63 - 1), (1, -(2**63))]
 
 
+def test_queries_are_sent_once_to_a_bin_and_a_few_rows_at_a_time(spark, monkeypatch):
+    """Nothing a task holds grows with queries times cells, and bins of several cells give what brute force gives."""
+    rng = np.random.default_rng(4)
+    pivots = rng.integers(-64, 64, (1000, 16)).astype(float)
+    bins = voronoi._bins(pivots, np.full(1000, 10), 200)
+    assert set(np.bincount(bins)) == {20}
+    cells = pd.DataFrame({"cell": range(1000), "radius": 200.0, "norm": 300.0, "n": 10, "ids": 10, "bin": bins, "chunks": 1})
+    vectors = rng.integers(-64, 64, (10_000, 16))
+    frame = pd.DataFrame({"vid": range(10_000), "vector": list(vectors), "cell": 0, "norm": np.sqrt((vectors**2).sum(axis=1)), "part": 0})
+    run = voronoi._needed(pivots, cells, np.full(1000, 300.0), 21)
+    tracemalloc.start()
+    sent = [(len(f), f.drop_duplicates(["vid", "cell"]).shape[0]) for f in run(iter([frame]))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(n for n, _ in sent) == 50 * 10_000 and all(n == own <= voronoi.AT_ONCE for n, own in sent)
+    assert peak < 64 << 20
+
+    monkeypatch.setattr(voronoi, "BINS", 3)
+    values = rng.normal(size=(400, 8)).round(2)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(values)], "vec_id long, embedding array<double>")
+    table = np.floor(64 * values).astype(int)
+    want = [(q, r, i, -s) for q in range(0, 400, 20) for r, (s, i) in enumerate(sorted((-int(table[q] @ table[i]), i) for i in range(400) if i != q)[:5], 1)]
+    for block_rows in (60, 8192):
+        got = voronoi.top_k(df, F.col("vec_id") % 20 == 0, k=5, pivots=20, block_rows=block_rows).collect()
+        assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == sorted(want)
+
+
 def test_quality_accuracy_and_odd_rows(spark, sf, odd):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     rows = op10_line_quality(spark, sf).collect()
