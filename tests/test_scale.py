@@ -5,6 +5,7 @@ import glob
 import pyarrow.parquet as pq
 import pytest
 
+from salesflow.operators.views import gender_sales_summary
 from salesflow.plans import batch_queries, landing, model_queries, stream_queries
 from salesflow.plans.landing import files_for, publish_sales, sales_messages
 from salesflow.session import held, scratch_dir
@@ -90,6 +91,19 @@ def test_batch_loop_has_two_state_parts_a_core(spark, sf, monkeypatch):
     assert state["numShufflePartitions"] == 2 * spark.sparkContext.defaultParallelism
 
 
+def test_batch_loop_views_replays_every_one_of_several_batches(spark, sf, monkeypatch):
+    stored = []
+    own = batch_layer.store_batch
+    monkeypatch.setattr(batch_layer, "store_batch", lambda s, parts, batch_id, root: stored.append(batch_id) or own(s, parts, batch_id, root))
+    topic_of = (spark.sparkContext.applicationId, sf, landing.MESSAGES_PER_FILE)
+    monkeypatch.setitem(landing._TOPICS, topic_of, scratch_dir(spark, "own-topic"))
+    publish_sales(sales(spark, sf), landing._TOPICS[topic_of], 1500)
+    found = stream_queries.batch_loop_views(spark, sf).collect()
+    batches = sorted(set(stored))
+    assert len(batches) >= 3 and stored == [b for b in batches for _ in range(2)]
+    assert sorted(map(tuple, found)) == sorted(map(tuple, gender_sales_summary(sales(spark, sf)).collect()))
+
+
 def test_ingest_reads_the_text_once_and_shuffles_ids_once(spark, sf):
     canonical = plan(batch_queries.ingest_canonical(spark, sf))
     assert canonical.count("FileScan csv") == 1 and "Join" not in canonical
