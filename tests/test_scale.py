@@ -10,7 +10,7 @@ from salesflow.plans import batch_queries, landing, model_queries, stream_querie
 from salesflow.plans.landing import files_for, publish_sales, sales_messages
 from salesflow.session import held, scratch_dir
 from salesflow.sources.tables import sales
-from salesflow.streaming import batch_layer, runners, score_layer, speed_layer
+from salesflow.streaming import batch_layer, compaction, runners, score_layer, speed_layer
 
 
 def plan(df):
@@ -104,6 +104,29 @@ def test_batch_loop_views_replays_every_one_of_several_batches(spark, sf, monkey
     assert sorted(map(tuple, found)) == sorted(map(tuple, gender_sales_summary(sales(spark, sf)).collect()))
 
 
+def test_a_sale_is_not_rewritten_once_well_filled(spark, tmp_path):
+    """Whatever the number of batches, merged folders of a full file stay; smaller ones go on being merged."""
+
+    def run(name, file_bytes):
+        rewritten = []
+
+        def merge(folders, files, into):
+            rewritten.extend(folders)
+            parts = spark.read.parquet(*folders)
+            parts.coalesce(files).write.parquet(into)
+
+        for batch in range(9):
+            folder = f"{tmp_path}/{name}/batch_id={batch}"
+            spark.range(batch * 10, batch * 10 + 10).write.parquet(folder)
+            compaction.add_batch(spark, f"{tmp_path}/{name}-m", folder, batch, merge, lambda a, b: f"{tmp_path}/{name}/batches={a}-{b}", 2, file_bytes)
+        read = compaction.read_table(spark, f"{tmp_path}/{name}-m", lambda folders: spark.read.parquet(*folders))
+        assert sorted(r[0] for r in read.collect()) == list(range(90))
+        return sum("batches=" in f for f in rewritten)
+
+    assert run("filled", 1) == 0
+    assert run("small", 1 << 30) > 0
+
+
 def test_ingest_reads_the_text_once_and_shuffles_ids_once(spark, sf):
     canonical = plan(batch_queries.ingest_canonical(spark, sf))
     assert canonical.count("FileScan csv") == 1 and "Join" not in canonical
